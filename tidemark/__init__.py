@@ -1 +1,9 @@
 """Feature data on Spark: point-in-time joins, batch and stream ingestion, latest-value tables."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package that run in Python workers travel with the query, so that the
+# executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -154,9 +154,11 @@ def validation_udf(function: Callable[[pd.DataFrame], pd.Series], columns: Seque
 def _guarded(rule: Rule) -> Callable[[pd.DataFrame], pd.Series]:
     """A rule that raises marks no row: NULL tells 'not evaluated' from 'valid'."""
 
+    function, kwargs = rule.function, dict(rule.kwargs)
+
     def run(batch: pd.DataFrame) -> pd.Series:
         try:
-            return pd.Series(rule.function(batch, rule.kwargs)).reset_index(drop=True)
+            return pd.Series(function(batch, kwargs)).reset_index(drop=True)
         except Exception:
             return pd.Series([None] * len(batch), dtype="boolean")
 

@@ -54,6 +54,14 @@ def add_seconds(ts: Column, seconds: int | Column) -> Column:
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
+def floor_millis(ts: Column, data_type: T.DataType) -> Column:
+    """The timestamp cut to whole milliseconds, kind kept."""
+    micros = F.pmod(epoch_micros(ts, data_type), F.lit(1000)).cast("int")
+    return ts - F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (micros / F.lit(1_000_000)).cast("decimal(18,6)")
+    )
+
+
 def all_not_null(columns: Sequence[Column]) -> Column:
     check = columns[0].isNotNull()
     for c in columns[1:]:

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import floor_millis
 from tidemark.operators.mapping import quoted
 from tidemark.spec import FileSource
 
@@ -58,9 +59,7 @@ def stage_rows_by_day(
     ts = event_timestamp_column
     df = _frame(spark, rows)
     columns = [
-        F.date_trunc("millisecond", quoted(c)).cast(df.schema[c].dataType).alias(c)
-        if c == ts
-        else quoted(c)
+        floor_millis(quoted(c), df.schema[c].dataType).alias(c) if c == ts else quoted(c)
         for c in df.columns
     ]
     expires = (now or dt.datetime.now(dt.timezone.utc)) + dt.timedelta(days=1)

@@ -1,0 +1,104 @@
+"""Events as protobuf messages, to have something to decode."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MESSAGE = "workload.Event"
+
+
+@lru_cache(maxsize=1)
+def event_message_format() -> tuple[str, bytes]:
+    """Message name and descriptor set of ``workload.Event``."""
+    from google.protobuf import descriptor_pb2, timestamp_pb2
+
+    field_type = descriptor_pb2.FieldDescriptorProto
+    stamp = descriptor_pb2.FileDescriptorProto()
+    timestamp_pb2.DESCRIPTOR.CopyToProto(stamp)
+    file = descriptor_pb2.FileDescriptorProto(
+        name="workload/event.proto",
+        package="workload",
+        syntax="proto3",
+        dependency=[stamp.name],
+    )
+    kinds = file.enum_type.add(name="Kind")
+    for number, name in enumerate(["unknown", "click", "view", "signup", "purchase", "error"]):
+        kinds.value.add(name=name, number=number)
+    inner = file.message_type.add(name="Inner")
+    inner.field.add(
+        name="amounts",
+        number=1,
+        type=field_type.TYPE_DOUBLE,
+        label=field_type.LABEL_REPEATED,
+    )
+    event = file.message_type.add(name="Event")
+    entry = event.nested_type.add(name="TagsEntry")
+    entry.options.map_entry = True
+    single = field_type.LABEL_OPTIONAL
+    entry.field.add(name="key", number=1, type=field_type.TYPE_STRING, label=single)
+    entry.field.add(name="value", number=2, type=field_type.TYPE_STRING, label=single)
+    event.field.add(name="user_id", number=1, type=field_type.TYPE_INT64, label=single)
+    event.field.add(
+        name="event_type",
+        number=2,
+        type=field_type.TYPE_ENUM,
+        type_name=".workload.Kind",
+        label=single,
+    )
+    event.field.add(name="value", number=3, type=field_type.TYPE_DOUBLE, label=single)
+    event.field.add(
+        name="tags",
+        number=4,
+        type=field_type.TYPE_MESSAGE,
+        type_name=".workload.Event.TagsEntry",
+        label=field_type.LABEL_REPEATED,
+    )
+    event.field.add(
+        name="inner",
+        number=5,
+        type=field_type.TYPE_MESSAGE,
+        type_name=".workload.Inner",
+        label=single,
+    )
+    event.field.add(
+        name="ts",
+        number=6,
+        type=field_type.TYPE_MESSAGE,
+        type_name=".google.protobuf.Timestamp",
+        label=single,
+    )
+    files = descriptor_pb2.FileDescriptorSet(file=[stamp, file])
+    return MESSAGE, files.SerializeToString()
+
+
+def encode_events(df: DataFrame) -> DataFrame:
+    """``event_id`` and the event as message bytes in ``body``."""
+    name, descriptor_set = event_message_format()
+
+    def encode(
+        user_id: pd.Series, event_type: pd.Series, value: pd.Series, seconds: pd.Series
+    ) -> pd.Series:
+        from google.protobuf import descriptor_pb2, descriptor_pool
+        from google.protobuf.message_factory import GetMessageClass
+
+        pool = descriptor_pool.DescriptorPool()
+        for file in descriptor_pb2.FileDescriptorSet.FromString(descriptor_set).file:
+            pool.AddSerializedFile(file.SerializeToString())
+        message_class = GetMessageClass(pool.FindMessageTypeByName(name))
+        kinds = pool.FindEnumTypeByName("workload.Kind").values_by_name
+        out = []
+        for user, kind, amount, sec in zip(user_id, event_type, value, seconds):
+            message = message_class(user_id=user, event_type=kinds[kind].number, value=amount)
+            message.tags["kind"] = kind
+            message.inner.amounts.append(amount)
+            message.ts.seconds = sec
+            out.append(message.SerializeToString())
+        return pd.Series(out)
+
+    seconds = F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col("ts"))
+    body = F.pandas_udf(encode, "binary")("user_id", "event_type", "value", seconds)
+    return df.select("event_id", body.alias("body"))
