@@ -6,9 +6,9 @@ pair of rows is ever formed. A feature row is compared as the struct ``(event ti
 time, tie-break, values)``, so the running maximum is the latest row with ties resolved.
 
 A key with more rows than one task should sort is *hot*. Hot keys are found with a mergeable
-heavy-hitter sketch; it only steers the plan, never the result. Their rows are first reduced
-to one per (key, time) with map-side combining, then cut into time slices of about equal size;
-each slice is scanned on its own and inherits the best row of the slices before it.
+heavy-hitter sketch over a part of the rows; it only steers the plan, never the result. Their
+rows are cut into time slices of about equal size; each slice is scanned on its own and inherits
+the best row of the slices before it. Times too frequent to cut are reduced to one row first.
 """
 
 from __future__ import annotations
@@ -39,12 +39,14 @@ _ROW, _TS, _SIDE, _SLICE = "_tm_row", "_tm_ts", "_tm_side", "_tm_slice"
 class SkewPolicy:
     """Sizes that steer the physical plan; none of them changes a result."""
 
-    hot_rows: int = 2_000_000
+    hot_rows: int = 1_000_000
     max_hot_keys: int = 4096
     tracked_keys: int = 65_536
     max_slices: int = 2048
+    sketch_share: float = 1 / 16
     broadcast_bytes: int = 16 << 20
     broadcast_ratio: int = 16
+    broadcast_partitions: int | None = None
 
 
 @dataclass(frozen=True)
@@ -75,13 +77,30 @@ def _usable(keys: Sequence[str], ts: str) -> Column:
     return all_not_null([quoted(n) for n in [*keys, ts]])
 
 
+def _picked(policy: SkewPolicy) -> Column:
+    """A random part of the rows is enough to see which keys are large."""
+    return F.lit(True) if policy.sketch_share >= 1 else F.rand(0) < policy.sketch_share
+
+
 def _heavy_hitters(usable: str, hashed: str, policy: SkewPolicy) -> Column:
     sketch = f"approx_top_k({hashed}, {policy.max_hot_keys}, {policy.tracked_keys})"
-    return F.expr(f"{sketch} FILTER (WHERE {usable})")
+    return F.expr(f"{sketch} FILTER (WHERE picked AND {usable})")
+
+
+def _constants(values: Sequence[int]) -> str:
+    """Many constants as SQL text, which costs one call instead of one per value."""
+    return ", ".join(f"{v}L" if v > -(1 << 63) else f"(-{(1 << 63) - 1}L - 1L)" for v in values)
+
+
+def _is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:
+    names = ", ".join("`" + k.replace("`", "``") + "`" for k in keys)
+    return F.expr(f"xxhash64({names}) IN ({_constants(hot)})")
 
 
 def _as_hot(entries, policy: SkewPolicy) -> dict[int, int]:
-    return {e["item"]: e["count"] for e in entries or [] if e["count"] >= policy.hot_rows}
+    scale = 1 / min(policy.sketch_share, 1)
+    sizes = {e["item"]: math.ceil(e["count"] * scale) for e in entries or []}
+    return {h: n for h, n in sizes.items() if n >= policy.hot_rows}
 
 
 def spine_bounds(spine: DataFrame, spine_ts: str) -> tuple[int | None, int | None]:
@@ -99,7 +118,7 @@ def spine_stats(
 ) -> SpineStats:
     """Row count, time bounds and per key set: rows without a key, key bytes and hot keys."""
     us = epoch_micros(quoted(spine_ts), _type_of(spine, spine_ts))
-    narrow = [us.alias("us")]
+    narrow = [us.alias("us"), _picked(policy).alias("picked")]
     aggs = [F.count(F.lit(1)).alias("rows"), F.min("us").alias("lo"), F.max("us").alias("hi")]
     for i, keys in enumerate(key_sets):
         size = F.lit(16)
@@ -132,7 +151,9 @@ def _feature_stats(
 ) -> list[tuple[int, dict[int, int]]]:
     """Per table, in one job: row count and hot keys."""
     parts = [
-        df.select(F.lit(i).alias("i"), _key_hash(_key_set(t)).alias("h"))
+        df.select(
+            F.lit(i).alias("i"), _key_hash(_key_set(t)).alias("h"), _picked(policy).alias("picked")
+        )
         for i, (df, t) in enumerate(zip(frames, tables))
     ]
     merged = parts[0]
@@ -169,9 +190,18 @@ def prune_to_spine(
 
 
 def _semi_join_spine(
-    features: DataFrame, table: FeatureTable, spine: DataFrame, spine_ts: str
+    features: DataFrame,
+    table: FeatureTable,
+    spine: DataFrame,
+    spine_ts: str,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Drop feature rows whose key or time cannot match, with one broadcast row per spine key."""
+    """Drop feature rows whose key or time cannot match, with one broadcast row per spine key.
+
+    ``partitions`` spreads features that are stored in a few large pieces before the join.
+    """
+    if partitions:
+        features = features.repartition(partitions)
     keys = table.entity_names
     per_key = (
         spine.filter(_usable(keys, spine_ts))
@@ -194,6 +224,15 @@ def _candidate(df: DataFrame, table: FeatureTable) -> Column:
     return F.struct(*parts, values.alias("v"))
 
 
+def _spine_rows(spine: DataFrame, spine_ts: str, keys: Sequence[str]) -> DataFrame:
+    return spine.select(
+        *[quoted(k) for k in keys],
+        quoted(spine_ts).alias(_TS),
+        F.lit(1).alias(_SIDE),
+        F.struct(*[quoted(c) for c in spine.columns]).alias(_ROW),
+    )
+
+
 def _feature_rows(
     frames: Sequence[DataFrame], tables: Sequence[FeatureTable], keys: Sequence[str]
 ) -> list[DataFrame]:
@@ -223,13 +262,7 @@ def _scan_by_key(
     spine: DataFrame, spine_ts: str, keys: Sequence[str], frames, tables
 ) -> DataFrame:
     """One window per key: spine rows travel as structs, so copies and extra columns survive."""
-    spine_rows = spine.select(
-        *[quoted(k) for k in keys],
-        quoted(spine_ts).alias(_TS),
-        F.lit(1).alias(_SIDE),
-        F.struct(*[quoted(c) for c in spine.columns]).alias(_ROW),
-    )
-    rows = _union([spine_rows, *_feature_rows(frames, tables, keys)])
+    rows = _union([_spine_rows(spine, spine_ts, keys), *_feature_rows(frames, tables, keys)])
     upto = (
         Window.partitionBy(*[quoted(k) for k in keys])
         .orderBy(_TS, _SIDE)
@@ -245,7 +278,7 @@ def _scan_by_key(
 
 def _slice_of(ts: Column, kind: T.DataType, splits: Sequence[int]) -> Column:
     """Number of splits before ``ts``: a binary search in the sorted constants."""
-    us, found = epoch_micros(ts, kind), F.lit(list(splits))
+    us, found = epoch_micros(ts, kind), F.expr(f"array({_constants(splits)})")
     steps = [1 << b for b in reversed(range(len(splits).bit_length()))]
     return F.aggregate(
         F.lit(steps),
@@ -254,61 +287,102 @@ def _slice_of(ts: Column, kind: T.DataType, splits: Sequence[int]) -> Column:
     )
 
 
-def _time_splits(frames: Sequence[DataFrame], kind: T.DataType, slices: int) -> list[int]:
-    """Times that cut all rows of ``frames`` into about equal slices (a bounded sketch)."""
-    us = _union([df.select(epoch_micros(F.col(_TS), kind).alias("us")) for df in frames])
-    cuts = [i / slices for i in range(1, slices)]
-    row = us.agg(F.percentile_approx("us", cuts, max(10_000, 20 * slices)).alias("s")).first()
-    return sorted(set(row["s"] or []))
+def _time_splits(
+    times: Sequence[DataFrame], kind: T.DataType, slices: int
+) -> tuple[list[int], bool]:
+    """Times that cut all rows into about equal slices, from a sketch of bounded size.
 
+    Also tells whether a single time fills a slice by itself, so that no cut can divide it.
+    """
+    us = _union([df.select(epoch_micros(F.col(_TS), kind).alias("us")) for df in times])
+    cuts = ", ".join(f"{i / slices}D" for i in range(1, slices))
+    sketch = f"percentile_approx(us, array({cuts}), {max(10_000, 20 * slices)})"
+    found = us.agg(F.expr(sketch).alias("s")).first()["s"] or [0]
+    splits = sorted(set(found))
+    return splits, len(splits) < len(found)
 
-def _scan_by_slice(
-    spine: DataFrame,
-    spine_ts: str,
+
+def _scan_slices(
+    spine_rows: DataFrame,
+    feature_rows: Sequence[DataFrame],
     keys: Sequence[str],
-    frames: Sequence[DataFrame],
-    tables: Sequence[FeatureTable],
-    slices: int,
+    kind: T.DataType,
+    splits: Sequence[int],
 ) -> DataFrame:
-    """The same result for keys of any size: no task holds more than a time slice of a key."""
-    kind = _type_of(spine, spine_ts)
-    best = _best_columns(tables)
-    key_cols = [quoted(k) for k in keys]
-    points = (
-        spine.select(*key_cols, quoted(spine_ts).alias(_TS)).distinct().withColumn(_SIDE, F.lit(1))
-    )
-    latest = [
-        rows.groupBy(*key_cols, _TS, _SIDE).agg(F.max(c).alias(c))
-        for rows, c in zip(_feature_rows(frames, tables, keys), best)
-    ]
-    splits = _time_splits([points, *latest], kind, slices)
-    if not splits:
-        splits = [0]
-    rows = _union([points, *latest]).withColumn(_SLICE, _slice_of(F.col(_TS), kind, splits))
+    """``spine_rows`` with the best feature row of each table at or before their time.
 
+    Every slice of a key is scanned on its own; what came before it is the best row of the
+    earlier slices, taken from a summary with one row per key and slice.
+    """
+    key_cols = [quoted(k) for k in keys]
+    best = [f"_tm_f{i}" for i in range(len(feature_rows))]
+    number = _slice_of(F.col(_TS), kind, splits)
+    spine_rows = spine_rows.withColumn(_SLICE, number)
+    feature_rows = [df.withColumn(_SLICE, number) for df in feature_rows]
     upto = (
         Window.partitionBy(*key_cols, _SLICE)
         .orderBy(_TS, _SIDE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    within = rows.select(
-        *key_cols, _TS, _SIDE, _SLICE, *[F.max(c).over(upto).alias(c) for c in best]
-    ).filter(F.col(_SIDE) == 1)
-
+    carried = [c for c in spine_rows.columns if c not in (*keys, _SIDE, _SLICE)]
+    within = (
+        _union([spine_rows, *feature_rows])
+        .select(
+            *key_cols, _SLICE, _SIDE, *carried, *[F.max(c).over(upto).alias(c) for c in best]
+        )
+        .filter(F.col(_SIDE) == 1)
+    )
     before = (
         Window.partitionBy(*key_cols)
         .orderBy(_SLICE)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    summaries = [
+        df.groupBy(*key_cols, _SLICE).agg(F.max(c).alias(c)) for df, c in zip(feature_rows, best)
+    ]
+    summaries.append(spine_rows.select(*key_cols, _SLICE).distinct())
     inherited = (
-        rows.groupBy(*key_cols, _SLICE)
+        _union(summaries)
+        .groupBy(*key_cols, _SLICE)
         .agg(*[F.max(c).alias(c) for c in best])
         .select(*key_cols, _SLICE, *[F.max(c).over(before).alias(f"{c}_old") for c in best])
     )
-    matches = within.join(inherited, on=[*keys, _SLICE], how="left").select(
-        *key_cols, _TS, *[F.coalesce(c, f"{c}_old").alias(c) for c in best]
+    return within.join(inherited, on=[*keys, _SLICE], how="left").select(
+        *key_cols, *carried, *[F.coalesce(c, f"{c}_old").alias(c) for c in best]
+    )
+
+
+def _scan_by_slice(
+    spine: DataFrame,
+    spine_ts: str,
+    keys: Sequence[str],
+    frames: Sequence[DataFrame],
+    tables: Sequence[FeatureTable],
+    slices: int,
+) -> DataFrame:
+    """The same result for keys of any size: no task holds more than a time slice of a key.
+
+    Where single times are too large to cut, spine and features are first reduced to one row
+    per key and time; adaptive execution divides the large groups of the join that brings the
+    spine rows back.
+    """
+    kind = _type_of(spine, spine_ts)
+    best = _best_columns(tables)
+    key_cols = [quoted(k) for k in keys]
+    feature_rows = _feature_rows(frames, tables, keys)
+    spine_rows = _spine_rows(spine, spine_ts, keys)
+    splits, heavy_times = _time_splits(
+        [df.select(_TS) for df in [spine_rows, *feature_rows]], kind, slices
     )
-    # Equal join of the spine with its distinct points; adaptive execution splits hot points.
+    if not heavy_times:
+        matches = _scan_slices(spine_rows, feature_rows, keys, kind, splits)
+        return matches.select(f"{_ROW}.*", *best)
+    points = spine_rows.select(*key_cols, _TS, _SIDE).distinct()
+    latest = [
+        rows.groupBy(*key_cols, _TS, _SIDE).agg(F.max(c).alias(c))
+        for rows, c in zip(feature_rows, best)
+    ]
+    matches = _scan_slices(points, latest, keys, kind, splits)
     matched = spine.join(
         matches.withColumnRenamed(_TS, spine_ts), on=[*keys, spine_ts], how="left"
     )
@@ -359,7 +433,10 @@ def _match(
             for h, n in found.items():
                 hot[h] = hot.get(h, 0) + n
     if strategy == "broadcast":
-        frames = [_semi_join_spine(df, t, bare_spine, spine_ts) for df, t in zip(frames, tables)]
+        spread = policy.broadcast_partitions
+        frames = [
+            _semi_join_spine(df, t, bare_spine, spine_ts, spread) for df, t in zip(frames, tables)
+        ]
     elif stats is not None and counts is not None:
         fits = stats.key_bytes.get(names, policy.broadcast_bytes + 1) <= policy.broadcast_bytes
         frames = [
@@ -375,7 +452,7 @@ def _match(
             )
         )
     elif hot:
-        is_hot = _key_hash(keys).isin(sorted(hot))
+        is_hot = _is_hot(keys, sorted(hot))
         slices = min(policy.max_slices, max(2, math.ceil(sum(hot.values()) / policy.hot_rows)))
         parts.append(
             _scan_by_key(

@@ -116,16 +116,24 @@ class OnlineStore:
             for entry in self._files.names(f"{space}/log/{name}"):
                 seq, _, tag = entry.partition("-")
                 path = f"{space}/log/{name}/{entry}"
-                done = self._files.exists(f"{path}/_SUCCESS")
+                done = int(seq) <= snap.base or self._files.exists(f"{path}/_SUCCESS")
                 (snap.complete if done else snap.incomplete)[name].append((int(seq), tag, path))
         return snap
 
     # Writing
 
     def write(
-        self, df: DataFrame, table: FeatureTable, event_ts: str, tag: str | None = None
+        self,
+        df: DataFrame,
+        table: FeatureTable,
+        event_ts: str,
+        tag: str | None = None,
+        partitions: int | None = None,
     ) -> bool:
-        """Apply a batch of valid rows; False if a batch with this ``tag`` is there already."""
+        """Apply a batch of valid rows; False if a batch with this ``tag`` is there already.
+
+        The batch is shuffled once, by key; ``partitions`` fixes into how many parts.
+        """
         space, tag = self._space(table), tag or uuid.uuid4().hex
         snap = self._snapshot(space)
         if any(t == tag for _, t, _ in snap.complete.get(table.name, [])):
@@ -134,6 +142,8 @@ class OnlineStore:
         for known, t, _ in snap.incomplete.get(table.name, []):
             if t == tag:
                 seq = known
+        if partitions:
+            df = df.repartition(partitions, *[quoted(k) for k in table.entity_names])
         rows = log_rows(df, table, event_ts, seq, self.max_jitter, self.layout)
         rows.write.mode("overwrite").parquet(f"{space}/log/{table.name}/{seq:012d}-{tag}")
         return True

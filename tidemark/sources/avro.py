@@ -1,0 +1,203 @@
+"""Avro message bytes for sessions without Spark's Avro package: schema and row helper."""
+
+from __future__ import annotations
+
+import json
+import struct
+from collections.abc import Callable
+
+from pyspark.sql import types as T
+
+# A reader takes the bytes and a position and returns a value and the position after it.
+Reader = Callable[[bytes, int], tuple]
+
+# Spark types of Avro's primitive and logical types.
+_PRIMITIVES = {
+    "null": T.NullType(),
+    "boolean": T.BooleanType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "bytes": T.BinaryType(),
+    "string": T.StringType(),
+}
+_TIMES = {
+    "timestamp-millis": (T.TimestampType(), 1000),
+    "timestamp-micros": (T.TimestampType(), 1),
+    "local-timestamp-millis": (T.TimestampNTZType(), 1000),
+    "local-timestamp-micros": (T.TimestampNTZType(), 1),
+}
+
+
+def _long(data: bytes, at: int) -> tuple[int, int]:
+    shift = value = 0
+    while True:
+        byte = data[at]
+        at += 1
+        value |= (byte & 0x7F) << shift
+        if byte < 0x80:
+            return (value >> 1) ^ -(value & 1), at
+        shift += 7
+
+
+def _sized(data: bytes, at: int) -> tuple[bytes, int]:
+    size, at = _long(data, at)
+    if size < 0 or at + size > len(data):
+        raise ValueError("message ends early")
+    return data[at : at + size], at + size
+
+
+def _text(data: bytes, at: int) -> tuple[str, int]:
+    raw, at = _sized(data, at)
+    return raw.decode(), at
+
+
+def _packed(layout: str) -> Reader:
+    size = struct.calcsize(layout)
+    return lambda data, at: (struct.unpack_from(layout, data, at)[0], at + size)
+
+
+def _blocks(data: bytes, at: int):
+    """Positions of the items of an array or map; the caller sends back where each ended."""
+    count, at = _long(data, at)
+    while count:
+        if count < 0:
+            count = -count
+            _, at = _long(data, at)
+        for _ in range(count):
+            at = yield at
+        count, at = _long(data, at)
+    yield (at,)
+
+
+def _items(read: Reader) -> Reader:
+    def read_items(data, at):
+        out, walk = [], _blocks(data, at)
+        at = next(walk)
+        while not isinstance(at, tuple):
+            value, end = read(data, at)
+            out.append(value)
+            at = walk.send(end)
+        return out, at[0]
+
+    return read_items
+
+
+def _pair(read: Reader) -> Reader:
+    def read_pair(data, at):
+        key, at = _text(data, at)
+        value, at = read(data, at)
+        return (key, value), at
+
+    return read_pair
+
+
+def _choice(readers: list[Reader]) -> Reader:
+    def read_choice(data, at):
+        branch, at = _long(data, at)
+        if branch < 0:
+            raise ValueError("bad union branch")
+        return readers[branch](data, at)
+
+    return read_choice
+
+
+def _record(fields: list[tuple[str, Reader]]) -> Reader:
+    def read_record(data, at):
+        out = {}
+        for name, read in fields:
+            out[name], at = read(data, at)
+        return out, at
+
+    return read_record
+
+
+def _fixed(size: int) -> Reader:
+    def read_fixed(data, at):
+        if at + size > len(data):
+            raise ValueError("message ends early")
+        return data[at : at + size], at + size
+
+    return read_fixed
+
+
+def _scaled(read: Reader, factor: int) -> Reader:
+    def read_scaled(data, at):
+        value, at = read(data, at)
+        return value * factor, at
+
+    return read_scaled
+
+
+def _enum(symbols: list[str]) -> Reader:
+    def read_enum(data, at):
+        number, at = _long(data, at)
+        return symbols[number], at
+
+    return read_enum
+
+
+_PRIMITIVE_READERS: dict[str, Reader] = {
+    "null": lambda data, at: (None, at),
+    "boolean": lambda data, at: (data[at] == 1, at + 1),
+    "int": _long,
+    "long": _long,
+    "float": _packed("<f"),
+    "double": _packed("<d"),
+    "bytes": _sized,
+    "string": _text,
+}
+
+
+def _union(branches, named) -> tuple[T.DataType, Reader]:
+    parsed = [_parse(b, named) for b in branches]
+    kinds = {k for k, _ in parsed if k != T.NullType()}
+    if kinds == {T.IntegerType(), T.LongType()}:
+        kinds = {T.LongType()}
+    if kinds == {T.FloatType(), T.DoubleType()}:
+        kinds = {T.DoubleType()}
+    if len(kinds) != 1:
+        raise ValueError("an Avro union must come down to one type and null")
+    return kinds.pop(), _choice([r for _, r in parsed])
+
+
+def _parse(schema, named: dict) -> tuple[T.DataType, Reader]:
+    if isinstance(schema, list):
+        return _union(schema, named)
+    if isinstance(schema, str):
+        if schema in named:
+            return named[schema]
+        return _PRIMITIVES[schema], _PRIMITIVE_READERS[schema]
+    kind = schema["type"]
+    if schema.get("logicalType") in _TIMES:
+        spark_type, factor = _TIMES[schema["logicalType"]]
+        return spark_type, _scaled(_long, factor)
+    if schema.get("logicalType") == "date":
+        return T.DateType(), _long
+    if kind == "record":
+        fields = [(f["name"], *_parse(f["type"], named)) for f in schema["fields"]]
+        spark_type = T.StructType([T.StructField(n, t) for n, t, _ in fields])
+        result = spark_type, _record([(n, r) for n, _, r in fields])
+    elif kind == "enum":
+        result = T.StringType(), _enum(schema["symbols"])
+    elif kind == "fixed":
+        result = T.BinaryType(), _fixed(schema["size"])
+    elif kind == "array":
+        item_type, read = _parse(schema["items"], named)
+        result = T.ArrayType(item_type), _items(read)
+    elif kind == "map":
+        value_type, read = _parse(schema["values"], named)
+        result = T.MapType(T.StringType(), value_type), _items(_pair(read))
+    else:
+        return _parse(kind, named)
+    if "name" in schema:
+        named[schema["name"]] = result
+        if schema.get("namespace"):
+            named[f"{schema['namespace']}.{schema['name']}"] = result
+    return result
+
+
+def avro_reader(schema_json: str) -> tuple[T.DataType, Reader]:
+    """Spark type of an Avro schema, and a function that reads one value of it."""
+    return _parse(json.loads(schema_json), {})

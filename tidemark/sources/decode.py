@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.operators.mapping import flatten
+from tidemark.sources.avro import avro_reader
 
 FEATURES = "_tm_features"
 
@@ -23,7 +25,7 @@ class JsonFormat:
 
 @dataclass(frozen=True)
 class AvroFormat:
-    """``schema_json`` is the writer's schema. Needs Spark's Avro package on the classpath."""
+    """``schema_json`` is the writer's schema."""
 
     schema_json: str
 
@@ -159,17 +161,38 @@ def from_proto(value: Column, fmt: ProtoFormat) -> Column:
     return F.arrow_udf(decode, schema)(value)
 
 
-def from_avro(value: Column, fmt: AvroFormat) -> Column:
-    from pyspark.sql.avro.functions import from_avro as spark_from_avro
+def _spark_avro_there() -> bool:
+    """Whether the session has Spark's own Avro package."""
+    from pyspark.sql import SparkSession
+
+    loader = SparkSession.active()._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    name = "org/apache/spark/sql/avro/AvroDataToCatalyst.class"
+    return loader.getResource(name) is not None
+
+
+def from_avro(value: Column, fmt: AvroFormat, native: bool | None = None) -> Column:
+    """Message bytes as a struct: with Spark's Avro package where there is one (``native``),
+    else decoded in Arrow batches; NULL for malformed bytes."""
+    if _spark_avro_there() if native is None else native:
+        from pyspark.sql.avro.functions import from_avro as spark_from_avro
 
-    try:
         return spark_from_avro(value, fmt.schema_json, {"mode": "PERMISSIVE"})
-    except TypeError as error:
-        # PySpark reports a missing JVM class as a call on a package object.
-        raise RuntimeError(
-            "decoding Avro messages needs the spark-avro package: start the session with "
-            "spark.jars.packages=org.apache.spark:spark-avro_2.13:<Spark version>"
-        ) from error
+    schema_json = fmt.schema_json
+    spark_type, _ = avro_reader(schema_json)
+    arrow_type, readers = to_arrow_type(spark_type), {}
+
+    def decode(batch: pa.Array) -> pa.Array:
+        if schema_json not in readers:
+            readers[schema_json] = avro_reader(schema_json)[1]
+        read, rows = readers[schema_json], []
+        for raw in batch.to_pylist():
+            try:
+                rows.append(None if raw is None else read(raw, 0)[0])
+            except (ValueError, IndexError, struct.error):
+                rows.append(None)
+        return pa.array(rows, type=arrow_type)
+
+    return F.arrow_udf(decode, spark_type)(value)
 
 
 def decode_value(value: Column, fmt) -> Column:

@@ -70,5 +70,7 @@ def stage_rows_by_day(
         else scratch_path(spark, name)
     )
     staged = df.select(*columns, F.to_date(quoted(ts)).alias(PARTITION_DATE))
+    # Few files per day, and no task with a whole hot day.
+    staged = staged.hint("rebalance", F.col(PARTITION_DATE))
     staged.write.partitionBy(PARTITION_DATE).parquet(path)
     return FileSource(ts, path=path, date_partition_column=PARTITION_DATE)

@@ -294,6 +294,12 @@ SELECT event_id, CASE WHEN ok THEN user_id END AS user_id,
   CASE WHEN ok THEN event_type END AS kind, CASE WHEN ok THEN value END AS amount,
   CASE WHEN ok THEN epoch_us(ts) // 1000000 END AS ts_seconds
 FROM (SELECT *, event_id % 13 <> 0 AS ok FROM events)"""
+ORACLE["decode_avro"] = """
+SELECT event_id, CASE WHEN ok THEN user_id END AS user_id,
+  CASE WHEN ok THEN event_type END AS event_type, CASE WHEN ok THEN value END AS value,
+  CASE WHEN ok THEN event_type END AS kind, CASE WHEN ok THEN -event_id END AS minus_id,
+  CASE WHEN ok THEN ts END AS ts
+FROM (SELECT *, event_id % 13 <> 0 AS ok FROM events)"""
 ORACLE["nested_mapping"] = (
     "SELECT user_id, value AS amount, event_type AS kind, event_id AS id, ts FROM events"
 )

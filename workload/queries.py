@@ -22,7 +22,7 @@ from tidemark.plans.retrieval import get_historical_features
 from tidemark.sinks.online import OnlineStore
 from tidemark.sinks.training import export_epoch
 from tidemark.sources.batch import scan_range
-from tidemark.sources.decode import JsonFormat, ProtoFormat, decode_messages
+from tidemark.sources.decode import AvroFormat, JsonFormat, ProtoFormat, decode_messages
 from tidemark.sources.staging import scratch_path, stage_rows_by_day
 from tidemark.spec import (
     FeatureTable,
@@ -32,7 +32,12 @@ from tidemark.spec import (
     FrameSource,
 )
 from tidemark.streaming.ingest import ingest_stream
-from workload.messages import encode_events, event_message_format
+from workload.messages import (
+    AVRO_SCHEMA,
+    encode_avro_events,
+    encode_events,
+    event_message_format,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -654,6 +659,24 @@ def decode_protobuf(spark, sf_dir):
     )
 
 
+@query
+def decode_avro(spark, sf_dir):
+    """Events as Avro messages, every 13th one cut short, decoded again."""
+    raw = encode_avro_events(events(spark, sf_dir)).withColumn(
+        "body", F.expr("CASE WHEN event_id % 13 = 0 THEN substring(body, 1, 9) ELSE body END")
+    )
+    decoded = decode_messages(raw, AvroFormat(AVRO_SCHEMA), "body", keep=["event_id"])
+    return decoded.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        F.col("tags")["kind"].alias("kind"),
+        F.col("ids").getItem(1).alias("minus_id"),
+        "ts",
+    )
+
+
 @query
 def nested_mapping(spark, sf_dir):
     """Map and nested fields of a message taken by path."""
