@@ -28,6 +28,7 @@ from tidemark.functions.scalars import (
     timestamp_literal,
 )
 from tidemark.operators.mapping import output_columns, prefixed, quoted
+from tidemark.operators.unions import union_rows
 from tidemark.spec import CREATED_TS, EVENT_TS, FeatureTable, SchemaError
 
 SPINE_EVENT_TS = "event_timestamp_entity"
@@ -156,11 +157,9 @@ def _feature_stats(
         )
         for i, (df, t) in enumerate(zip(frames, tables))
     ]
-    merged = parts[0]
-    for p in parts[1:]:
-        merged = merged.unionByName(p)
     rows = (
-        merged.groupBy("i")
+        union_rows(parts)
+        .groupBy("i")
         .agg(F.count(F.lit(1)).alias("rows"), _heavy_hitters("true", "h", policy).alias("top"))
         .collect()
     )
@@ -247,13 +246,6 @@ def _feature_rows(
     ]
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    merged = frames[0]
-    for df in frames[1:]:
-        merged = merged.unionByName(df, allowMissingColumns=True)
-    return merged
-
-
 def _best_columns(tables: Sequence[FeatureTable]) -> list[str]:
     return [f"_tm_f{i}" for i in range(len(tables))]
 
@@ -262,7 +254,7 @@ def _scan_by_key(
     spine: DataFrame, spine_ts: str, keys: Sequence[str], frames, tables
 ) -> DataFrame:
     """One window per key: spine rows travel as structs, so copies and extra columns survive."""
-    rows = _union([_spine_rows(spine, spine_ts, keys), *_feature_rows(frames, tables, keys)])
+    rows = union_rows([_spine_rows(spine, spine_ts, keys), *_feature_rows(frames, tables, keys)])
     upto = (
         Window.partitionBy(*[quoted(k) for k in keys])
         .orderBy(_TS, _SIDE)
@@ -294,7 +286,7 @@ def _time_splits(
 
     Also tells whether a single time fills a slice by itself, so that no cut can divide it.
     """
-    us = _union([df.select(epoch_micros(F.col(_TS), kind).alias("us")) for df in times])
+    us = union_rows([df.select(epoch_micros(F.col(_TS), kind).alias("us")) for df in times])
     cuts = ", ".join(f"{i / slices}D" for i in range(1, slices))
     sketch = f"percentile_approx(us, array({cuts}), {max(10_000, 20 * slices)})"
     found = us.agg(F.expr(sketch).alias("s")).first()["s"] or [0]
@@ -326,7 +318,7 @@ def _scan_slices(
     )
     carried = [c for c in spine_rows.columns if c not in (*keys, _SIDE, _SLICE)]
     within = (
-        _union([spine_rows, *feature_rows])
+        union_rows([spine_rows, *feature_rows])
         .select(
             *key_cols, _SLICE, _SIDE, *carried, *[F.max(c).over(upto).alias(c) for c in best]
         )
@@ -342,7 +334,7 @@ def _scan_slices(
     ]
     summaries.append(spine_rows.select(*key_cols, _SLICE).distinct())
     inherited = (
-        _union(summaries)
+        union_rows(summaries)
         .groupBy(*key_cols, _SLICE)
         .agg(*[F.max(c).alias(c) for c in best])
         .select(*key_cols, _SLICE, *[F.max(c).over(before).alias(f"{c}_old") for c in best])
@@ -477,7 +469,7 @@ def _match(
         parts.append(_scan_by_key(spine.filter(usable), spine_ts, keys, frames, tables))
     if stats is None or stats.unmatchable.get(names, 1):
         parts.append(_without_match(spine.filter(~usable), frames, tables))
-    joined = _union(parts)
+    joined = union_rows(parts)
     out = [quoted(c) for c in spine.columns]
     for i, table in enumerate(tables):
         match = F.col(f"_tm_f{i}")

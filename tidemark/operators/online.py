@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scalars import add_seconds, key_text
 from tidemark.operators.mapping import prefixed, quoted
+from tidemark.operators.unions import union_rows
 from tidemark.spec import EVENT_TS, FeatureTable
 
 SEQ, EXPIRY = "_seq", "_expiry"
@@ -130,18 +131,27 @@ def fold_expiry(
     keys: Sequence[str],
     kept: DataFrame | None = None,
     base: int = -1,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Expiry of each key, shared by all feature tables on it.
 
     Every applied row of a table with an age limit can only move the expiry up; one of a table
     without removes it, and later rows start anew. Log rows up to ``base`` only say which later
     ones were applied; the expiries at that point are ``kept`` (keys, ``_seq``, ``_expiry``).
+    ``wanted`` (distinct keys) restricts the result.
     """
     key_cols = [quoted(k) for k in keys]
-    rows = None if kept is None else kept.select(*key_cols, SEQ, EXPIRY)
-    for log in logs:
-        part = accepted(log, keys).filter(F.col(SEQ) > base).select(*key_cols, SEQ, EXPIRY)
-        rows = part if rows is None else rows.unionByName(part)
+    columns = [*key_cols, EVENT_TS, SEQ, EXPIRY]
+    tagged = [log.select(*columns, F.lit(i).alias("_tm_log")) for i, log in enumerate(logs)]
+    rows = union_rows(tagged)
+    if wanted is not None:
+        rows = rows.join(wanted, on=list(keys), how="left_semi")
+    # Placed by key once, for the windows per table and per key alike.
+    rows = accepted(rows.repartition(*key_cols), [*keys, "_tm_log"]).filter(F.col(SEQ) > base)
+    if kept is not None:
+        if wanted is not None:
+            kept = kept.join(wanted, on=list(keys), how="left_semi")
+        rows = union_rows([rows.select(*key_cols, SEQ, EXPIRY), kept.select(*key_cols, SEQ, EXPIRY)])
     reset = F.max(F.when(F.col(EXPIRY).isNull(), F.col(SEQ))).over(Window.partitionBy(*key_cols))
     since = rows.withColumn("_tm_reset", F.coalesce(reset, F.lit(-1)))
     return since.groupBy(*key_cols).agg(

@@ -162,29 +162,19 @@ class OnlineStore:
         path = newer[-1] if newer else self._base_path(space, snap.base, name)
         return self.spark.read.parquet(path).schema
 
-    @staticmethod
-    def _only(df: DataFrame, names: Sequence[str], keys: DataFrame | None) -> DataFrame:
-        if keys is None:
-            return df
-        wanted = keys.select(*[quoted(k) for k in names]).distinct()
-        return df.join(wanted, on=list(names), how="left_semi")
-
     def _expiry(
-        self, space: str, snap: _Snapshot, names: Sequence[str], keys: DataFrame | None = None
+        self, space: str, snap: _Snapshot, names: Sequence[str], wanted: DataFrame | None = None
     ) -> DataFrame:
         """Shared expiry of the keys: the log of all tables on top of what the base kept."""
-        columns = [quoted(c) for c in [*names, EVENT_TS, SEQ, EXPIRY]]
-        logs = []
-        for table_name in sorted(snap.complete):
-            if snap.has_rows(table_name):
-                schema = self._stored_schema(space, snap, table_name)
-                log = self._log(space, snap, table_name, schema).select(*columns)
-                logs.append(self._only(log, names, keys))
+        logs = [
+            self._log(space, snap, name, self._stored_schema(space, snap, name))
+            for name in sorted(snap.complete)
+            if snap.has_rows(name)
+        ]
         kept = None
         if snap.base >= 0:
-            path = self._base_path(space, snap.base, KEY_EXPIRY)
-            kept = self._only(self.spark.read.parquet(path), names, keys)
-        return fold_expiry(logs, names, kept, snap.base)
+            kept = self.spark.read.parquet(self._base_path(space, snap.base, KEY_EXPIRY))
+        return fold_expiry(logs, names, kept, snap.base, wanted)
 
     def read(
         self,
@@ -205,9 +195,13 @@ class OnlineStore:
             return self.spark.createDataFrame([], empty).select(*[quoted(n) for n in names])
         stored = self._stored_schema(space, snap, table.name)
         log = self._log(space, snap, table.name, log_schema(table, stored[EVENT_TS].dataType))
-        state = fold_table(self._only(log, table.entity_names, keys), table, self.layout)
+        wanted = None
+        if keys is not None:
+            wanted = keys.select(*[quoted(k) for k in table.entity_names]).distinct()
+            log = log.join(wanted, on=table.entity_names, how="left_semi")
+        state = fold_table(log, table, self.layout)
         if self.layout == "feature":
-            expiry = self._expiry(space, snap, table.entity_names, keys)
+            expiry = self._expiry(space, snap, table.entity_names, wanted)
             state = state.join(expiry, on=table.entity_names, how="left")
         return state.select(*[quoted(n) for n in names])
 

@@ -16,6 +16,7 @@ from tidemark.operators import online
 from tidemark.operators.asof import nearest_feature_rows, prune_to_spine, spine_bounds
 from tidemark.operators.mapping import map_fields
 from tidemark.operators.metrics import freshness, lag_stats, row_counts
+from tidemark.operators.unions import union_rows
 from tidemark.operators.validate import check_counts, check_observed, split_valid
 from tidemark.plans.ingestion import ingest_batch, project_input
 from tidemark.plans.retrieval import get_historical_features
@@ -153,7 +154,7 @@ def asof_tie_created(spark, sf_dir):
     later = first.withColumn("created_ts", F.expr("created_ts + INTERVAL 10 MINUTES")).withColumn(
         "value", F.col("value") * 2
     )
-    source = FrameSource("ts", "created_ts", df=later.unionByName(first))
+    source = FrameSource("ts", "created_ts", df=union_rows([later, first]))
     table = replace(table, batch_source=source)
     return get_historical_features(spark, ["clicks:value"], spine_of(purchases(ev)), [table])
 
@@ -172,7 +173,7 @@ def asof_edge(spark, sf_dir):
         )
         for i, shift in enumerate(shifts)
     ]
-    spine = copies[0].unionByName(copies[1]).unionByName(copies[2])
+    spine = union_rows(copies)
     tables = [features_of(ev, "click", "clicks", DAY)]
     return get_historical_features(spark, ["clicks:value"], spine_of(spine), tables)
 
@@ -203,7 +204,7 @@ def asof_dup_spine(spark, sf_dir):
     ev = events(spark, sf_dir)
     spine = purchases(ev)
     tables = [features_of(ev, "click", "clicks", DAY)]
-    doubled = spine.unionAll(spine)
+    doubled = union_rows([spine, spine])
     return get_historical_features(spark, ["clicks:value"], spine_of(doubled), tables)
 
 
@@ -496,7 +497,7 @@ def batch_log(df: DataFrame, table: FeatureTable, layout: str = "feature") -> Da
         online.log_rows(batch, table, "ts", seq, layout=layout)
         for seq, batch in enumerate(three_batches(df))
     ]
-    return batches[0].unionByName(batches[1]).unionByName(batches[2])
+    return union_rows(batches)
 
 
 def gappy(df: DataFrame) -> DataFrame:
@@ -560,9 +561,9 @@ def online_lookup(spark, sf_dir):
     for table in tables:
         ingest_batch(spark, table, store, mid, dt.datetime(2024, 1, 31))
         ingest_batch(spark, table, store, dt.datetime(2024, 1, 1), mid)
-    requests = ev.select("user_id").distinct().unionAll(
-        ev.select((-F.col("user_id") - 1).alias("user_id")).distinct()
-    )
+    known = ev.select("user_id").distinct()
+    unknown = known.select((-F.col("user_id") - 1).alias("user_id"))
+    requests = union_rows([known, unknown])
     now = F.expr("timestamp_ntz'2024-01-31 00:00:00'")
     return store.get(requests, tables, now, with_status=True)
 
@@ -601,9 +602,8 @@ def batch_ingestion(spark, sf_dir):
     stored = store.read(table).select(
         "user_id", "value", "event_id", F.col("event_timestamp").alias("ts"), F.lit(True).alias("kept")
     )
-    return stored.unionByName(
-        dead.select("user_id", "value", "event_id", "ts", F.lit(False).alias("kept"))
-    )
+    rejected = dead.select("user_id", "value", "event_id", "ts", F.lit(False).alias("kept"))
+    return union_rows([stored, rejected])
 
 
 # Metrics
@@ -762,4 +762,5 @@ def stream_kept(spark, sf_dir):
     store, table = _stream(spark, parts, table, validator=small, dead_letter=rejects)
     dead = spark.read.option("recursiveFileLookup", "true").parquet(rejects)
     stored = store.read(table).select("user_id", "event_id", F.lit("stored").alias("place"))
-    return stored.unionByName(dead.select("user_id", "event_id", F.lit("rejected").alias("place")))
+    rejected = dead.select("user_id", "event_id", F.lit("rejected").alias("place"))
+    return union_rows([stored, rejected])
