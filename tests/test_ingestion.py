@@ -2,6 +2,7 @@
 
 import dataclasses
 import datetime as dt
+import json
 import time
 
 import pandas as pd
@@ -15,7 +16,7 @@ from tidemark.sinks.online import OnlineStore
 from tidemark.sources.batch import last_days, read_source, scan_range
 from tidemark.sources.decode import AvroFormat, JsonFormat, ProtoFormat, decode_messages, proto_schema
 from tidemark.sources.staging import scratch_path, stage_rows, stage_rows_by_day
-from tidemark.sources.stream import MESSAGE_TIME, read_stream
+from tidemark.sources.stream import MESSAGE_TIME, read_stream, stream_source_from_dict
 from tidemark.spec import (
     FeatureTable,
     Field,
@@ -25,6 +26,7 @@ from tidemark.spec import (
     KafkaSource,
     SchemaError,
     TableSource,
+    apply_validation,
 )
 from tidemark.streaming.ingest import ingest_stream
 from tidemark.streaming.progress import ProgressLog, recent_progress
@@ -253,6 +255,37 @@ def test_trigger_label(spark, frame, tmp_path):
         ingest_stream(spark, TABLE, store)
 
 
+def test_rules_of_the_table_apply(spark, frame, tmp_path):
+    rows = frame(ROWS, [("a", 1, 0.1, day(1)), ("b", 500, 0.1, day(1)), ("c", 60, 0.1, day(1))])
+    labels = {"_expectations": json.dumps({"expectations": RULES})}
+    table = dataclasses.replace(TABLE, labels=labels, batch_source=FrameSource("ts", df=rows))
+    table = apply_validation(table, lambda b: b["feature1"] < 50, 30)
+    assert table.labels["_streaming_trigger_secs"] == "30"
+    batch_store = OnlineStore(spark, str(tmp_path / "batch"))
+    assert ingest_batch(spark, table, batch_store, dt.datetime(2021, 1, 1), dt.datetime(2021, 1, 2)).ingested == 2
+    store, _ = started(spark, tmp_path, table, [rows], rows.schema, drop_invalid=True)
+    assert rows_of(store.read(table), "customer") == [("a",)]
+
+
+def test_stream_declarations():
+    conf = {
+        "bootstrap_servers": "host:9092",
+        "topic": "t",
+        "event_timestamp_column": "ts",
+        "field_mapping": {"a": "b"},
+        "format": {"json_class": "AvroFormat", "schema_json": '"string"'},
+    }
+    source = stream_source_from_dict({"kafka": conf})
+    assert source.message_format == AvroFormat('"string"') and source.field_mapping == {"a": "b"}
+    proto = {"kafka": {**conf, "format": {"json_class": "ProtoFormat", "class_path": "a.B"}}}
+    assert stream_source_from_dict(proto, b"x").message_format == ProtoFormat("a.B", b"x")
+    with pytest.raises(ValueError):
+        stream_source_from_dict(proto)
+    with pytest.raises(ValueError):
+        stream_source_from_dict({"kafka": {**conf, "format": {"json_class": "Other"}}})
+    assert stream_source_from_dict({"kafka": {**conf, "format": None}}).message_format is None
+
+
 def proto_message(**values):
     from google.protobuf import descriptor_pb2, descriptor_pool
     from google.protobuf.message_factory import GetMessageClass

@@ -42,7 +42,7 @@ class SkewPolicy:
 
     hot_rows: int = 1_000_000
     max_hot_keys: int = 4096
-    tracked_keys: int = 65_536
+    tracked_keys: int = 16_384
     max_slices: int = 2048
     sketch_share: float = 1 / 16
     broadcast_bytes: int = 16 << 20

@@ -41,6 +41,7 @@ def ingest_batch(
 ) -> IngestionReport:
     """Ingest rows with an event time in ``[start, end)``, or of the last days up to today.
 
+    Without ``expectations`` the rules in the table's labels apply.
     Rejected rows are appended under ``dead_letter`` if given. They come from a second scan
     with the opposite filter, which at scale costs less than caching the input would. A batch
     whose ``tag`` was ingested before is left alone and reported as empty.
@@ -53,7 +54,8 @@ def ingest_batch(
     if start is None or end is None:
         raise ValueError("give start and end, or last_n_days")
     projected = project_input(scan_range(spark, source, start, end), table, source)
-    check = all_checks(table, source.event_timestamp_column, expectations)
+    rules = expectations if expectations is not None else table.expectations
+    check = all_checks(table, source.event_timestamp_column, rules)
     seen = Observation()
     counted = projected.observe(
         seen,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from operator import attrgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -101,59 +102,63 @@ def proto_schema(fmt: ProtoFormat) -> T.StructType:
     return _struct_type(_message_descriptor(fmt.message, fmt.descriptor_set))
 
 
-def _single_value(fd, value):
+def _converter(fd) -> Callable | None:
+    """What turns one set value of a field into its column value; None to keep it."""
     if fd.cpp_type == fd.CPPTYPE_ENUM:
-        named = fd.enum_type.values_by_number.get(value)
-        return named.name if named else None
+        names = {number: v.name for number, v in fd.enum_type.values_by_number.items()}
+        return names.get
     if fd.cpp_type == fd.CPPTYPE_MESSAGE:
         if fd.message_type.full_name == _TIMESTAMP:
-            return value.seconds * 1_000_000
-        return _message_values(value)
+            return lambda stamp: stamp.seconds * 1_000_000
+        return _row_reader(fd.message_type)
     # Unsigned values share the bits of the signed column.
-    if fd.cpp_type == fd.CPPTYPE_UINT32 and value >= 1 << 31:
-        return value - (1 << 32)
-    if fd.cpp_type == fd.CPPTYPE_UINT64 and value >= 1 << 63:
-        return value - (1 << 64)
-    return value
+    if fd.cpp_type == fd.CPPTYPE_UINT32:
+        return lambda n: n - (1 << 32) if n >> 31 else n
+    if fd.cpp_type == fd.CPPTYPE_UINT64:
+        return lambda n: n - (1 << 64) if n >> 63 else n
+    return None
 
 
-def _message_values(message) -> dict:
+def _field_reader(fd) -> Callable:
     """Unset enums and messages are NULL, unset lists and maps empty, other scalars the default."""
-    present = {fd.number: value for fd, value in message.ListFields()}
-    out = {}
-    for fd in message.DESCRIPTOR.fields:
-        value = present.get(fd.number)
-        if _is_map(fd):
-            entry = fd.message_type.fields_by_name["value"]
-            out[fd.name] = [(k, _single_value(entry, v)) for k, v in (value or {}).items()]
-        elif _is_repeated(fd):
-            out[fd.name] = [_single_value(fd, v) for v in value or []]
-        elif value is not None:
-            out[fd.name] = _single_value(fd, value)
-        elif fd.cpp_type in (fd.CPPTYPE_ENUM, fd.CPPTYPE_MESSAGE):
-            out[fd.name] = None
-        else:
-            out[fd.name] = _single_value(fd, fd.default_value)
-    return out
+    get = attrgetter(fd.name)
+    if _is_map(fd):
+        convert = _converter(fd.message_type.fields_by_name["value"]) or (lambda v: v)
+        return lambda message: [(k, convert(v)) for k, v in get(message).items()]
+    convert = _converter(fd)
+    if _is_repeated(fd):
+        return lambda message: [convert(v) for v in get(message)] if convert else list(get(message))
+    if fd.has_presence and fd.cpp_type in (fd.CPPTYPE_ENUM, fd.CPPTYPE_MESSAGE):
+        name = fd.name
+        return lambda message: convert(get(message)) if message.HasField(name) else None
+    if fd.cpp_type == fd.CPPTYPE_ENUM:
+        return lambda message: convert(number) if (number := get(message)) else None
+    return (lambda message: convert(get(message))) if convert else get
+
+
+def _row_reader(descriptor) -> Callable:
+    fields = [(fd.name, _field_reader(fd)) for fd in descriptor.fields]
+    return lambda message: {name: read(message) for name, read in fields}
 
 
 def from_proto(value: Column, fmt: ProtoFormat) -> Column:
     """Message bytes as a struct, decoded in Arrow batches; NULL for malformed bytes."""
     schema = proto_schema(fmt)
     arrow_type = to_arrow_type(schema)
-    message, descriptor_set, classes = fmt.message, fmt.descriptor_set, {}
+    message, descriptor_set, cached = fmt.message, fmt.descriptor_set, {}
 
     def decode(batch: pa.Array) -> pa.Array:
         from google.protobuf.message import DecodeError
         from google.protobuf.message_factory import GetMessageClass
 
-        if message not in classes:
-            classes[message] = GetMessageClass(_message_descriptor(message, descriptor_set))
-        message_class = classes[message]
+        if message not in cached:
+            descriptor = _message_descriptor(message, descriptor_set)
+            cached[message] = GetMessageClass(descriptor).FromString, _row_reader(descriptor)
+        parse, read = cached[message]
         rows = []
         for raw in batch.to_pylist():
             try:
-                rows.append(None if raw is None else _message_values(message_class.FromString(raw)))
+                rows.append(None if raw is None else read(parse(raw)))
             except DecodeError:
                 rows.append(None)
         return pa.array(rows, type=arrow_type)

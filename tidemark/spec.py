@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -38,6 +38,7 @@ CREATED_TS = "created_timestamp"
 # Label under which a table declares how long its online rows must at least live.
 GC_THRESHOLD_LABEL = "gcThresholdSec"
 STREAM_TRIGGER_LABEL = "_streaming_trigger_secs"
+EXPECTATIONS_LABEL = "_expectations"
 
 
 @dataclass(frozen=True)
@@ -118,6 +119,7 @@ class FeatureTable:
     batch_source: Source | None = None
     stream_source: Source | None = None
     tiebreak: str | None = None
+    validator: Callable | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "entities", tuple(self.entities))
@@ -141,6 +143,23 @@ class FeatureTable:
         return max(self.max_age or 0, int(self.labels.get(GC_THRESHOLD_LABEL, 0))) or None
 
 
+    @property
+    def expectations(self) -> str | None:
+        """JSON of the table's own row rules."""
+        return self.labels.get(EXPECTATIONS_LABEL)
+
+
+def apply_validation(
+    table: FeatureTable, validator: Callable, validation_window_secs: int
+) -> FeatureTable:
+    """The table with a function that checks its stream in windows of the given length.
+
+    ``validator`` takes a pandas DataFrame of rows and returns one boolean per row.
+    """
+    labels = {**table.labels, STREAM_TRIGGER_LABEL: str(validation_window_secs)}
+    return replace(table, validator=validator, labels=labels)
+
+
 def field_from_dict(dct: Mapping[str, str]) -> Field:
     return Field(dct["name"], dct["type"])
 

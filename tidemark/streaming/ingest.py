@@ -105,8 +105,11 @@ def ingest_stream(
     The checkpoint lies at ``<checkpoint>/<project>/<table>``, so a restarted application goes
     on where it was. Micro-batches carry the query's id and their number into the store, which
     applies each of them once; dead letters are appended at least once. Late rows need no
-    watermark: the store never lets an older event time replace a newer one.
+    watermark: the store never lets an older event time replace a newer one. Without
+    ``expectations``, ``validator`` and ``trigger_seconds`` those of the table apply.
     """
+    expectations = expectations if expectations is not None else table.expectations
+    validator = validator or table.validator
     source = table.stream_source
     if source is None:
         raise SchemaError(f"feature table {table.name} has no stream source")
