@@ -268,3 +268,29 @@ def test_hot_key_gives_the_same_rows_as_one_window(spark, ties):
     policy = SkewPolicy(hot_rows=300, sketch_share=1)
     split = as_of_join(spine, "at", features, table, "auto", policy)
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
+def test_key_sets_do_not_influence_each_other(spark):
+    """Several key sets at once, with NULL keys and copies, against one join after the other."""
+    rows = spark.range(600).select(
+        F.when(F.col("id") % 11 != 0, F.col("id") % 5).cast("int").alias("driver"),
+        F.when(F.col("id") % 7 != 0, F.col("id") % 3).cast("string").alias("rider"),
+        F.col("id").cast("int").alias("total"),
+        F.timestamp_seconds(F.when(F.col("id") % 13 != 0, F.col("id") % 90)).alias("at"),
+    )
+    spine = rows.filter("total % 2 = 0")
+    features = rows.filter("total % 2 = 1").select(
+        "driver", "rider", "total", F.col("at").alias("event_timestamp"), F.col("at").alias("created_timestamp")
+    )
+    spine = spine.drop("total")
+    by_driver = dataclasses.replace(TRIPS, max_age=20)
+    by_rider = FeatureTable("riders", [Field("rider", "string")], by_driver.features, 5)
+    by_both = FeatureTable("both", [Field("rider", "string"), Field("driver", "int32")], by_driver.features)
+    tables = [by_both, by_driver, by_rider]
+    step = spine
+    for table in tables:
+        step = as_of_join(step, "at", features, table, "window")
+    for policy in (SkewPolicy(), SkewPolicy(hot_rows=40, sketch_share=1, tracked_keys=4096)):
+        at_once = join_feature_tables(spine, "at", [features] * 3, tables, "auto", policy)
+        assert at_once.columns == step.columns
+        assert at_once.exceptAll(step).count() == 0 and step.exceptAll(at_once).count() == 0

@@ -40,6 +40,10 @@ def timestamp_literal(micros: int, data_type: T.DataType) -> Column:
     return F.timestamp_micros(F.lit(micros))
 
 
+def utc_date(micros: int, shift_days: int = 0) -> dt.date:
+    return (_EPOCH + dt.timedelta(microseconds=micros, days=shift_days)).date()
+
+
 def instant(value: dt.datetime | Column, data_type: T.DataType) -> Column:
     """``value`` as a timestamp of the wanted kind; naive datetimes are read as UTC."""
     if isinstance(value, Column):

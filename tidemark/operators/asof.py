@@ -26,8 +26,9 @@ from tidemark.functions.scalars import (
     all_not_null,
     epoch_micros,
     timestamp_literal,
+    utc_date,
 )
-from tidemark.operators.mapping import output_columns, prefixed, quoted
+from tidemark.operators.mapping import DATE_PARTITION, output_columns, prefixed, quoted
 from tidemark.operators.unions import union_rows
 from tidemark.spec import CREATED_TS, EVENT_TS, FeatureTable, SchemaError
 
@@ -176,15 +177,23 @@ def prune_to_spine(
 ) -> DataFrame:
     """Feature rows within ``[first spine time - max_age, last spine time]``, as constants.
 
-    Without a spine time there is nothing to match, and the features are kept as they are.
+    Without a spine time there is nothing to match, and the features are kept as they are. The
+    date partitions of the event times are dropped alike, with a day to spare for the time zone
+    the dates were taken in.
     """
     if min_micros is None:
         return features
     kind = _type_of(features, event_ts)
     ts = quoted(event_ts)
     kept = features.filter(ts <= timestamp_literal(max_micros, kind))
+    dated = DATE_PARTITION in features.columns
+    if dated:
+        kept = kept.filter(F.col(DATE_PARTITION) <= F.lit(utc_date(max_micros, 1)))
     if table.max_age is not None:
-        kept = kept.filter(ts >= timestamp_literal(min_micros - table.max_age * 1_000_000, kind))
+        lowest = min_micros - table.max_age * 1_000_000
+        kept = kept.filter(ts >= timestamp_literal(lowest, kind))
+        if dated:
+            kept = kept.filter(F.col(DATE_PARTITION) >= F.lit(utc_date(lowest, -1)))
     return kept
 
 
@@ -400,7 +409,6 @@ def _check_kinds(spine: DataFrame, spine_ts: str, frames, tables) -> None:
 
 def _match(
     spine: DataFrame,
-    bare_spine: DataFrame,
     spine_ts: str,
     frames: Sequence[DataFrame],
     tables: Sequence[FeatureTable],
@@ -408,10 +416,11 @@ def _match(
     counts: Sequence[tuple[int, dict[int, int]]] | None,
     strategy: str,
     policy: SkewPolicy,
+    complete_keys: bool = False,
 ) -> DataFrame:
     """Spine plus one struct ``_tm_f<i>`` per table (all with the same keys): its match or NULL.
 
-    ``bare_spine`` has the same keys and times without the features joined so far.
+    ``complete_keys`` tells that no spine row lacks its key or time.
     """
     keys = list(_key_set(tables[0]))
     names = tuple(keys)
@@ -427,12 +436,12 @@ def _match(
     if strategy == "broadcast":
         spread = policy.broadcast_partitions
         frames = [
-            _semi_join_spine(df, t, bare_spine, spine_ts, spread) for df, t in zip(frames, tables)
+            _semi_join_spine(df, t, spine, spine_ts, spread) for df, t in zip(frames, tables)
         ]
     elif stats is not None and counts is not None:
         fits = stats.key_bytes.get(names, policy.broadcast_bytes + 1) <= policy.broadcast_bytes
         frames = [
-            _semi_join_spine(df, t, bare_spine, spine_ts)
+            _semi_join_spine(df, t, spine, spine_ts)
             if fits and n >= policy.broadcast_ratio * max(stats.rows, 1)
             else df
             for df, t, (n, _) in zip(frames, tables, counts)
@@ -467,7 +476,7 @@ def _match(
         )
     else:
         parts.append(_scan_by_key(spine.filter(usable), spine_ts, keys, frames, tables))
-    if stats is None or stats.unmatchable.get(names, 1):
+    if not complete_keys and (stats is None or stats.unmatchable.get(names, 1)):
         parts.append(_without_match(spine.filter(~usable), frames, tables))
     joined = union_rows(parts)
     out = [quoted(c) for c in spine.columns]
@@ -497,7 +506,8 @@ def join_feature_tables(
     ``table.tiebreak``, then to the greater values. Without a match the features are NULL.
     The result has the spine's columns, then ``table__feature`` in declared order.
 
-    Tables with the same keys share one pass. ``strategy``: ``"auto"`` measures spine and
+    Tables with the same keys share one pass; the spine is read once for each key set and should
+    be cheap and repeatable to read. ``strategy``: ``"auto"`` measures spine and
     features first, drops features out of reach and handles hot keys; ``"window"`` plans without
     running anything; ``"sliced"`` treats every key as hot; ``"broadcast"`` also reduces the
     features by the broadcast distinct spine keys (raises when those are too large).
@@ -520,15 +530,12 @@ def join_feature_tables(
             for df, t in zip(frames, tables)
         ]
         counts = _feature_stats(frames, tables, policy)
-    joined = spine
-    for members in groups.values():
-        members_tables = [tables[i] for i in members]
-        matched = _match(
-            joined,
-            spine,
-            spine_ts,
+    joined = None
+    for keys, members in groups.items():
+        own = [tables[i] for i in members]
+        plan = (
             [frames[i] for i in members],
-            members_tables,
+            own,
             stats,
             counts and [counts[i] for i in members],
             strategy,
@@ -536,10 +543,21 @@ def join_feature_tables(
         )
         values = [
             F.col(f"_tm_f{n}")["v"][feature].alias(prefixed(table, feature))
-            for n, table in enumerate(members_tables)
+            for n, table in enumerate(own)
             for feature in table.feature_names
         ]
-        joined = matched.select(*[quoted(c) for c in joined.columns], *values)
+        if joined is None:
+            matched = _match(spine, spine_ts, *plan)
+            joined = matched.select(*[quoted(c) for c in spine.columns], *values)
+        else:
+            # From the bare spine, so that what is joined so far occurs once in the plan; the
+            # equal join leaves large groups to adaptive execution.
+            points = spine.select(*[quoted(n) for n in [*keys, spine_ts]])
+            points = points.filter(_usable(keys, spine_ts)).distinct()
+            matches = _match(points, spine_ts, *plan, complete_keys=True).select(
+                *[quoted(n) for n in [*keys, spine_ts]], *values
+            )
+            joined = joined.join(matches, on=[*keys, spine_ts], how="left")
         if checkpoint:
             joined = joined.checkpoint()
     return joined.select(*[quoted(c) for c in output_columns(spine, tables)])
@@ -581,7 +599,7 @@ def nearest_feature_rows(
         frames = [prune_to_spine(features, table, stats.min_micros, stats.max_micros)]
         counts = _feature_stats(frames, [table], policy)
     matched = _match(
-        points, points, SPINE_EVENT_TS, frames, [table], stats, counts, strategy, policy
+        points, SPINE_EVENT_TS, frames, [table], stats, counts, strategy, policy, True
     )
     return matched.filter(F.col("_tm_f0").isNotNull()).select(
         *[F.col("_tm_f0")["v"][n].alias(n) for n in table.feature_names],

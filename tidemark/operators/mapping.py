@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from tidemark.functions.scalars import is_timestamp
 from tidemark.spec import CREATED_TS, EVENT_TS, FeatureTable, Field, SchemaError, Source
 
+# The date partition of a feature row, kept until the partitions out of reach are dropped.
+DATE_PARTITION = "_tm_date"
+
 _METADATA_SCHEMA = "field string, declared string, found string, problem string"
 
 
@@ -112,7 +115,8 @@ def _narrows(declared: Field, column_type: T.DataType) -> bool:
 def feature_projection(df: DataFrame, table: FeatureTable, source: Source) -> DataFrame:
     """Check a mapped feature source and bring it to features, entities and both timestamps.
 
-    The only type change allowed is double to float. A ``table.tiebreak`` column is kept too.
+    The only type change allowed is double to float. A ``table.tiebreak`` column is kept too,
+    and so is the date partition as ``_tm_date``.
     """
     if not source.created_timestamp_column:
         raise SchemaError(f"feature table {table.name} needs a created timestamp column")
@@ -140,6 +144,8 @@ def feature_projection(df: DataFrame, table: FeatureTable, source: Source) -> Da
             raise SchemaError(f"{name} should be a timestamp, but is {found[name].simpleString()}")
     out += [quoted(stamps[0]).alias(EVENT_TS), quoted(stamps[1]).alias(CREATED_TS)]
     out += [quoted(n) for n in extra if n not in [*table.feature_names, *table.entity_names]]
+    if source.date_partition_column in found:
+        out.append(quoted(source.date_partition_column).try_cast("date").alias(DATE_PARTITION))
     return df.select(*out)
 
 

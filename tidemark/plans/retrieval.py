@@ -84,11 +84,13 @@ def get_historical_features(
     strategy: str = "auto",
     policy: SkewPolicy = SkewPolicy(),
     staging_location: str | None = None,
+    checkpoint: bool = False,
 ) -> DataFrame:
     """Values of ``"table:feature"`` refs at each spine row's time.
 
     The spine is a source, a Spark DataFrame or a pandas DataFrame (staged as Parquet first);
-    the latter two use ``event_timestamp_column``. With ``output=(format, path)`` the result
+    the latter two use ``event_timestamp_column``. A feature source's date partition column, if
+    declared, must hold the date of the event time: partitions out of reach are not read. With ``output=(format, path)`` the result
     is also written there, replacing earlier output.
     """
     wanted = select_feature_refs(feature_refs, tables)
@@ -101,9 +103,8 @@ def get_historical_features(
         spine = FrameSource(event_timestamp_column, df=spine)
     elif not isinstance(spine, Source):
         spine = stage_rows(spark, spine, event_timestamp_column, staging_location)
-    result = retrieve(
-        spark, spine, [t.batch_source for t in wanted], wanted, strategy, policy
-    )
+    sources = [t.batch_source for t in wanted]
+    result = retrieve(spark, spine, sources, wanted, strategy, policy, checkpoint)
     if output is not None:
         write_training_set(result, spine.event_timestamp_column, *output)
     return result

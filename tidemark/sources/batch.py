@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.scalars import instant
 from tidemark.operators.mapping import quoted
@@ -46,12 +45,10 @@ def scan_range(
     ts = quoted(source.event_timestamp_column)
     bounded = df.filter((ts >= instant(start, kind)) & (ts < instant(end, kind)))
     if source.date_partition_column:
-        part = quoted(source.date_partition_column)
-        first, last = _utc(start).date(), _utc(end).date()
-        if isinstance(df.schema[source.date_partition_column].dataType, T.DateType):
-            bounded = bounded.filter(part.between(F.lit(first), F.lit(last)))
-        else:
-            bounded = bounded.filter(part.between(first.isoformat(), last.isoformat()))
+        part = quoted(source.date_partition_column).try_cast("date")
+        bounded = bounded.filter(
+            part.between(F.lit(_utc(start).date()), F.lit(_utc(end).date()))
+        )
     return bounded
 
 
