@@ -127,6 +127,14 @@ def test_lookup(spark, tmp_path):
         (3, 3, 4, "PRESENT", None, "NOT_FOUND"),
         (4, None, None, "NOT_FOUND", None, "NOT_FOUND"),
     ]
+    empty = OnlineStore(spark, str(tmp_path / "empty")).get(requests, [A], F.current_timestamp())
+    assert rows_of(empty, "n", "a__x") == [(1, None), (2, None), (3, None), (4, None)]
+    by_row = OnlineStore(spark, str(tmp_path / "rows"), layout="row")
+    by_row.write(batch(spark, [("k", 50, 1, 2)]), A, "ts")
+    seen = by_row.get(requests, [A, B], F.timestamp_seconds(F.lit(150)))
+    assert rows_of(seen, "n", "a__x", "b__x") == [(n, None, None) for n in (1, 2, 3, 4)]
+    seen = by_row.get(requests, [A, B], F.timestamp_seconds(F.lit(149)))
+    assert rows_of(seen.filter("a__x IS NOT NULL"), "n", "a__x") == [(1, 1), (2, 1)]
     exact = store.get(requests.filter("n = 1"), [B], F.timestamp_seconds(F.lit(60)))
     assert exact.first()["b__x"] == 5
 

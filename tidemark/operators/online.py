@@ -9,7 +9,7 @@ batches written since the last compaction, however often a key occurs in the inp
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -159,49 +159,65 @@ def fold_expiry(
     )
 
 
+def key_space(table: FeatureTable) -> tuple[str, ...]:
+    """Project and sorted entity names: what tables that share their keys have in common."""
+    return (table.project, *sorted(table.entity_names))
+
+
 def look_up(
     requests: DataFrame,
     states: Sequence[DataFrame],
     tables: Sequence[FeatureTable],
     now: Column,
     with_status: bool = False,
+    shared_expiry: Mapping[tuple[str, ...], DataFrame] | None = None,
 ) -> DataFrame:
     """Latest features for each request row; values past their age limit or expiry are unset.
 
-    With ``with_status`` each table adds ``<table>__status``: ``PRESENT``, ``NOT_FOUND`` or
+    The expiry is a state's own, or that of its keys in ``shared_expiry`` (by key space). With
+    ``with_status`` each table adds ``<table>__status``: ``PRESENT``, ``NOT_FOUND`` or
     ``OUTSIDE_MAX_AGE``.
     """
-    joined = requests
-    for state, table in zip(states, tables):
-        keys = table.entity_names
-        narrow = state.select(
-            *[quoted(k) for k in keys],
-            F.struct(
-                F.col(EVENT_TS),
-                F.col(EXPIRY),
-                F.struct(*[quoted(f) for f in table.feature_names]).alias("v"),
-            ).alias("_tm_state"),
-        )
-        columns = joined.columns
-        found = F.col("_tm_state")
-        live = F.coalesce(found[EXPIRY] > now, F.lit(True))
-        if table.max_age is not None:
-            live = live & (found[EVENT_TS] >= add_seconds(now, -table.max_age))
-        live = found.isNotNull() & live
-        values = [
-            F.when(live, found["v"][f]).alias(prefixed(table, f)) for f in table.feature_names
-        ]
-        if with_status:
-            status = (
-                F.when(found.isNull(), "NOT_FOUND")
-                .when(live, "PRESENT")
-                .otherwise("OUTSIDE_MAX_AGE")
+    spaces: dict[tuple[str, ...], list[int]] = {}
+    for i, table in enumerate(tables):
+        spaces.setdefault(key_space(table), []).append(i)
+    joined, values = requests, {}
+    for n, (space, members) in enumerate(spaces.items()):
+        keys = list(space[1:])
+        shared = (shared_expiry or {}).get(space)
+        if shared is not None:
+            joined = joined.join(
+                shared.select(*[quoted(k) for k in keys], F.col(EXPIRY).alias(f"_tm_expiry{n}")),
+                on=keys,
+                how="left",
             )
-            values.append(status.alias(prefixed(table, "status")))
-        joined = joined.join(narrow, on=keys, how="left").select(
-            *[quoted(c) for c in columns], *values
-        )
-    return joined
+        for i in members:
+            table, own = tables[i], [] if shared is not None else [F.col(EXPIRY)]
+            features = F.struct(*[quoted(f) for f in tables[i].feature_names]).alias("v")
+            state = F.struct(F.col(EVENT_TS), features, *own).alias(f"_tm_state{i}")
+            joined = joined.join(
+                states[i].select(*[quoted(k) for k in keys], state), on=keys, how="left"
+            )
+            found = F.col(f"_tm_state{i}")
+            expiry = found[EXPIRY] if shared is None else F.col(f"_tm_expiry{n}")
+            live = F.coalesce(expiry > now, F.lit(True))
+            if table.max_age is not None:
+                live = live & (found[EVENT_TS] >= add_seconds(now, -table.max_age))
+            live = found.isNotNull() & live
+            values[i] = [
+                F.when(live, found["v"][f]).alias(prefixed(table, f)) for f in table.feature_names
+            ]
+            if with_status:
+                status = (
+                    F.when(found.isNull(), "NOT_FOUND")
+                    .when(live, "PRESENT")
+                    .otherwise("OUTSIDE_MAX_AGE")
+                )
+                values[i].append(status.alias(prefixed(table, "status")))
+    return joined.select(
+        *[quoted(c) for c in requests.columns],
+        *[v for i in range(len(tables)) for v in values[i]],
+    )
 
 
 # Times in packed rows keep their microseconds.

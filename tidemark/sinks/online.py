@@ -28,6 +28,7 @@ from tidemark.operators.online import (
     SEQ,
     fold_expiry,
     fold_table,
+    key_space,
     log_rows,
     log_schema,
     look_up,
@@ -97,8 +98,7 @@ class OnlineStore:
     # Places
 
     def _space(self, table: FeatureTable) -> str:
-        name = "__".join([table.project, *sorted(table.entity_names)])
-        return f"{self.root}/{short_name(name, 50)}"
+        return f"{self.root}/{short_name('__'.join(key_space(table)), 50)}"
 
     def _base_path(self, space: str, base: int, name: str) -> str:
         return f"{space}/base/{base:012d}/{name}"
@@ -176,33 +176,40 @@ class OnlineStore:
             kept = self.spark.read.parquet(self._base_path(space, snap.base, KEY_EXPIRY))
         return fold_expiry(logs, names, kept, snap.base, wanted)
 
-    def read(
+    def _state(
         self,
+        snap: _Snapshot,
         table: FeatureTable,
         kind: T.DataType | None = None,
-        keys: DataFrame | None = None,
+        wanted: DataFrame | None = None,
     ) -> DataFrame:
-        """State of a table: keys, features, ``event_timestamp``, ``_expiry``.
-
-        ``keys`` restricts it to the keys of another DataFrame before anything is folded;
-        ``kind`` is the timestamp type of a table that has no rows yet.
-        """
+        """Folded log of a table; with the ``"feature"`` layout without expiry."""
         space = self._space(table)
-        snap = self._snapshot(space)
-        names = [*table.entity_names, *table.feature_names, EVENT_TS, EXPIRY]
         if not snap.has_rows(table.name):
             empty = log_schema(table, kind or T.TimestampNTZType())
-            return self.spark.createDataFrame([], empty).select(*[quoted(n) for n in names])
+            state = self.spark.createDataFrame([], empty).drop(SEQ)
+            return state.drop(EXPIRY) if self.layout == "feature" else state
         stored = self._stored_schema(space, snap, table.name)
         log = self._log(space, snap, table.name, log_schema(table, stored[EVENT_TS].dataType))
-        wanted = None
-        if keys is not None:
-            wanted = keys.select(*[quoted(k) for k in table.entity_names]).distinct()
+        if wanted is not None:
             log = log.join(wanted, on=table.entity_names, how="left_semi")
-        state = fold_table(log, table, self.layout)
+        return fold_table(log, table, self.layout)
+
+    def read(self, table: FeatureTable, kind: T.DataType | None = None) -> DataFrame:
+        """State of a table: keys, features, ``event_timestamp``, ``_expiry``.
+
+        ``kind`` is the timestamp type of a table that has no rows yet.
+        """
+        space = self._space(table)
+        snap = self._snapshot(space)
+        state = self._state(snap, table, kind)
         if self.layout == "feature":
-            expiry = self._expiry(space, snap, table.entity_names, wanted)
-            state = state.join(expiry, on=table.entity_names, how="left")
+            if snap.has_rows(table.name):
+                expiry = self._expiry(space, snap, table.entity_names)
+                state = state.join(expiry, on=table.entity_names, how="left")
+            else:
+                state = state.withColumn(EXPIRY, F.lit(None).cast(state.schema[EVENT_TS].dataType))
+        names = [*table.entity_names, *table.feature_names, EVENT_TS, EXPIRY]
         return state.select(*[quoted(n) for n in names])
 
     def get(
@@ -212,9 +219,26 @@ class OnlineStore:
         now: Column,
         with_status: bool = False,
     ) -> DataFrame:
-        """Latest features for request rows, see :func:`tidemark.operators.online.look_up`."""
-        states = [self.read(t, keys=requests) for t in tables]
-        return look_up(requests, states, tables, now, with_status)
+        """Latest features for request rows, see :func:`tidemark.operators.online.look_up`.
+
+        Only the log of the requested keys is folded, and each key space is seen at one moment.
+        """
+        kind = requests.select(now.alias("now")).schema["now"].dataType
+        spaces, states, expiry = {}, [], {}
+        for table in tables:
+            key = key_space(table)
+            if key not in spaces:
+                names = [quoted(k) for k in key[1:]]
+                snap = self._snapshot(self._space(table))
+                spaces[key] = snap, requests.select(*names).distinct()
+                if self.layout == "feature" and any(snap.has_rows(n) for n in snap.complete):
+                    expiry[key] = self._expiry(self._space(table), snap, key[1:], spaces[key][1])
+            snap, wanted = spaces[key]
+            state = self._state(snap, table, kind, wanted)
+            if self.layout == "feature" and key not in expiry:
+                state = state.withColumn(EXPIRY, F.lit(None).cast(kind))
+            states.append(state)
+        return look_up(requests, states, tables, now, with_status, expiry)
 
     # Maintenance
 
