@@ -1,7 +1,6 @@
 """Point-in-time joins: golden rows, then random tables against a brute-force model."""
 
 import dataclasses
-import datetime as dt
 
 import pytest
 from conftest import rows_of

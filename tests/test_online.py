@@ -1,7 +1,6 @@
 """The latest-value table: golden rules and random batches against a sequential model."""
 
 import dataclasses
-import datetime as dt
 import hashlib
 
 import pytest
@@ -15,7 +14,7 @@ from tidemark.operators import online
 from tidemark.operators.unions import union_rows
 from tidemark.sinks.online import OnlineStore
 from tidemark.sinks.registry import read_schemas, register_schema
-from tidemark.spec import FeatureTable, Field
+from tidemark.spec import FeatureTable, Field, SchemaError
 
 A = FeatureTable("a", [Field("k", "string")], [Field("x", "int32"), Field("y", "int32")], 100)
 B = dataclasses.replace(A, name="b", max_age=10)
@@ -114,6 +113,17 @@ def test_repeated_batches_are_applied_once(spark, tmp_path):
     assert state(store, A) == [("k", 1, 1, 50, 150)]
 
 
+def test_time_kinds_are_not_mixed(spark, tmp_path):
+    rows = batch(spark, [("k", 50, 1, 1)])
+    OnlineStore(spark, str(tmp_path)).write(rows, A, "ts")
+    naive = rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    with pytest.raises(SchemaError):
+        OnlineStore(spark, str(tmp_path)).write(naive, B, "ts")
+    other = OnlineStore(spark, str(tmp_path / "other"))
+    other.write(naive, B, "ts")
+    assert other.read(B).schema["_expiry"].dataType.simpleString() == "timestamp_ntz"
+
+
 def test_lookup(spark, tmp_path):
     store = OnlineStore(spark, str(tmp_path))
     store.write(batch(spark, [("k", 50, 1, 2), ("j", 10, 3, 4)]), A, "ts")

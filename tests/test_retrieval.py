@@ -1,6 +1,5 @@
 """Retrieval from sources and declarations, with its schema checks."""
 
-import datetime as dt
 
 import pandas as pd
 import pytest

@@ -1,6 +1,5 @@
 """Row rules, suites and the split into valid and rejected rows."""
 
-import pandas as pd
 import pytest
 from conftest import rows_of
 

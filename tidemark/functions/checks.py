@@ -31,7 +31,8 @@ def timestamp_present(event_ts: str) -> Column:
 
 def any_feature_present(table: FeatureTable) -> Column:
     """Opt-in rule: at least one feature has a value."""
-    return F.coalesce(*[F.when(_column(n).isNotNull(), True) for n in table.feature_names], F.lit(False))
+    present = [_column(n).isNotNull() for n in table.feature_names]
+    return reduce(lambda a, b: a | b, present, F.lit(False))
 
 
 def not_null(column: str) -> Column:

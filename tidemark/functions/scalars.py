@@ -35,8 +35,8 @@ def epoch_seconds(ts: Column, data_type: T.DataType) -> Column:
 def timestamp_literal(micros: int, data_type: T.DataType) -> Column:
     """A constant of the column's own timestamp kind, so that filters on it can be pushed down."""
     if isinstance(data_type, T.TimestampNTZType):
-        text = (_EPOCH + dt.timedelta(microseconds=micros)).isoformat(sep=" ", timespec="microseconds")
-        return F.expr(f"timestamp_ntz'{text}'")
+        at = _EPOCH + dt.timedelta(microseconds=micros)
+        return F.expr(f"timestamp_ntz'{at.isoformat(sep=' ', timespec='microseconds')}'")
     return F.timestamp_micros(F.lit(micros))
 
 

@@ -112,6 +112,15 @@ def spine_bounds(spine: DataFrame, spine_ts: str) -> tuple[int | None, int | Non
     return row["lo"], row["hi"]
 
 
+def _stored_bytes(key: Column, kind: T.DataType, policy: SkewPolicy) -> Column:
+    """Size of a key value; one of unknown size counts as too large to broadcast."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(key), F.lit(0)) + 8
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return F.lit(8)
+    return F.lit(policy.broadcast_bytes + 1)
+
+
 def spine_stats(
     spine: DataFrame,
     spine_ts: str,
@@ -123,14 +132,12 @@ def spine_stats(
     narrow = [us.alias("us"), _picked(policy).alias("picked")]
     aggs = [F.count(F.lit(1)).alias("rows"), F.min("us").alias("lo"), F.max("us").alias("hi")]
     for i, keys in enumerate(key_sets):
-        size = F.lit(16)
-        for k in keys:
-            is_text = isinstance(_type_of(spine, k), (T.StringType, T.BinaryType))
-            size = size + (F.coalesce(F.octet_length(quoted(k)), F.lit(0)) if is_text else F.lit(8))
+        sizes = [_stored_bytes(quoted(k), _type_of(spine, k), policy) for k in keys]
+        size = sum(sizes, F.lit(16.0))
         narrow += [
             _usable(keys, spine_ts).alias(f"ok{i}"),
             _key_hash(keys).alias(f"h{i}"),
-            size.cast("long").alias(f"b{i}"),
+            size.alias(f"b{i}"),
         ]
         aggs += [
             F.count_if(~F.col(f"ok{i}")).alias(f"bad{i}"),
@@ -143,7 +150,7 @@ def spine_stats(
         min_micros=row["lo"],
         max_micros=row["hi"],
         unmatchable={k: row[f"bad{i}"] for i, k in enumerate(key_sets)},
-        key_bytes={k: row[f"bytes{i}"] or 0 for i, k in enumerate(key_sets)},
+        key_bytes={k: math.ceil(row[f"bytes{i}"] or 0) for i, k in enumerate(key_sets)},
         hot={k: _as_hot(row[f"top{i}"], policy) for i, k in enumerate(key_sets)},
     )
 

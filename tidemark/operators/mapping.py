@@ -155,7 +155,9 @@ def check_spine(spine: DataFrame, event_ts: str, tables: Sequence[FeatureTable])
     if event_ts not in found:
         raise SchemaError(f"{event_ts} is missing for the entity dataframe")
     if not is_timestamp(found[event_ts]):
-        raise SchemaError(f"{event_ts} should be a timestamp, but is {found[event_ts].simpleString()}")
+        raise SchemaError(
+            f"{event_ts} should be a timestamp, but is {found[event_ts].simpleString()}"
+        )
     for table in tables:
         for field in table.entities:
             if field.name not in found or not types_match(field, found[field.name]):

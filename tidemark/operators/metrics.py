@@ -52,7 +52,9 @@ def freshness(
     declared = df.sparkSession.createDataFrame(
         [(name, age) for name, age in max_ages.items()], "feature_table string, max_age int"
     )
-    last = df.groupBy(quoted(by).alias("feature_table")).agg(F.max(quoted(event_ts)).alias("last_event"))
+    last = df.groupBy(quoted(by).alias("feature_table")).agg(
+        F.max(quoted(event_ts)).alias("last_event")
+    )
     stale = F.col("last_event") < add_seconds(now, -F.col("max_age"))
     return declared.join(last, on="feature_table", how="left").select(
         "feature_table", "last_event", F.coalesce(~stale, F.lit(True)).alias("passed")

@@ -151,7 +151,8 @@ def fold_expiry(
     if kept is not None:
         if wanted is not None:
             kept = kept.join(wanted, on=list(keys), how="left_semi")
-        rows = union_rows([rows.select(*key_cols, SEQ, EXPIRY), kept.select(*key_cols, SEQ, EXPIRY)])
+        columns = [*key_cols, SEQ, EXPIRY]
+        rows = union_rows([rows.select(*columns), kept.select(*columns)])
     reset = F.max(F.when(F.col(EXPIRY).isNull(), F.col(SEQ))).over(Window.partitionBy(*key_cols))
     since = rows.withColumn("_tm_reset", F.coalesce(reset, F.lit(-1)))
     return since.groupBy(*key_cols).agg(

@@ -52,8 +52,8 @@ def check_observed(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
     rows = []
     for i, rule in enumerate(bounded):
-        value, low, high = F.col(f"v{i}"), rule.kwargs.get("min_value"), rule.kwargs.get("max_value")
-        holds = F.lit(True)
+        low, high = rule.kwargs.get("min_value"), rule.kwargs.get("max_value")
+        value, holds = F.col(f"v{i}"), F.lit(True)
         if low is not None:
             holds = holds & (value >= F.lit(low))
         if high is not None:

@@ -90,8 +90,8 @@ def get_historical_features(
 
     The spine is a source, a Spark DataFrame or a pandas DataFrame (staged as Parquet first);
     the latter two use ``event_timestamp_column``. A feature source's date partition column, if
-    declared, must hold the date of the event time: partitions out of reach are not read. With ``output=(format, path)`` the result
-    is also written there, replacing earlier output.
+    declared, must hold the date of the event time: partitions out of reach are not read. With
+    ``output=(format, path)`` the result is also written there, replacing earlier output.
     """
     wanted = select_feature_refs(feature_refs, tables)
     for table in wanted:

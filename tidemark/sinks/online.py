@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ from tidemark.operators.online import (
     log_schema,
     look_up,
 )
-from tidemark.spec import EVENT_TS, FeatureTable
+from tidemark.spec import EVENT_TS, FeatureTable, SchemaError
 
 
 KEY_EXPIRY = "key-expiry"
@@ -94,6 +94,7 @@ class OnlineStore:
         self.spark, self.root = spark, root.rstrip("/")
         self.layout, self.max_jitter = layout, max_jitter
         self._files = _Folder(spark, root)
+        self._kinds: dict[str, T.DataType] = {}
 
     # Places
 
@@ -136,6 +137,12 @@ class OnlineStore:
         """
         space, tag = self._space(table), tag or uuid.uuid4().hex
         snap = self._snapshot(space)
+        kind = df.schema[event_ts].dataType
+        if self._kind(space, snap) not in (None, kind):
+            raise SchemaError(
+                f"{table.name} has {kind.simpleString()} event times, its key space "
+                f"{self._kinds[space].simpleString()}"
+            )
         if any(t == tag for _, t, _ in snap.complete.get(table.name, [])):
             return False
         seq = snap.last_seq() + 1
@@ -156,24 +163,33 @@ class OnlineStore:
             paths.append(self._base_path(space, snap.base, name))
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def _stored_schema(self, space: str, snap: _Snapshot, name: str) -> T.StructType:
-        """Columns of the newest batch or base of a table (one footer is read)."""
-        newer = snap.newer(name)
-        path = newer[-1] if newer else self._base_path(space, snap.base, name)
-        return self.spark.read.parquet(path).schema
+    def _kind(self, space: str, snap: _Snapshot) -> T.DataType | None:
+        """Timestamp type of a key space, None while it is empty (one footer is read, once)."""
+        if space not in self._kinds:
+            paths = [path for name in snap.complete for path in snap.newer(name)]
+            paths += [self._base_path(space, snap.base, name) for name in snap.base_tables]
+            if not paths:
+                return None
+            stored = self.spark.read.parquet(paths[0]).schema
+            self._kinds[space] = stored[EXPIRY].dataType
+        return self._kinds[space]
 
     def _expiry(
-        self, space: str, snap: _Snapshot, names: Sequence[str], wanted: DataFrame | None = None
+        self, snap: _Snapshot, table: FeatureTable, wanted: DataFrame | None = None
     ) -> DataFrame:
-        """Shared expiry of the keys: the log of all tables on top of what the base kept."""
+        """Shared expiry of a table's keys: the log of all tables on top of what the base kept."""
+        space, names = self._space(table), table.entity_names
+        schema = log_schema(replace(table, features=()), self._kind(space, snap))
         logs = [
-            self._log(space, snap, name, self._stored_schema(space, snap, name))
+            self._log(space, snap, name, schema)
             for name in sorted(snap.complete)
             if snap.has_rows(name)
         ]
         kept = None
         if snap.base >= 0:
-            kept = self.spark.read.parquet(self._base_path(space, snap.base, KEY_EXPIRY))
+            kept_schema = T.StructType([f for f in schema if f.name != EVENT_TS])
+            path = self._base_path(space, snap.base, KEY_EXPIRY)
+            kept = self.spark.read.schema(kept_schema).parquet(path)
         return fold_expiry(logs, names, kept, snap.base, wanted)
 
     def _state(
@@ -189,8 +205,7 @@ class OnlineStore:
             empty = log_schema(table, kind or T.TimestampNTZType())
             state = self.spark.createDataFrame([], empty).drop(SEQ)
             return state.drop(EXPIRY) if self.layout == "feature" else state
-        stored = self._stored_schema(space, snap, table.name)
-        log = self._log(space, snap, table.name, log_schema(table, stored[EVENT_TS].dataType))
+        log = self._log(space, snap, table.name, log_schema(table, self._kind(space, snap)))
         if wanted is not None:
             log = log.join(wanted, on=table.entity_names, how="left_semi")
         return fold_table(log, table, self.layout)
@@ -205,7 +220,7 @@ class OnlineStore:
         state = self._state(snap, table, kind)
         if self.layout == "feature":
             if snap.has_rows(table.name):
-                expiry = self._expiry(space, snap, table.entity_names)
+                expiry = self._expiry(snap, table)
                 state = state.join(expiry, on=table.entity_names, how="left")
             else:
                 state = state.withColumn(EXPIRY, F.lit(None).cast(state.schema[EVENT_TS].dataType))
@@ -232,7 +247,7 @@ class OnlineStore:
                 snap = self._snapshot(self._space(table))
                 spaces[key] = snap, requests.select(*names).distinct()
                 if self.layout == "feature" and any(snap.has_rows(n) for n in snap.complete):
-                    expiry[key] = self._expiry(self._space(table), snap, key[1:], spaces[key][1])
+                    expiry[key] = self._expiry(snap, table, spaces[key][1])
             snap, wanted = spaces[key]
             state = self._state(snap, table, kind, wanted)
             if self.layout == "feature" and key not in expiry:
@@ -265,7 +280,7 @@ class OnlineStore:
         for table in tables:
             if not snap.has_rows(table.name):
                 continue
-            kind = self._stored_schema(space, snap, table.name)[EVENT_TS].dataType
+            kind = self._kind(space, snap)
             schema = log_schema(table, kind)
             state = fold_table(self._log(space, snap, table.name, schema), table, self.layout)
             if self.layout == "feature":
@@ -274,7 +289,7 @@ class OnlineStore:
             path = self._base_path(space, upto, table.name)
             state.select(*columns, number).write.mode("overwrite").parquet(path)
         if self.layout == "feature":
-            expiry = self._expiry(space, snap, tables[0].entity_names)
+            expiry = self._expiry(snap, tables[0])
             path = self._base_path(space, upto, KEY_EXPIRY)
             expiry.select("*", number).write.mode("overwrite").parquet(path)
         self._files.touch(f"{space}/base/{upto:012d}/COMPLETE")

@@ -41,7 +41,7 @@ def mark_rows(
     expectations=None,
     validator: Callable[[pd.DataFrame], pd.Series] | None = None,
 ) -> DataFrame:
-    """Two flags per row: ``_row_ok`` for the declared rules, ``_is_valid`` with the validator too."""
+    """Two flags per row: ``_row_ok`` for the declared rules, ``_is_valid`` with the validator."""
     row_ok = all_checks(table, event_ts, expectations)
     valid = F.col(ROW_OK)
     if validator is not None:

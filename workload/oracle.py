@@ -248,6 +248,9 @@ WITH e AS (
   UNION ALL SELECT user_id, NULL FROM events WHERE event_type = 'error' AND user_id % 4 = 0)
 SELECT user_id, CASE WHEN count(*) = count(expiry) THEN max(expiry) END AS expiry
 FROM e GROUP BY user_id"""
+ORACLE["expiry_jitter"] = """
+SELECT count(*) AS keys, count(*) AS within, TRUE AS spread
+FROM (SELECT DISTINCT user_id, event_type FROM events)"""
 ORACLE["packed_rows"] = "SELECT event_id, event_type, value, ts FROM events"
 ORACLE["online_lookup"] = """
 WITH c AS (SELECT * FROM events WHERE event_type = 'click'

@@ -319,7 +319,7 @@ def time_range_scan(spark, sf_dir):
 def partition_scan(spark, sf_dir):
     path = scratch_path(spark, "by-date")
     by_date = events(spark, sf_dir).withColumn("date", F.to_date("ts"))
-    by_date.write.partitionBy("date").parquet(path)
+    by_date.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(path)
     source = FileSource("ts", path=path, date_partition_column="date")
     return scan_range(spark, source, *WINDOW).select("event_id", "ts", "value", "date")
 
@@ -537,6 +537,19 @@ def expiry_shared(spark, sf_dir):
     return state.withColumnRenamed("_expiry", "expiry")
 
 
+@query
+def expiry_jitter(spark, sf_dir):
+    """Expiries of all keys, spread by less than ten minutes."""
+    log = online.log_rows(events(spark, sf_dir), KIND_TABLE, "ts", 0, max_jitter=600)
+    low = F.col("event_timestamp") + F.expr("INTERVAL 2 DAYS")
+    within = (F.col("_expiry") >= low) & (F.col("_expiry") < low + F.expr("INTERVAL 10 MINUTES"))
+    return log.agg(
+        F.count(F.lit(1)).alias("keys"),
+        F.count_if(within).alias("within"),
+        (F.count_distinct(F.col("_expiry") - low) > 1).alias("spread"),
+    )
+
+
 @query
 def packed_rows(spark, sf_dir):
     """Rows packed to one binary value and unpacked again."""
@@ -707,24 +720,18 @@ def nested_mapping(spark, sf_dir):
 
 
 def _stream(spark: SparkSession, parts: list[DataFrame], table: FeatureTable, **options):
-    """Drop the parts as files one after the other, read them one per micro-batch."""
-    path = scratch_path(spark, "stream")
-    for part in parts:
-        part.coalesce(1).write.mode("append").parquet(path)
-    source = FileStreamSource(
-        "ts", path=path, schema=parts[0].schema, options={"maxFilesPerTrigger": "1"}
-    )
+    """Drop the parts into a folder one after the other; the stream takes each up where the
+    one before it ended."""
+    path, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
+    source = FileStreamSource("ts", path=path, schema=parts[0].schema)
     table = replace(table, stream_source=source)
     store = OnlineStore(spark, scratch_path(spark, "online"))
-    running = ingest_stream(
-        spark,
-        table,
-        store,
-        checkpoint=scratch_path(spark, "checkpoint"),
-        available_now=True,
-        **options,
-    )
-    running.awaitTermination()
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        running = ingest_stream(
+            spark, table, store, checkpoint=checkpoint, available_now=True, **options
+        )
+        running.awaitTermination()
     return store, table
 
 
