@@ -461,7 +461,8 @@ def _match(
         )
     elif hot:
         is_hot = _is_hot(keys, sorted(hot))
-        slices = min(policy.max_slices, max(2, math.ceil(sum(hot.values()) / policy.hot_rows)))
+        # Some slices per task's worth of rows, so that tasks of a large key come out even.
+        slices = min(policy.max_slices, max(8, math.ceil(4 * sum(hot.values()) / policy.hot_rows)))
         parts.append(
             _scan_by_key(
                 spine.filter(usable & ~is_hot),
