@@ -27,7 +27,7 @@ def plain(value):
     return value
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
 def test_query(spark, duck, name):
     df = entry_point.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)

@@ -17,12 +17,15 @@ PARTITION_DATE = "_partition_date"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for a scratch table, in the shared folder the session names.
+    """A new path for a scratch table, in the shared folder ``spark.checkpoint.dir`` names.
 
-    Only a session without ``spark.checkpoint.dir`` (a local test) gets a temporary folder.
+    Where that is unset, a session that runs all tasks in this process gets a temporary folder;
+    on a cluster no such folder is shared, and the call fails.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
