@@ -191,7 +191,10 @@ def exact_groups(rows: DataFrame, false_bits: int = 10, rows_per_block: int = 65
         F.col(FILE).alias("file"),
         F.col(AT).alias("at"),
     )
-    groups = suspects.groupBy("bytes").agg(F.min(best).alias("best"), F.count("*").alias("group_size"))
+    # Written, so that the join below reads both sides afresh and a large group can be split there.
+    groups = saved(
+        suspects.groupBy("bytes").agg(F.min(best).alias("best"), F.count("*").alias("group_size")), "groups"
+    )
     verified = suspects.join(groups, "bytes").select(
         FILE,
         AT,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import documents
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.quality import FUNCTION_WORDS, ROUNDS, RULES, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,3 +35,89 @@ WITH t AS (
 )
 SELECT doc_id, keep_id, group_size, keep_id = doc_id AS kept, sha256(bytes) AS text_sha256 FROM g
 """
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir))
+
+
+def _quality_sql() -> str:
+    """The figures, then every EM round as two steps over (pattern, rule, vote)."""
+    blank, word = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
+    words = ", ".join(f"'{w}'" for w in FUNCTION_WORDS)
+
+    def vote(value: str, bad: str, good: str) -> str:
+        return f"CASE WHEN {value} {bad} THEN -1 WHEN {value} {good} THEN 1 ELSE 0 END"
+
+    rules = {
+        "function_words": vote("function_words", "< 0.08", "> 0.14"),
+        "symbols": vote("symbols", "> 0.1", "< 0.01"),
+        "repetition": vote("repetition", "> 0.2", "< 0.03"),
+        "variety": vote("variety", "< 0.3", "> 0.6"),
+        "capitals": vote("capitals", "> 0.3", "< 0.1"),
+        "loudness": vote("loudness", "> 0.2", "< 0.02"),
+        "lines": vote("lines", "> 0.3", "= 0"),
+        "word_length": "CASE WHEN word_length < 2.5 OR word_length > 12 THEN -1 "
+        "WHEN word_length BETWEEN 3.5 AND 7 THEN 1 ELSE 0 END",
+    }
+    assert list(rules) == RULES
+    steps = [
+        f"""t AS (SELECT doc_id, coalesce(text, '') AS text,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '{blank}'), lambda x: x <> '') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines
+        FROM documents)""",
+        f"""w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM t)""",
+        """g AS (SELECT doc_id, i, word || ' ' || lead(word) OVER d || ' ' || lead(word, 2) OVER d || ' ' ||
+        lead(word, 3) OVER d || ' ' || lead(word, 4) OVER d AS gram FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY i))""",
+        """again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g
+        WHERE gram IS NOT NULL) WHERE n > 1)""",
+        """r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM again, range(5) AS o(k) GROUP BY doc_id)""",
+        f"""f AS (SELECT t.doc_id, len(words) AS n_words,
+        length(regexp_replace(text, '{blank}', '', 'g')) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals,
+        length(text) - length(regexp_replace(text, '[!?]', '', 'g')) AS n_loud,
+        len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+        len(list_distinct(words)) AS n_distinct,
+        len(list_filter(words, lambda x: x IN ({words}))) AS n_function,
+        coalesce(n_repeat_words, 0) AS n_repeat_words FROM t LEFT JOIN r ON r.doc_id = t.doc_id)""",
+        """x AS (SELECT *, n_function / CASE WHEN n_words >= 20 THEN n_words END AS function_words,
+        n_distinct / CASE WHEN n_words >= 20 THEN n_words END AS variety,
+        n_symbols / nullif(n_words, 0) AS symbols, n_repeat_words / nullif(n_words, 0) AS repetition,
+        n_loud / nullif(n_words, 0) AS loudness, word_chars / nullif(n_words, 0) AS word_length,
+        n_capitals / nullif(word_chars, 0) AS capitals,
+        n_dup_lines / CASE WHEN n_lines >= 2 THEN n_lines END AS lines FROM f)""",
+        "v AS (SELECT doc_id, " + ", ".join(f"{sql} AS {name}" for name, sql in rules.items()) + " FROM x)",
+        f"p AS (SELECT {', '.join(RULES)}, count(*) AS n FROM v GROUP BY ALL)",
+        "pv AS (SELECT *, row_number() OVER (ORDER BY n, " + ", ".join(RULES) + ") AS pid FROM p)",
+        "long AS ("
+        + " UNION ALL ".join(f"SELECT pid, n, '{r}' AS rule, {r} AS vote FROM pv" for r in RULES)
+        + ")",
+        "g0 AS (SELECT pid, n, 1 / (1 + exp(-sum(CASE vote WHEN -1 THEN -4.0 WHEN 1 THEN 1.0 ELSE 0 END))) AS good "
+        "FROM long GROUP BY pid, n)",
+    ]
+    for k in range(1, ROUNDS + 1):
+        steps += [
+            f"s{k} AS MATERIALIZED (SELECT sum(good * n) AS good_n, sum((1 - good) * n) AS bad_n FROM g{k - 1})",
+            f"k{k} AS MATERIALIZED (SELECT rule, v AS vote, ln((coalesce(sum(good * l.n) FILTER (l.vote = v), 0) + 1) / "
+            f"(any_value(good_n) + 3)) - ln((coalesce(sum((1 - good) * l.n) FILTER (l.vote = v), 0) + 1) / "
+            f"(any_value(bad_n) + 3)) AS weight FROM long l JOIN g{k - 1} USING (pid), s{k}, "
+            f"(VALUES (-1), (1)) AS o(v) GROUP BY rule, v)",
+            f"g{k} AS MATERIALIZED (SELECT l.pid, l.n, "
+            f"ln((any_value(good_n) + 1) / (any_value(bad_n) + 1)) + sum(coalesce(weight, 0)) AS odds, "
+            f"1 / (1 + exp(-(ln((any_value(good_n) + 1) / (any_value(bad_n) + 1)) + sum(coalesce(weight, 0))))) AS good "
+            f"FROM long l LEFT JOIN k{k} w ON w.rule = l.rule AND w.vote = l.vote, s{k} GROUP BY l.pid, l.n)",
+        ]
+    joined = " AND ".join(f"v.{r} = pv.{r}" for r in RULES)
+    failed = "(n_words < 10 OR 100 * n_repeat_words > 20 * n_words)"
+    return (
+        "WITH "
+        + ", ".join(steps)
+        + f" SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {failed} AS base_failed, "
+        + f"NOT {failed} AND odds >= 0 AS kept FROM f JOIN v ON v.doc_id = f.doc_id JOIN pv ON {joined} "
+        + f"JOIN g{ROUNDS} AS last ON last.pid = pv.pid"
+    )
+
+
+ORACLE["op3_quality_rules"] = _quality_sql()
