@@ -68,8 +68,8 @@ def running_totals(
 ) -> DataFrame:
     """``rows`` with the sum of ``amount`` over the rows before it within its group, exactly.
 
-    The order within a group is that of the hash of ``order``, then ``order``: the same in every
-    run, and as good as shuffled. Each group is cut into slices of the hash's range; sums of
+    The order within a group is that of the hash of the first two columns of ``order``, then
+    ``order``: the same in every run, and as good as shuffled. Each group is cut into slices of the hash's range; sums of
     slices give where each starts, so that no task gets a whole group, however large. ``rows``
     must be cheap to read twice (a saved table).
     """
@@ -82,7 +82,7 @@ def running_totals(
     bits = max(1, math.ceil(math.log2(max(partitions_of(spark), rows.count() / rows_per_slice, 2))))
     sliced = (
         rows.withColumn("_amount", amount)
-        .withColumn("_hash", F.xxhash64(*order))
+        .withColumn("_hash", F.xxhash64(*order[:2]))
         .withColumn("_slice", F.shiftrightunsigned("_hash", 64 - bits))
     )
     keys = [*groups, "_slice"]

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import documents
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.mixing import mixing
+from tidemark.llm.packing import packed
 from tidemark.llm.quality import FUNCTION_WORDS, ROUNDS, RULES, quality
+from tidemark.llm.tokens import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,6 +22,17 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
     return function
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), tokenizer_path())
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
@@ -121,3 +135,13 @@ def _quality_sql() -> str:
 
 
 ORACLE["op3_quality_rules"] = _quality_sql()
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing(documents(spark, sf_dir))
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(documents(spark, sf_dir), tokenizer_path())
