@@ -11,6 +11,7 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.mixing import mixing
 from tidemark.llm.packing import packed
 from tidemark.llm.quality import FUNCTION_WORDS, ROUNDS, RULES, quality
+from tidemark.llm.simhash import near_dedup
 from tidemark.llm.tokens import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +138,11 @@ def _quality_sql() -> str:
 ORACLE["op3_quality_rules"] = _quality_sql()
 
 
+@query
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(documents(spark, sf_dir))
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing(documents(spark, sf_dir))
