@@ -12,7 +12,9 @@ from tidemark.llm.mixing import mixing
 from tidemark.llm.packing import packed
 from tidemark.llm.quality import FUNCTION_WORDS, ROUNDS, RULES, quality
 from tidemark.llm.simhash import near_dedup
+from tidemark.llm.token_files import read_tokens, write_tokens
 from tidemark.llm.tokens import token_counts
+from tidemark.sources.staging import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -143,6 +145,13 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir))
 
 
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_files")
+    write_tokens(documents(spark, sf_dir), path, tokenizer_path())
+    return read_tokens(spark, path, ids=False)
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing(documents(spark, sf_dir))
