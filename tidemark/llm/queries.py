@@ -14,6 +14,7 @@ from tidemark.llm.quality import FUNCTION_WORDS, ROUNDS, RULES, quality
 from tidemark.llm.simhash import near_dedup
 from tidemark.llm.token_files import read_tokens, write_tokens
 from tidemark.llm.tokens import token_counts
+from tidemark.llm.toxicity import toxicity
 from tidemark.sources.staging import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +146,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir))
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_files")
