@@ -10,6 +10,7 @@ from tidemark.llm.common import documents
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.mixing import mixing
 from tidemark.llm.packing import packed
+from tidemark.llm.ppm import lm_scores
 from tidemark.llm.quality import FUNCTION_WORDS, ROUNDS, RULES, quality
 from tidemark.llm.simhash import near_dedup
 from tidemark.llm.token_files import read_tokens, write_tokens
@@ -158,6 +159,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, ids=False)
 
 
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir))
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing(documents(spark, sf_dir))
