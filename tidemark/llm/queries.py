@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import documents
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mixing
 from tidemark.llm.packing import packed
 from tidemark.llm.ppm import lm_scores
@@ -159,6 +160,37 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, ids=False)
 
 
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir))
+
+
+ORACLE["op7_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents
+), s AS (
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(regexp_split_to_array(line, '[ 	-]+'),
+    lambda x: x <> ''))) AS words FROM l
+), w AS (SELECT * FROM s WHERE len(words) > 0),
+d AS (
+  SELECT words, len(words) AS n, min((doc_id, line_no)) AS first, row_number() OVER (ORDER BY min((doc_id, line_no))) AS gid
+  FROM w GROUP BY words
+), t AS (SELECT gid, n, unnest(words) AS word FROM d),
+pairs AS (
+  SELECT a.gid AS a, b.gid AS b FROM t a JOIN t b ON a.word = b.word AND a.gid < b.gid
+    AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+  GROUP BY a.gid, b.gid, a.n, b.n HAVING 9 * count(*) >= 4 * (a.n + b.n)
+), r AS (
+  SELECT w.doc_id, w.line_no, (w.doc_id, w.line_no) <> d.first OR d.gid IN (SELECT b FROM pairs) AS removed
+  FROM w JOIN d ON w.words = d.words
+)
+SELECT x.doc_id, count(r.line_no) AS n_lines, count(*) FILTER (removed) AS n_removed,
+  coalesce(string_agg(CAST(r.line_no AS VARCHAR), ',' ORDER BY r.line_no) FILTER (removed), '') AS removed
+FROM documents x LEFT JOIN r ON r.doc_id = x.doc_id GROUP BY x.doc_id
+"""
+
+
 @query
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(documents(spark, sf_dir))
