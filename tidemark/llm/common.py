@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.mapping import quoted
 from tidemark.sources.staging import scratch_path
 
 # Fixed value: the characters that separate words, as a Java character class.
@@ -43,9 +44,9 @@ def identified(docs: DataFrame) -> DataFrame:
 
     def named(df: DataFrame) -> DataFrame:
         return df.select(
-            F.struct(*[df[c] for c in df.columns]).alias("doc"),
-            F.xxhash64("_metadata.file_path").alias(FILE),
-            F.col("_metadata.row_index").alias(AT),
+            F.struct(*[quoted(c) for c in df.columns]).alias("doc"),
+            F.xxhash64(df.metadataColumn("_metadata")["file_path"]).alias(FILE),
+            df.metadataColumn("_metadata")["row_index"].alias(AT),
         )
 
     try:

@@ -58,7 +58,7 @@ def grams(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     code = np.zeros(len(data), np.uint64)
     for back in range(ORDER, -1, -1):
         code <<= np.uint64(8)
-        code[back:] |= data[: len(data) - back]
+        code[back:] |= data[: max(0, len(data) - back)]
     length = (np.minimum(place, ORDER) + 1).astype(np.uint64) * np.uint64(8)
     one = np.uint64(1) << length
     at = np.flatnonzero(place)

@@ -25,6 +25,9 @@ from tidemark.llm.common import AT, BLANK, FILE, identified, saved
 
 WINDOW = 5
 ROUNDS = 25
+RULES = [
+    "function_words", "symbols", "repetition", "variety", "capitals", "loudness", "lines", "word_length"
+]
 
 # The most frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = (
@@ -133,8 +136,6 @@ def votes() -> dict[str, Column]:
     }
 
 
-RULES = list(votes())
-
 
 def odds(prior: float, weights: list[tuple[float, float]], prefix: str = "") -> Column:
     """Log odds of being good. Looked up by vote, so that every round runs the same compiled code."""
