@@ -249,7 +249,7 @@ def test_log_against_sequential_model(spark, steps):
     for seq, (name, rows) in enumerate(steps):
         part = online.log_rows(batch(spark, rows), tables[name], "ts", seq)
         parts.setdefault(name, []).append(part)
-    logs = {name: union_rows(frames) for name, frames in parts.items()}
+    logs = {name: union_rows(frames, ["k"]) for name, frames in parts.items()}
     expiry = online.fold_expiry(list(logs.values()), ["k"])
     want = sequential_model(steps)
     for name, log in logs.items():
@@ -260,3 +260,44 @@ def test_log_against_sequential_model(spark, steps):
             )
         )
         assert got == want[name]
+
+
+def test_a_compacted_store_opens_anew(spark, tmp_path):
+    rows = [("k", 50, 1, None), ("j", 10, 3, 4)]
+    store = OnlineStore(spark, str(tmp_path))
+    store.write(batch(spark, rows), A, "ts")
+    store.compact([A])
+    other = OnlineStore(spark.newSession(), str(tmp_path))
+    assert state(other, A) == state(store, A)
+    other.write(batch(spark, [("k", 60, None, 7)]), A, "ts")
+    assert state(OnlineStore(spark, str(tmp_path)), A) == [("j", 3, 4, 10, 110), ("k", 1, 7, 60, 160)]
+
+
+def test_writes_compact_by_themselves(spark, tmp_path):
+    store = OnlineStore(spark, str(tmp_path / "c"), compact_every=2)
+    plain = OnlineStore(spark, str(tmp_path / "p"), compact_every=None)
+    for i, table in enumerate([A, B, A, A, B, C, A]):
+        rows = [("k", 50 + 7 * i, i, None if i % 2 else i), (f"k{i % 2}", 40 - i, i, i)]
+        store.write(batch(spark, rows), table, "ts", tag=f"t{i}")
+        plain.write(batch(spark, rows), table, "ts", tag=f"t{i}")
+    for table in (A, B, C):
+        assert state(store, table) == state(plain, table)
+    assert not store.write(batch(spark, [("k", 999, 9, 9)]), A, "ts", tag="t6")
+    assert len(list((tmp_path / "c" / "default__k" / "base").iterdir())) == 2
+    left = sum(len(list(d.iterdir())) for d in (tmp_path / "c" / "default__k" / "log").iterdir())
+    assert left < 6
+
+
+def test_a_late_batch_of_another_writer_is_not_lost(spark, tmp_path):
+    """It took its number before a compaction that does not know of it."""
+    slow, quick = OnlineStore(spark, str(tmp_path)), OnlineStore(spark, str(tmp_path))
+    slow.write(batch(spark, [("a", 1, 1, 1)]), A, "ts")
+    seen = slow._snapshot(slow._space(A))
+    quick.write(batch(spark, [("k", 50, 1, 2)]), A, "ts", tag="quick")
+    quick.compact([A])
+    slow._snapshot = lambda space: seen
+    slow.write(batch(spark, [("k", 60, 3, None)]), A, "ts", tag="slow")
+    want = [("a", 1, 1, 1, 101), ("k", 3, 2, 60, 160)]
+    assert state(OnlineStore(spark, str(tmp_path)), A) == want
+    quick.compact([A])
+    assert state(OnlineStore(spark, str(tmp_path)), A) == want

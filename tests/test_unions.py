@@ -19,7 +19,7 @@ def placed(spark, rows, value):
 def test_keys_of_placed_inputs_meet(spark):
     a, b = placed(spark, 80, "n"), placed(spark, 400_000, "n")
     once = F.row_number().over(Window.partitionBy("k").orderBy("n"))
-    union = union_rows([a, b]).withColumn("i", once)
+    union = union_rows([a, b], ["k"]).withColumn("i", once)
     wanted = spark.range(100).select((F.col("id") % 50).cast("int").alias("k")).distinct()
     got = wanted.join(union.filter("i = 2"), "k", "left")
     assert rows_of(got.filter("n IS NOT NULL"), "k", "n") == [(k, 10_000) for k in sorted(range(40), key=lambda k: repr((k, 10_000)))]

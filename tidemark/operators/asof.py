@@ -270,7 +270,9 @@ def _scan_by_key(
     spine: DataFrame, spine_ts: str, keys: Sequence[str], frames, tables
 ) -> DataFrame:
     """One window per key: spine rows travel as structs, so copies and extra columns survive."""
-    rows = union_rows([_spine_rows(spine, spine_ts, keys), *_feature_rows(frames, tables, keys)])
+    rows = union_rows(
+        [_spine_rows(spine, spine_ts, keys), *_feature_rows(frames, tables, keys)], keys
+    )
     upto = (
         Window.partitionBy(*[quoted(k) for k in keys])
         .orderBy(_TS, _SIDE)
@@ -334,7 +336,7 @@ def _scan_slices(
     )
     carried = [c for c in spine_rows.columns if c not in (*keys, _SIDE, _SLICE)]
     within = (
-        union_rows([spine_rows, *feature_rows])
+        union_rows([spine_rows, *feature_rows], [*keys, _SLICE])
         .select(
             *key_cols, _SLICE, _SIDE, *carried, *[F.max(c).over(upto).alias(c) for c in best]
         )
@@ -350,7 +352,7 @@ def _scan_slices(
     ]
     summaries.append(spine_rows.select(*key_cols, _SLICE).distinct())
     inherited = (
-        union_rows(summaries)
+        union_rows(summaries, keys)
         .groupBy(*key_cols, _SLICE)
         .agg(*[F.max(c).alias(c) for c in best])
         .select(*key_cols, _SLICE, *[F.max(c).over(before).alias(f"{c}_old") for c in best])

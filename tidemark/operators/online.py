@@ -21,6 +21,8 @@ from tidemark.operators.unions import union_rows
 from tidemark.spec import EVENT_TS, FeatureTable
 
 SEQ, EXPIRY = "_seq", "_expiry"
+# The sequence of rows that a base holds: before all batches.
+BASE_SEQ = -1
 LAYOUTS = ("feature", "row")
 
 
@@ -130,14 +132,13 @@ def fold_expiry(
     logs: Sequence[DataFrame],
     keys: Sequence[str],
     kept: DataFrame | None = None,
-    base: int = -1,
     wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Expiry of each key, shared by all feature tables on it.
 
     Every applied row of a table with an age limit can only move the expiry up; one of a table
-    without removes it, and later rows start anew. Log rows up to ``base`` only say which later
-    ones were applied; the expiries at that point are ``kept`` (keys, ``_seq``, ``_expiry``).
+    without removes it, and later rows start anew. Rows of a base only say which later ones were
+    applied; the expiries at that point are ``kept`` (keys, ``_seq``, ``_expiry``).
     ``wanted`` (distinct keys) restricts the result.
     """
     key_cols = [quoted(k) for k in keys]
@@ -147,14 +148,14 @@ def fold_expiry(
     if wanted is not None:
         rows = rows.join(wanted, on=list(keys), how="left_semi")
     # Placed by key once, for the windows per table and per key alike.
-    rows = accepted(rows.repartition(*key_cols), [*keys, "_tm_log"]).filter(F.col(SEQ) > base)
+    rows = accepted(rows.repartition(*key_cols), [*keys, "_tm_log"]).filter(F.col(SEQ) > BASE_SEQ)
     if kept is not None:
         if wanted is not None:
             kept = kept.join(wanted, on=list(keys), how="left_semi")
         columns = [*key_cols, SEQ, EXPIRY]
-        rows = union_rows([rows.select(*columns), kept.select(*columns)])
+        rows = union_rows([rows.select(*columns), kept.select(*columns)], keys)
     reset = F.max(F.when(F.col(EXPIRY).isNull(), F.col(SEQ))).over(Window.partitionBy(*key_cols))
-    since = rows.withColumn("_tm_reset", F.coalesce(reset, F.lit(-1)))
+    since = rows.withColumn("_tm_reset", F.coalesce(reset, F.lit(BASE_SEQ - 1)))
     return since.groupBy(*key_cols).agg(
         F.max(F.when(F.col(SEQ) > F.col("_tm_reset"), F.col(EXPIRY))).alias(EXPIRY)
     )

@@ -2,17 +2,23 @@
 
 Writing a batch costs what the batch costs: it is compacted to one row per key and written to a
 directory of its own, which counts once Spark has marked it complete. Reading folds the log
-(:mod:`tidemark.operators.online`); :meth:`OnlineStore.compact` folds it into a base now and
-then, so that reads stay close to one row per key. A batch with a known tag is written once:
+(:mod:`tidemark.operators.online`); :meth:`OnlineStore.compact` folds it into a base every few
+batches, so that reads stay close to one row per key. A batch with a known tag is written once:
 a repeated one replaces an incomplete try and is left alone after a complete one.
 
 All feature tables of one project with the same entities share a key space and their expiry.
-One writer per key space at a time.
+Several writers may be at work in it: a batch's sequence is a number and, below it, a part of
+its tag's hash, so that two batches that took the same number still have one order. A base names
+the batches that it holds, and comes before all others; a batch that another writer finishes
+late is so neither lost nor counted twice. Schemas, time types and the content of bases are in
+small files beside the data, which any later store reads.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
@@ -23,6 +29,7 @@ from pyspark.sql import types as T
 from tidemark.functions.scalars import short_name
 from tidemark.operators.mapping import quoted
 from tidemark.operators.online import (
+    BASE_SEQ,
     EXPIRY,
     LAYOUTS,
     SEQ,
@@ -33,10 +40,14 @@ from tidemark.operators.online import (
     log_schema,
     look_up,
 )
-from tidemark.spec import EVENT_TS, FeatureTable, SchemaError
-
+from tidemark.spec import EVENT_TS, FeatureTable, Field, SchemaError
 
 KEY_EXPIRY = "key-expiry"
+TAG_BITS = 24
+
+
+def sequence(number: int, tag: str) -> int:
+    return number << TAG_BITS | zlib.crc32(tag.encode()) >> (32 - TAG_BITS)
 
 
 class _Folder:
@@ -54,8 +65,21 @@ class _Folder:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
 
-    def touch(self, path: str) -> None:
-        self._fs.create(self._path(path)).close()
+    def write_text(self, path: str, text: str) -> None:
+        """Complete or not at all: written aside and renamed."""
+        aside = self._path(f"{path}.{uuid.uuid4().hex}")
+        out = self._fs.create(aside)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not self._fs.rename(aside, self._path(path)):
+            self._fs.delete(aside, False)
+
+    def read_text(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
 
     def remove(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
@@ -63,36 +87,49 @@ class _Folder:
 
 @dataclass
 class _Snapshot:
-    """What a key space holds at one moment: its latest base and the batches of each table."""
+    """What a key space holds at one moment: its latest base and the batches of each table.
+
+    A batch is (sequence, tag, name of its folder, path)."""
+
+    base: dict = field(default_factory=dict)
+    base_path: str = ""
+    bases: list[tuple[str, dict]] = field(default_factory=list)
+    complete: dict[str, list[tuple[int, str, str, str]]] = field(default_factory=dict)
+    incomplete: dict[str, list[tuple[int, str, str, str]]] = field(default_factory=dict)
 
-    base: int = -1
-    base_tables: list[str] = field(default_factory=list)
-    bases: list[int] = field(default_factory=list)
-    complete: dict[str, list[tuple[int, str, str]]] = field(default_factory=dict)
-    incomplete: dict[str, list[tuple[int, str, str]]] = field(default_factory=dict)
+    def folded(self, name: str) -> set[str]:
+        return set(self.base.get("folded", {}).get(name, []))
 
-    def newer(self, name: str) -> list[str]:
-        return [path for seq, _, path in self.complete.get(name, []) if seq > self.base]
+    def newer(self, name: str) -> list[tuple[int, str, str, str]]:
+        folded = self.folded(name)
+        return [batch for batch in self.complete.get(name, []) if batch[2] not in folded]
 
     def has_rows(self, name: str) -> bool:
-        return bool(self.newer(name)) or name in self.base_tables
+        return bool(self.newer(name)) or name in self.base.get("tables", [])
 
-    def last_seq(self) -> int:
+    def last_number(self) -> int:
         lists = [*self.complete.values(), *self.incomplete.values()]
-        return max([self.base, *(seq for batches in lists for seq, _, _ in batches)])
+        known = [seq >> TAG_BITS for batches in lists for seq, *_ in batches]
+        return max([self.base.get("last", -1), *known])
 
 
 class OnlineStore:
     """``layout="feature"`` merges per feature and shares the expiry of a key between tables;
-    ``layout="row"`` replaces whole rows, each table with its own expiry."""
+    ``layout="row"`` replaces whole rows, each table with its own expiry. After ``compact_every``
+    batches that no base holds, a write folds the key space's log (None: never)."""
 
     def __init__(
-        self, spark: SparkSession, root: str, layout: str = "feature", max_jitter: int = 0
+        self,
+        spark: SparkSession,
+        root: str,
+        layout: str = "feature",
+        max_jitter: int = 0,
+        compact_every: int | None = 64,
     ):
         if layout not in LAYOUTS:
             raise ValueError(f"layout must be one of {LAYOUTS}")
         self.spark, self.root = spark, root.rstrip("/")
-        self.layout, self.max_jitter = layout, max_jitter
+        self.layout, self.max_jitter, self.compact_every = layout, max_jitter, compact_every
         self._files = _Folder(spark, root)
         self._kinds: dict[str, T.DataType] = {}
 
@@ -101,26 +138,41 @@ class OnlineStore:
     def _space(self, table: FeatureTable) -> str:
         return f"{self.root}/{short_name('__'.join(key_space(table)), 50)}"
 
-    def _base_path(self, space: str, base: int, name: str) -> str:
-        return f"{space}/base/{base:012d}/{name}"
-
     def _snapshot(self, space: str) -> _Snapshot:
         snap = _Snapshot()
-        for number in self._files.names(f"{space}/base"):
-            if self._files.exists(f"{space}/base/{number}/COMPLETE"):
-                snap.bases.append(int(number))
+        for name in self._files.names(f"{space}/base"):
+            manifest = f"{space}/base/{name}/manifest.json"
+            if self._files.exists(manifest):
+                snap.bases.append((name, json.loads(self._files.read_text(manifest))))
         if snap.bases:
-            snap.base = max(snap.bases)
-            snap.base_tables = self._files.names(f"{space}/base/{snap.base:012d}")
+            name, snap.base = max(snap.bases, key=lambda b: (b[1]["last"], b[1]["batches"], b[0]))
+            snap.base_path = f"{space}/base/{name}"
         for name in self._files.names(f"{space}/log"):
             snap.complete[name], snap.incomplete[name] = [], []
+            folded = snap.folded(name)
             for entry in self._files.names(f"{space}/log/{name}"):
                 seq, _, tag = entry.partition("-")
                 path = f"{space}/log/{name}/{entry}"
-                done = int(seq) <= snap.base or self._files.exists(f"{path}/_SUCCESS")
-                (snap.complete if done else snap.incomplete)[name].append((int(seq), tag, path))
+                done = entry in folded or self._files.exists(f"{path}/_SUCCESS")
+                (snap.complete if done else snap.incomplete)[name].append((int(seq), tag, entry, path))
         return snap
 
+    def _declare(self, space: str, table: FeatureTable, kind: T.DataType) -> None:
+        """Note the table's fields and its time type, on its first batch."""
+        path = f"{space}/tables/{table.name}.json"
+        if not self._files.exists(path):
+            fields = {
+                part: [[f.name, f.type] for f in getattr(table, part)] for part in ("entities", "features")
+            }
+            self._files.write_text(
+                path, json.dumps({"project": table.project, "time": kind.simpleString(), **fields})
+            )
+
+    def _declared(self, space: str, name: str) -> FeatureTable:
+        noted = json.loads(self._files.read_text(f"{space}/tables/{name}.json"))
+        fields = [tuple(Field(*f) for f in noted[part]) for part in ("entities", "features")]
+        return FeatureTable(name, *fields, project=noted["project"])
+
     # Writing
 
     def write(
@@ -143,35 +195,39 @@ class OnlineStore:
                 f"{table.name} has {kind.simpleString()} event times, its key space "
                 f"{self._kinds[space].simpleString()}"
             )
-        if any(t == tag for _, t, _ in snap.complete.get(table.name, [])):
+        if any(t == tag for _, t, *_ in snap.complete.get(table.name, [])):
             return False
-        seq = snap.last_seq() + 1
-        for known, t, _ in snap.incomplete.get(table.name, []):
+        seq = sequence(snap.last_number() + 1, tag)
+        for known, t, *_ in snap.incomplete.get(table.name, []):
             if t == tag:
                 seq = known
+        self._declare(space, table, kind)
         if partitions:
             df = df.repartition(partitions, *[quoted(k) for k in table.entity_names])
         rows = log_rows(df, table, event_ts, seq, self.max_jitter, self.layout)
-        rows.write.mode("overwrite").parquet(f"{space}/log/{table.name}/{seq:012d}-{tag}")
+        rows.write.mode("overwrite").parquet(f"{space}/log/{table.name}/{seq:019d}-{tag}")
+        if self.compact_every and sum(len(snap.newer(n)) for n in snap.complete) + 1 >= self.compact_every:
+            self._compact(space)
+            self._drop(space)
         return True
 
     # Reading
 
     def _log(self, space: str, snap: _Snapshot, name: str, schema: T.StructType) -> DataFrame:
-        paths = snap.newer(name)
-        if name in snap.base_tables:
-            paths.append(self._base_path(space, snap.base, name))
+        paths = [path for *_, path in snap.newer(name)]
+        if name in snap.base.get("tables", []):
+            paths.append(f"{snap.base_path}/{name}")
         return self.spark.read.schema(schema).parquet(*paths)
 
     def _kind(self, space: str, snap: _Snapshot) -> T.DataType | None:
-        """Timestamp type of a key space, None while it is empty (one footer is read, once)."""
+        """Timestamp type of a key space, None while it is empty."""
         if space not in self._kinds:
-            paths = [path for name in snap.complete for path in snap.newer(name)]
-            paths += [self._base_path(space, snap.base, name) for name in snap.base_tables]
-            if not paths:
+            noted = self._files.names(f"{space}/tables")
+            noted = [n for n in noted if n.endswith(".json")]
+            if not noted:
                 return None
-            stored = self.spark.read.parquet(paths[0]).schema
-            self._kinds[space] = stored[EXPIRY].dataType
+            declared = json.loads(self._files.read_text(f"{space}/tables/{noted[0]}"))
+            self._kinds[space] = T._parse_datatype_string(declared["time"])
         return self._kinds[space]
 
     def _expiry(
@@ -186,11 +242,10 @@ class OnlineStore:
             if snap.has_rows(name)
         ]
         kept = None
-        if snap.base >= 0:
+        if snap.base:
             kept_schema = T.StructType([f for f in schema if f.name != EVENT_TS])
-            path = self._base_path(space, snap.base, KEY_EXPIRY)
-            kept = self.spark.read.schema(kept_schema).parquet(path)
-        return fold_expiry(logs, names, kept, snap.base, wanted)
+            kept = self.spark.read.schema(kept_schema).parquet(f"{snap.base_path}/{KEY_EXPIRY}")
+        return fold_expiry(logs, names, kept, wanted)
 
     def _state(
         self,
@@ -257,55 +312,73 @@ class OnlineStore:
 
     # Maintenance
 
-    def compact(self, tables: Sequence[FeatureTable]) -> int:
-        """Fold the log of one key space into a new base; give all its tables.
+    def compact(self, tables: Sequence[FeatureTable] | None = None) -> int:
+        """Fold the log of one key space into a new base; the number of the last batch in it.
 
-        Batches that are not complete, and all after them, stay in the log.
+        ``tables``: all of the key space. Batches that are not complete, and all after them,
+        stay in the log.
         """
+        if not tables:
+            raise ValueError("compact takes the tables of one key space")
         space = self._space(tables[0])
         snap = self._snapshot(space)
-        if any(self._space(t) != space for t in tables) or {t.name for t in tables} != set(
-            snap.complete
-        ):
+        if any(self._space(t) != space for t in tables) or {t.name for t in tables} != set(snap.complete):
             raise ValueError("compact takes exactly the tables of one key space")
-        first_open = min(
-            (seq for batches in snap.incomplete.values() for seq, _, _ in batches), default=None
-        )
+        return self._compact(space)
+
+    def _compact(self, space: str) -> int:
+        snap = self._snapshot(space)
+        opened = [seq for batches in snap.incomplete.values() for seq, *_ in batches]
+        first_open = min(opened, default=None)
+        fresh = 0
         for name, batches in snap.complete.items():
-            snap.complete[name] = [b for b in batches if first_open is None or b[0] < first_open]
-        upto = max([snap.base, *(b[0] for batches in snap.complete.values() for b in batches)])
-        if upto <= snap.base:
-            return snap.base
-        number = F.lit(upto).cast("long").alias(SEQ)
-        for table in tables:
-            if not snap.has_rows(table.name):
-                continue
-            kind = self._kind(space, snap)
+            folded = snap.folded(name)
+            snap.complete[name] = [b for b in batches if first_open is None or b[0] < first_open or b[2] in folded]
+            fresh += len(snap.newer(name))
+        if not fresh:
+            return snap.base.get("last", -1)
+        last = snap.last_number() if first_open is None else max(
+            [snap.base.get("last", -1), *(b[0] >> TAG_BITS for bs in snap.complete.values() for b in bs)]
+        )
+        path = f"{space}/base/{last:012d}-{uuid.uuid4().hex[:8]}"
+        number = F.lit(BASE_SEQ).cast("long").alias(SEQ)
+        kind = self._kind(space, snap)
+        written = [name for name in sorted(snap.complete) if snap.has_rows(name)]
+        for name in written:
+            table = self._declared(space, name)
             schema = log_schema(table, kind)
-            state = fold_table(self._log(space, snap, table.name, schema), table, self.layout)
+            state = fold_table(self._log(space, snap, name, schema), table, self.layout)
             if self.layout == "feature":
                 state = state.withColumn(EXPIRY, F.lit(None).cast(kind))
             columns = [quoted(c) for c in schema.names if c != SEQ]
-            path = self._base_path(space, upto, table.name)
-            state.select(*columns, number).write.mode("overwrite").parquet(path)
+            state.select(*columns, number).write.parquet(f"{path}/{name}")
         if self.layout == "feature":
-            expiry = self._expiry(snap, tables[0])
-            path = self._base_path(space, upto, KEY_EXPIRY)
-            expiry.select("*", number).write.mode("overwrite").parquet(path)
-        self._files.touch(f"{space}/base/{upto:012d}/COMPLETE")
-        return upto
+            expiry = self._expiry(snap, self._declared(space, written[0]))
+            expiry.select("*", number).write.parquet(f"{path}/{KEY_EXPIRY}")
+        manifest = {
+            "last": last,
+            "batches": snap.base.get("batches", 0) + fresh,
+            "tables": written,
+            "folded": {name: [b[2] for b in batches] for name, batches in snap.complete.items()},
+        }
+        self._files.write_text(f"{path}/manifest.json", json.dumps(manifest))
+        return last
 
     def drop_compacted(self, table: FeatureTable) -> None:
         """Remove log batches and bases that the base before the latest one already covers."""
-        space = self._space(table)
+        self._drop(self._space(table))
+
+    def _drop(self, space: str) -> None:
         snap = self._snapshot(space)
-        if len(snap.bases) < 2:
+        older = [b for b in snap.bases if f"{space}/base/{b[0]}" != snap.base_path]
+        if not older:
             return
-        keep = sorted(snap.bases)[-2]
-        for batches in snap.complete.values():
-            for seq, _, path in batches:
-                if seq <= keep:
+        kept_name, kept = max(older, key=lambda b: (b[1]["last"], b[1]["batches"], b[0]))
+        for name, batches in snap.complete.items():
+            covered = snap.folded(name) & set(kept["folded"].get(name, []))
+            for *_, entry, path in batches:
+                if entry in covered:
                     self._files.remove(path)
-        for number in snap.bases:
-            if number < keep:
-                self._files.remove(f"{space}/base/{number:012d}")
+        for name, _ in older:
+            if name != kept_name:
+                self._files.remove(f"{space}/base/{name}")

@@ -214,7 +214,7 @@ def _log(value: str) -> str:
 l AS (
   SELECT user_id, event_type, event_id, ts, {value} AS value,
     CASE WHEN ts < '2024-01-10' THEN 1 WHEN ts < '2024-01-20' THEN 0 ELSE 2 END AS seq
-  FROM events WHERE ts < '2024-01-20' OR event_id % 40 = 0),
+  FROM events),
 c AS (SELECT * FROM l QUALIFY row_number() OVER (
   PARTITION BY user_id, event_type, seq ORDER BY ts DESC, event_id DESC) = 1),
 a AS (SELECT * FROM c QUALIFY ts >= coalesce(max(ts) OVER (PARTITION BY user_id, event_type
@@ -237,6 +237,10 @@ WITH {_log(_GAPPY)} SELECT user_id, event_type, value, event_id, ts AS event_tim
 ORACLE["compacted_store"] = f"""
 WITH {_log(_GAPPY)} SELECT user_id, event_type, {_MERGED}, max(ts) + INTERVAL 2 DAY AS expiry
 FROM a GROUP BY user_id, event_type"""
+ORACLE["concurrent_writers"] = f"""
+WITH c AS (SELECT user_id, event_type, event_id, ts, {_GAPPY} AS value FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)
+SELECT user_id, event_type, value, event_id, ts AS event_timestamp, ts + INTERVAL 2 DAY AS expiry FROM c"""
 ORACLE["stream_ingestion"] = f"""
 WITH {_log('value')} SELECT user_id, event_type, {_MERGED}, max(ts) + INTERVAL 2 DAY AS expiry
 FROM a GROUP BY user_id, event_type"""
@@ -245,9 +249,12 @@ WITH e AS (
   SELECT user_id, max(ts) + INTERVAL 1 DAY AS expiry FROM events WHERE event_type = 'click'
   GROUP BY user_id UNION ALL
   SELECT user_id, max(ts) + INTERVAL 3 DAY FROM events WHERE event_type = 'view' GROUP BY user_id
-  UNION ALL SELECT user_id, NULL FROM events WHERE event_type = 'error' AND user_id % 4 = 0)
-SELECT user_id, CASE WHEN count(*) = count(expiry) THEN max(expiry) END AS expiry
-FROM e GROUP BY user_id"""
+  UNION ALL SELECT user_id, NULL FROM events WHERE event_type = 'error'),
+s AS (SELECT user_id, max(ts) + INTERVAL 2 DAY AS again FROM events WHERE event_type = 'signup' GROUP BY user_id),
+x AS (SELECT user_id, count(*) = count(expiry) AS kept, max(expiry) AS expiry FROM e GROUP BY user_id)
+SELECT coalesce(x.user_id, s.user_id) AS user_id,
+  CASE WHEN x.kept THEN greatest(x.expiry, s.again) ELSE s.again END AS expiry
+FROM x FULL JOIN s ON s.user_id = x.user_id"""
 ORACLE["expiry_jitter"] = """
 SELECT count(*) AS keys, count(*) AS within, TRUE AS spread
 FROM (SELECT DISTINCT user_id, event_type FROM events)"""
@@ -272,12 +279,11 @@ ORACLE["batch_ingestion"] = f"""
 SELECT user_id, value, event_id, ts, TRUE AS kept FROM ({_LAST_DAYS}) WHERE {_KEPT}
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1
 UNION ALL SELECT user_id, value, event_id, ts, FALSE FROM ({_LAST_DAYS}) WHERE NOT {_KEPT}"""
-ORACLE["lag_figures"] = """
+_PERCENTILES = ["p50", "p75", "p95", "p98", "p99", "p999"]
+ORACLE["lag_figures"] = f"""
 WITH l AS (SELECT epoch_us(TIMESTAMP '2024-01-31' - ts) // 1000 AS lag FROM events)
 SELECT count(lag) AS lag_count, min(lag) AS lag_min, max(lag) AS lag_max, avg(lag) AS lag_mean,
-  quantile_disc(lag, 0.5) AS lag_p50, quantile_disc(lag, 0.75) AS lag_p75,
-  quantile_disc(lag, 0.95) AS lag_p95, quantile_disc(lag, 0.98) AS lag_p98,
-  quantile_disc(lag, 0.99) AS lag_p99, quantile_disc(lag, 0.999) AS lag_p999 FROM l"""
+  stddev_samp(lag) AS lag_stddev, {", ".join(f"TRUE AS {p}_within" for p in _PERCENTILES)} FROM l"""
 ORACLE["table_freshness"] = """
 WITH t(feature_table, max_age) AS (
   VALUES ('click', 3600), ('view', 86400), ('signup', NULL), ('purchase', 1800), ('refund', 60)),
