@@ -36,8 +36,9 @@ from tidemark.llm.common import saved
 
 ORDER = 5
 MARK = b"\n"
-BUFFER = 1 << 23
-COUNTED_WORDS = 1 << 18
+# Bytes of text that a task works on at once; a longer text is worked on by itself.
+BUFFER = 1 << 20
+COUNTED_GRAMS, COUNTED_WORDS = 1 << 21, 1 << 18
 # Fixed value: an odd multiplier that spreads keys over a table (2^64 over the golden ratio).
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,11 +83,34 @@ def side_by_side(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"gram": pa.array(keys.view(np.int64)), "n": pa.array(counts, pa.int64())})
+
     texts = (t or "" for b in batches for t in b["text"].to_pylist())
+    waiting: list[np.ndarray] = []
     for held in buffered(texts):
-        _, found = grams(*side_by_side(held))
-        keys, n = np.unique(found, return_counts=True)
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(keys.view(np.int64)), "n": pa.array(n, pa.int64())})
+        waiting.append(grams(*side_by_side(held))[1])
+        if len(waiting) < 8:
+            continue
+        keys, counts = merged(keys, counts, waiting)
+        waiting = []
+        if len(keys) > COUNTED_GRAMS:
+            yield out()
+            keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    keys, counts = merged(keys, counts, waiting)
+    if len(keys):
+        yield out()
+
+
+def merged(keys: np.ndarray, counts: np.ndarray, more: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of grams with those of further occurrences."""
+    if not more:
+        return keys, counts
+    new, n = np.unique(np.concatenate(more), return_counts=True)
+    keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([counts, n]), len(keys)).astype(np.int64)
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +259,7 @@ def fitted(learning: DataFrame, max_nodes: int) -> Trie:
     return trie(*columns(kept), *columns(contexts))
 
 
-def lm_scores(docs: DataFrame, max_nodes: int = 1 << 21, max_words: int = 1 << 18) -> DataFrame:
+def lm_scores(docs: DataFrame, max_nodes: int = 1 << 20, max_words: int = 1 << 18) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))

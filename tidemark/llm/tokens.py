@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import re
 import struct
-import unicodedata
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -63,9 +62,12 @@ class Encoder:
 
             self.pieces = regex.compile(pattern).findall
             self.table = byte_characters()
+            self.split = self.tokenizer.model.tokenize
+            self.packed = [self._pack([i]) for i in range(self.tokenizer.get_vocab_size())]
             self.known = _Cache(self._piece)
             self.words = _Cache(self._word)
-            # Letters, digits and marks whose case, composition and class all libraries agree on.
+            # Letters, digits and marks whose case, composition and class all libraries agree on;
+            # composed already.
             self.simple = re.compile("[!-~¡-įı-ſ]+").fullmatch
 
     @staticmethod
@@ -86,15 +88,21 @@ class Encoder:
         return struct.pack(f"<{len(ids)}{self.letter}", *ids)
 
     def _piece(self, piece: str) -> bytes:
-        shown = piece.encode().decode("latin-1").translate(self.table)
-        return self._pack([t.id for t in self.tokenizer.model.tokenize(shown)])
+        # Printable ASCII, all that simple words have of it, is written as itself.
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.table)
+        return b"".join([self.packed[t.id] for t in self.split(shown)])
 
     def _word(self, word: str) -> bytes:
-        if not word:
-            return b""
-        if self.simple(word):
-            return b"".join(map(self.known.__getitem__, self.pieces(unicodedata.normalize("NFC", word).lower())))
-        return self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if not self.simple(word):
+            return self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if not word.isascii():
+            word = word.lower()
+        # Letters, and letters before one mark or digit, need no search for pieces.
+        if word.isalpha():
+            return self.known[word]
+        if word[:-1].isalpha() and not word[-1].isalpha():
+            return self.known[word[:-1]] + self.known[word[-1]]
+        return b"".join(map(self.known.__getitem__, self.pieces(word)))
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of ``width`` bytes each."""
