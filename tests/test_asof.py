@@ -167,10 +167,17 @@ def test_nearest_rows_per_spine_point(frame, trips):
     ]
 
 
-def test_too_large_spine_is_not_broadcast(frame, trips):
-    spine = frame(SPINE, [(1, "2021-03-01 00:00:00")])
+def test_too_large_spine_is_joined_without_a_broadcast(frame, trips):
+    spine = frame(SPINE, [(1, "2021-03-01 00:00:00"), (2, "2020-09-02 00:00:00")])
+    small = SkewPolicy(broadcast_bytes=1)
+    joined = as_of_join(spine, "at", trips, TRIPS, "broadcast", small)
+    assert rows_of(joined) == rows_of(as_of_join(spine, "at", trips, TRIPS, "window"))
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    near = nearest_feature_rows(trips, TRIPS, spine, "at", "broadcast", small)
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(near) == rows_of(nearest_feature_rows(trips, TRIPS, spine, "at", "window"))
     with pytest.raises(ValueError):
-        as_of_join(spine, "at", trips, TRIPS, "broadcast", SkewPolicy(broadcast_bytes=1))
+        nearest_feature_rows(trips, TRIPS, spine, "at", "brodcast")
 
 
 def test_hot_keys_are_found(spark):
@@ -217,7 +224,7 @@ def model(spine, features, max_age):
     st.sampled_from(
         [
             ("window", SkewPolicy()),
-            ("sliced", SkewPolicy(max_slices=4)),
+            ("sliced", SkewPolicy(slices=4)),
             ("auto", SkewPolicy(hot_rows=3, max_hot_keys=8, tracked_keys=16, sketch_share=1)),
             ("auto", SkewPolicy(broadcast_ratio=0)),
         ]

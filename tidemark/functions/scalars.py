@@ -24,12 +24,21 @@ def epoch_micros(ts: Column, data_type: T.DataType) -> Column:
     return F.unix_micros(ts)
 
 
+def partition_date(column: Column, kind: T.DataType) -> Column:
+    """The day that a partition value names; NULL (not to be pruned by) for anything else."""
+    if isinstance(kind, T.DateType):
+        return column
+    if not isinstance(kind, T.StringType):
+        return F.lit(None).cast("date")
+    return F.when(column.rlike(r"^\d{4}-\d{2}-\d{2}$"), column.try_cast("date"))
+
+
 def epoch_seconds(ts: Column, data_type: T.DataType) -> Column:
     """Whole seconds since 1970, rounded down also before 1970."""
     if not isinstance(data_type, T.TimestampNTZType):
         return F.unix_seconds(ts)
     us = epoch_micros(ts, data_type)
-    return ((us - F.pmod(us, F.lit(1_000_000))) / 1_000_000).cast("long")
+    return F.call_function("div", us - F.pmod(us, F.lit(1_000_000)), F.lit(1_000_000).cast("long"))
 
 
 def timestamp_literal(micros: int, data_type: T.DataType) -> Column:

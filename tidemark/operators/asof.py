@@ -39,12 +39,18 @@ _ROW, _TS, _SIDE, _SLICE = "_tm_row", "_tm_ts", "_tm_side", "_tm_slice"
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """Sizes that steer the physical plan; none of them changes a result."""
+    """Sizes that steer the physical plan; none of them changes a result.
+
+    ``least_row_bytes``: stored bytes that a row takes at least, by which ``"auto"`` tells from the
+    inputs' stored size that no key can have ``hot_rows`` rows. ``slices``: into how many parts
+    ``"sliced"`` cuts.
+    """
 
     hot_rows: int = 1_000_000
     max_hot_keys: int = 4096
     tracked_keys: int = 16_384
-    max_slices: int = 2048
+    slices: int = 2048
+    least_row_bytes: int = 8
     sketch_share: float = 1 / 16
     broadcast_bytes: int = 16 << 20
     broadcast_ratio: int = 16
@@ -63,6 +69,11 @@ class SpineStats:
     hot: dict[tuple[str, ...], dict[int, int]] = field(default_factory=dict)
 
 
+def _check_strategy(strategy: str) -> None:
+    if strategy not in ("auto", "window", "sliced", "broadcast"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+
+
 def _key_set(table: FeatureTable) -> tuple[str, ...]:
     return tuple(sorted(table.entity_names))
 
@@ -175,6 +186,37 @@ def _feature_stats(
     return [found.get(i, (0, {})) for i in range(len(frames))]
 
 
+def _may_be_hot(inputs: Sequence[DataFrame], policy: SkewPolicy) -> bool:
+    """Whether, by the optimiser's size of the inputs, any key could have ``hot_rows`` rows."""
+    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs]
+    return sum(sizes) >= policy.hot_rows * policy.least_row_bytes
+
+
+def _measured(
+    spine: DataFrame,
+    spine_ts: str,
+    frames: Sequence[DataFrame],
+    tables: Sequence[FeatureTable],
+    key_sets: Sequence[tuple[str, ...]],
+    strategy: str,
+    policy: SkewPolicy,
+) -> tuple[str, list[DataFrame], SpineStats | None, list | None]:
+    """The strategy to follow, the features within reach, and what was measured for it.
+
+    Nothing is measured where no key can be large. A spine whose keys are too large to broadcast,
+    or of a type whose size is not known, is joined without.
+    """
+    if strategy not in ("auto", "broadcast") or (
+        strategy == "auto" and not _may_be_hot([spine, *frames], policy)
+    ):
+        return strategy, list(frames), None, None
+    stats = spine_stats(spine, spine_ts, key_sets, policy)
+    if strategy == "broadcast" and max(stats.key_bytes.values()) > policy.broadcast_bytes:
+        strategy = "auto"
+    reached = [prune_to_spine(df, t, stats.min_micros, stats.max_micros) for df, t in zip(frames, tables)]
+    return strategy, reached, stats, _feature_stats(reached, tables, policy)
+
+
 def prune_to_spine(
     features: DataFrame,
     table: FeatureTable,
@@ -186,7 +228,7 @@ def prune_to_spine(
 
     Without a spine time there is nothing to match, and the features are kept as they are. The
     date partitions of the event times are dropped alike, with a day to spare for the time zone
-    the dates were taken in.
+    the dates were taken in; partitions that name no date are kept.
     """
     if min_micros is None:
         return features
@@ -195,12 +237,13 @@ def prune_to_spine(
     kept = features.filter(ts <= timestamp_literal(max_micros, kind))
     dated = DATE_PARTITION in features.columns
     if dated:
-        kept = kept.filter(F.col(DATE_PARTITION) <= F.lit(utc_date(max_micros, 1)))
+        no_date, day = F.col(DATE_PARTITION).isNull(), F.col(DATE_PARTITION)
+        kept = kept.filter(no_date | (day <= F.lit(utc_date(max_micros, 1))))
     if table.max_age is not None:
         lowest = min_micros - table.max_age * 1_000_000
         kept = kept.filter(ts >= timestamp_literal(lowest, kind))
         if dated:
-            kept = kept.filter(F.col(DATE_PARTITION) >= F.lit(utc_date(lowest, -1)))
+            kept = kept.filter(no_date | (day >= F.lit(utc_date(lowest, -1))))
     return kept
 
 
@@ -458,13 +501,13 @@ def _match(
     if strategy == "sliced":
         parts.append(
             _scan_by_slice(
-                spine.filter(usable), spine_ts, keys, frames, tables, policy.max_slices
+                spine.filter(usable), spine_ts, keys, frames, tables, policy.slices
             )
         )
     elif hot:
         is_hot = _is_hot(keys, sorted(hot))
         # Some slices per task's worth of rows, so that tasks of a large key come out even.
-        slices = min(policy.max_slices, max(8, math.ceil(4 * sum(hot.values()) / policy.hot_rows)))
+        slices = max(8, math.ceil(4 * sum(hot.values()) / policy.hot_rows))
         parts.append(
             _scan_by_key(
                 spine.filter(usable & ~is_hot),
@@ -520,26 +563,17 @@ def join_feature_tables(
     be cheap and repeatable to read. ``strategy``: ``"auto"`` measures spine and
     features first, drops features out of reach and handles hot keys; ``"window"`` plans without
     running anything; ``"sliced"`` treats every key as hot; ``"broadcast"`` also reduces the
-    features by the broadcast distinct spine keys (raises when those are too large).
+    features by the broadcast distinct spine keys, unless those are too large for that.
     With ``checkpoint`` the plan is cut after each pass, for very many tables.
     """
-    if strategy not in ("auto", "window", "sliced", "broadcast"):
-        raise ValueError(f"unknown strategy {strategy!r}")
+    _check_strategy(strategy)
     _check_kinds(spine, spine_ts, frames, tables)
     groups: dict[tuple[str, ...], list[int]] = {}
     for i, table in enumerate(tables):
         groups.setdefault(_key_set(table), []).append(i)
-    frames = list(frames)
-    stats = counts = None
-    if strategy in ("auto", "broadcast"):
-        stats = spine_stats(spine, spine_ts, list(groups), policy)
-        if strategy == "broadcast" and max(stats.key_bytes.values()) > policy.broadcast_bytes:
-            raise ValueError("the spine is too large to broadcast; use another strategy")
-        frames = [
-            prune_to_spine(df, t, stats.min_micros, stats.max_micros)
-            for df, t in zip(frames, tables)
-        ]
-        counts = _feature_stats(frames, tables, policy)
+    strategy, frames, stats, counts = _measured(
+        spine, spine_ts, frames, tables, list(groups), strategy, policy
+    )
     joined = None
     for keys, members in groups.items():
         own = [tables[i] for i in members]
@@ -598,16 +632,14 @@ def nearest_feature_rows(
     The spine time is added as ``event_timestamp_entity``; keys and times without a match are
     left out. This is the feature side of :func:`as_of_join` with the ties already resolved.
     """
+    _check_strategy(strategy)
     keys = table.entity_names
     points = spine.select(*[quoted(k) for k in keys], quoted(spine_ts).alias(SPINE_EVENT_TS))
     points = points.filter(_usable(keys, SPINE_EVENT_TS)).distinct()
     _check_kinds(points, SPINE_EVENT_TS, [features], [table])
-    stats = counts = None
-    frames = [features]
-    if strategy in ("auto", "broadcast"):
-        stats = spine_stats(points, SPINE_EVENT_TS, [_key_set(table)], policy)
-        frames = [prune_to_spine(features, table, stats.min_micros, stats.max_micros)]
-        counts = _feature_stats(frames, [table], policy)
+    strategy, frames, stats, counts = _measured(
+        points, SPINE_EVENT_TS, [features], [table], [_key_set(table)], strategy, policy
+    )
     matched = _match(
         points, SPINE_EVENT_TS, frames, [table], stats, counts, strategy, policy, True
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import is_timestamp
+from tidemark.functions.scalars import is_timestamp, partition_date
 from tidemark.spec import CREATED_TS, EVENT_TS, FeatureTable, Field, SchemaError, Source
 
 # The date partition of a feature row, kept until the partitions out of reach are dropped.
@@ -116,7 +116,8 @@ def feature_projection(df: DataFrame, table: FeatureTable, source: Source) -> Da
     """Check a mapped feature source and bring it to features, entities and both timestamps.
 
     The only type change allowed is double to float. A ``table.tiebreak`` column is kept too,
-    and so is the date partition as ``_tm_date``.
+    and so is the date partition as ``_tm_date``; a partition value that is not a plain date is
+    NULL there and its rows are never pruned.
     """
     if not source.created_timestamp_column:
         raise SchemaError(f"feature table {table.name} needs a created timestamp column")
@@ -145,7 +146,8 @@ def feature_projection(df: DataFrame, table: FeatureTable, source: Source) -> Da
     out += [quoted(stamps[0]).alias(EVENT_TS), quoted(stamps[1]).alias(CREATED_TS)]
     out += [quoted(n) for n in extra if n not in [*table.feature_names, *table.entity_names]]
     if source.date_partition_column in found:
-        out.append(quoted(source.date_partition_column).try_cast("date").alias(DATE_PARTITION))
+        part = source.date_partition_column
+        out.append(partition_date(quoted(part), found[part]).alias(DATE_PARTITION))
     return df.select(*out)
 
 

@@ -23,22 +23,36 @@ def row_counts(df: DataFrame, check: Column) -> DataFrame:
     )
 
 
+def lag_millis(df: DataFrame, event_ts: str, now: Column) -> Column:
+    """``now - event time`` in whole milliseconds."""
+    kind = df.schema[event_ts].dataType
+    return F.floor((epoch_micros(now, kind) - epoch_micros(quoted(event_ts), kind)) / 1000)
+
+
+def lag_figures(lag: Column, accuracy: int = 10_000) -> list[Column]:
+    """Aggregates of a lag: exact figures and ``lag_cuts``, the approximate percentiles."""
+    return [
+        F.count(lag).alias("lag_count"),
+        F.min(lag).alias("lag_min"),
+        F.max(lag).alias("lag_max"),
+        F.avg(lag).alias("lag_mean"),
+        F.stddev_samp(lag).alias("lag_stddev"),
+        F.percentile_approx(lag, list(LAG_PERCENTILES.values()), accuracy).alias("lag_cuts"),
+    ]
+
+
+def lag_by_name(row: Mapping[str, object]) -> dict[str, object]:
+    """The figures out of a row of :func:`lag_figures`, by name."""
+    plain = {c: row[c] for c in ("lag_count", "lag_min", "lag_max", "lag_mean", "lag_stddev")}
+    cuts = row["lag_cuts"] or [None] * len(LAG_PERCENTILES)
+    return plain | {f"lag_{n}": cut for n, cut in zip(LAG_PERCENTILES, cuts)}
+
+
 def lag_stats(df: DataFrame, event_ts: str, now: Column, accuracy: int = 10_000) -> DataFrame:
     """Distribution of ``now - event time`` in milliseconds; the percentiles are approximate."""
-    kind = df.schema[event_ts].dataType
-    lag_micros = epoch_micros(now, kind) - epoch_micros(quoted(event_ts), kind)
-    lag = df.select(F.floor(lag_micros / 1000).alias("lag"))
-    cuts = list(LAG_PERCENTILES.values())
-    stats = lag.agg(
-        F.count("lag").alias("lag_count"),
-        F.min("lag").alias("lag_min"),
-        F.max("lag").alias("lag_max"),
-        F.avg("lag").alias("lag_mean"),
-        F.stddev_samp("lag").alias("lag_stddev"),
-        F.percentile_approx("lag", cuts, accuracy).alias("p"),
-    )
-    named = [F.col("p")[i].alias(f"lag_{n}") for i, n in enumerate(LAG_PERCENTILES)]
-    return stats.select(*[c for c in stats.columns if c != "p"], *named)
+    stats = df.select(lag_millis(df, event_ts, now).alias("lag")).agg(*lag_figures(F.col("lag"), accuracy))
+    named = [F.col("lag_cuts")[i].alias(f"lag_{n}") for i, n in enumerate(LAG_PERCENTILES)]
+    return stats.select(*[c for c in stats.columns if c != "lag_cuts"], *named)
 
 
 def freshness(

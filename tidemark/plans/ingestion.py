@@ -38,13 +38,17 @@ def ingest_batch(
     dead_letter: str | None = None,
     expectations=None,
     tag: str | None = None,
+    partitions: int | None = None,
 ) -> IngestionReport:
     """Ingest rows with an event time in ``[start, end)``, or of the last days up to today.
 
     Without ``expectations`` the rules in the table's labels apply.
-    Rejected rows are appended under ``dead_letter`` if given. They come from a second scan
-    with the opposite filter, which at scale costs less than caching the input would. A batch
-    whose ``tag`` was ingested before is left alone and reported as empty.
+    Rejected rows are kept under ``dead_letter`` if given, before the others are applied, so that
+    a crash between the two loses none; a repeated try with the same ``tag`` replaces them. They
+    come from a second scan with the opposite filter, which at scale costs less than caching the
+    input would, so the mapping must give the same values twice. A batch whose ``tag`` was
+    ingested before is left alone and reported as empty. ``partitions``: into how many parts the
+    batch is shuffled by key.
     """
     source = table.batch_source
     if source is None:
@@ -54,6 +58,8 @@ def ingest_batch(
     if start is None or end is None:
         raise ValueError("give start and end, or last_n_days")
     projected = project_input(scan_range(spark, source, start, end), table, source)
+    if not projected._jdf.queryExecution().analyzed().deterministic():
+        raise SchemaError(f"{table.name} has a mapping that gives other values when read again")
     rules = expectations if expectations is not None else table.expectations
     check = all_checks(table, source.event_timestamp_column, rules)
     seen = Observation()
@@ -63,9 +69,10 @@ def ingest_batch(
         F.count_if(check).alias("ingested"),
         F.count_if(~check).alias("rejected"),
     )
-    if not store.write(counted.filter(check), table, source.event_timestamp_column, tag):
+    if tag and store.has_batch(table, tag):
         return IngestionReport(0, 0, 0)
-    report = IngestionReport(**seen.get)
-    if dead_letter and report.rejected:
-        write_dead_letters(projected.filter(~check), dead_letter_root(dead_letter, table))
-    return report
+    if dead_letter:
+        write_dead_letters(projected.filter(~check), dead_letter_root(dead_letter, table), tag)
+    if not store.write(counted.filter(check), table, source.event_timestamp_column, tag, partitions):
+        return IngestionReport(0, 0, 0)
+    return IngestionReport(**seen.get)

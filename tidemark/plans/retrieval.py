@@ -64,14 +64,26 @@ def retrieve_historical_features(
     entity_source_conf: Mapping[str, Any],
     feature_tables_sources_conf: Sequence[Mapping[str, Any]],
     feature_tables_conf: Sequence[Mapping[str, Any]],
+    strategy: str = "auto",
+    policy: SkewPolicy = SkewPolicy(),
+    checkpoint: bool = False,
+    output: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """:func:`retrieve` for sources and tables declared as dictionaries."""
-    return retrieve(
+    """:func:`retrieve` for sources and tables declared as dictionaries; ``output`` as in
+    :func:`get_historical_features`."""
+    spine = source_from_dict(entity_source_conf)
+    result = retrieve(
         spark,
-        source_from_dict(entity_source_conf),
+        spine,
         [source_from_dict(c) for c in feature_tables_sources_conf],
         [feature_table_from_dict(c) for c in feature_tables_conf],
+        strategy,
+        policy,
+        checkpoint,
     )
+    if output is not None:
+        write_training_set(result, spine.event_timestamp_column, *output)
+    return result
 
 
 def get_historical_features(
@@ -90,8 +102,8 @@ def get_historical_features(
 
     The spine is a source, a Spark DataFrame or a pandas DataFrame (staged as Parquet first);
     the latter two use ``event_timestamp_column``. A feature source's date partition column, if
-    declared, must hold the date of the event time: partitions out of reach are not read. With
-    ``output=(format, path)`` the result is also written there, replacing earlier output.
+    declared, must hold the date of the event time, or no plain date: partitions out of reach are
+    not read. With ``output=(format, path)`` the result is also written there, replacing earlier output.
     """
     wanted = select_feature_refs(feature_refs, tables)
     for table in wanted:

@@ -211,6 +211,11 @@ class OnlineStore:
             self._drop(space)
         return True
 
+    def has_batch(self, table: FeatureTable, tag: str) -> bool:
+        """Whether a batch with this tag is there, complete."""
+        known = self._snapshot(self._space(table)).complete.get(table.name, [])
+        return any(t == tag for _, t, *_ in known)
+
     # Reading
 
     def _log(self, space: str, snap: _Snapshot, name: str, schema: T.StructType) -> DataFrame:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import instant
+from tidemark.functions.scalars import instant, partition_date
 from tidemark.operators.mapping import quoted
 from tidemark.spec import FileSource, FrameSource, Source, TableSource
 
@@ -38,17 +38,17 @@ def scan_range(
     """Rows with an event time in ``[start, end)``.
 
     With a date partition column, also only its dates from ``start`` to ``end``, both included,
-    so that other partitions are not read. Naive bounds are UTC.
+    so that other partitions are not read; partitions that name no date are. Naive bounds are UTC.
     """
     df = read_source(spark, source)
     kind = df.schema[source.event_timestamp_column].dataType
     ts = quoted(source.event_timestamp_column)
     bounded = df.filter((ts >= instant(start, kind)) & (ts < instant(end, kind)))
     if source.date_partition_column:
-        part = quoted(source.date_partition_column).try_cast("date")
-        bounded = bounded.filter(
-            part.between(F.lit(_utc(start).date()), F.lit(_utc(end).date()))
-        )
+        name = source.date_partition_column
+        part = partition_date(quoted(name), df.schema[name].dataType)
+        days = part.between(F.lit(_utc(start).date()), F.lit(_utc(end).date()))
+        bounded = bounded.filter(part.isNull() | days)
     return bounded
 
 

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
-from operator import attrgetter
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.operators.mapping import flatten
-from tidemark.sources.avro import avro_reader
+from tidemark.spec import SchemaError
 
 FEATURES = "_tm_features"
 
@@ -39,165 +35,30 @@ class ProtoFormat:
     descriptor_set: bytes
 
 
-def _message_descriptor(message: str, descriptor_set: bytes):
-    from google.protobuf import descriptor_pb2, descriptor_pool
-
-    pool = descriptor_pool.DescriptorPool()
-    for file in descriptor_pb2.FileDescriptorSet.FromString(descriptor_set).file:
-        pool.AddSerializedFile(file.SerializeToString())
-    return pool.FindMessageTypeByName(message)
-
-
-def _is_repeated(fd) -> bool:
-    return fd.is_repeated
-
-
-def _is_map(fd) -> bool:
-    return fd.message_type is not None and fd.message_type.GetOptions().map_entry
-
-
-_TIMESTAMP = "google.protobuf.Timestamp"
-
-
-def _single_type(fd) -> T.DataType:
-    """Spark type of one value of a field: enums are text, timestamps timestamps."""
-    by_cpp_type = {
-        fd.CPPTYPE_INT32: T.IntegerType(),
-        fd.CPPTYPE_UINT32: T.IntegerType(),
-        fd.CPPTYPE_INT64: T.LongType(),
-        fd.CPPTYPE_UINT64: T.LongType(),
-        fd.CPPTYPE_FLOAT: T.FloatType(),
-        fd.CPPTYPE_DOUBLE: T.DoubleType(),
-        fd.CPPTYPE_BOOL: T.BooleanType(),
-        fd.CPPTYPE_ENUM: T.StringType(),
-    }
-    if fd.cpp_type in by_cpp_type:
-        return by_cpp_type[fd.cpp_type]
-    if fd.cpp_type == fd.CPPTYPE_STRING:
-        return T.BinaryType() if fd.type == fd.TYPE_BYTES else T.StringType()
-    if fd.message_type.full_name == _TIMESTAMP:
-        return T.TimestampType()
-    return _struct_type(fd.message_type)
-
-
-def _field_type(fd) -> T.DataType:
-    if _is_map(fd):
-        entry = fd.message_type.fields_by_name
-        return T.MapType(_single_type(entry["key"]), _single_type(entry["value"]))
-    one = _single_type(fd)
-    return T.ArrayType(one, containsNull=False) if _is_repeated(fd) else one
-
-
-def _struct_type(descriptor) -> T.StructType:
-    out = T.StructType()
-    for fd in descriptor.fields:
-        kind = _field_type(fd)
-        if kind != T.StructType():
-            out.add(fd.name, kind, nullable=True)
-    return out
-
-
-def proto_schema(fmt: ProtoFormat) -> T.StructType:
-    """Columns of a message type, in the order its fields are declared."""
-    return _struct_type(_message_descriptor(fmt.message, fmt.descriptor_set))
-
-
-def _converter(fd) -> Callable | None:
-    """What turns one set value of a field into its column value; None to keep it."""
-    if fd.cpp_type == fd.CPPTYPE_ENUM:
-        names = {number: v.name for number, v in fd.enum_type.values_by_number.items()}
-        return names.get
-    if fd.cpp_type == fd.CPPTYPE_MESSAGE:
-        if fd.message_type.full_name == _TIMESTAMP:
-            return lambda stamp: stamp.seconds * 1_000_000
-        return _row_reader(fd.message_type)
-    # Unsigned values share the bits of the signed column.
-    if fd.cpp_type == fd.CPPTYPE_UINT32:
-        return lambda n: n - (1 << 32) if n >> 31 else n
-    if fd.cpp_type == fd.CPPTYPE_UINT64:
-        return lambda n: n - (1 << 64) if n >> 63 else n
-    return None
-
-
-def _field_reader(fd) -> Callable:
-    """Unset enums and messages are NULL, unset lists and maps empty, other scalars the default."""
-    get = attrgetter(fd.name)
-    if _is_map(fd):
-        convert = _converter(fd.message_type.fields_by_name["value"]) or (lambda v: v)
-        return lambda message: [(k, convert(v)) for k, v in get(message).items()]
-    convert = _converter(fd)
-    if _is_repeated(fd):
-        return lambda message: [convert(v) for v in get(message)] if convert else list(get(message))
-    if fd.has_presence and fd.cpp_type in (fd.CPPTYPE_ENUM, fd.CPPTYPE_MESSAGE):
-        name = fd.name
-        return lambda message: convert(get(message)) if message.HasField(name) else None
-    if fd.cpp_type == fd.CPPTYPE_ENUM:
-        return lambda message: convert(number) if (number := get(message)) else None
-    return (lambda message: convert(get(message))) if convert else get
-
-
-def _row_reader(descriptor) -> Callable:
-    fields = [(fd.name, _field_reader(fd)) for fd in descriptor.fields]
-    return lambda message: {name: read(message) for name, read in fields}
+def _built_in(package: str, example: str) -> None:
+    """Fail clearly where the session lacks one of Spark's own format packages."""
+    from pyspark.sql import SparkSession
+
+    loader = SparkSession.active()._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    if loader.getResource(example) is None:
+        raise SchemaError(f"this needs Spark's {package} package on the class path of the session")
 
 
 def from_proto(value: Column, fmt: ProtoFormat) -> Column:
-    """Message bytes as a struct, decoded in Arrow batches; NULL for malformed bytes."""
-    schema = proto_schema(fmt)
-    arrow_type = to_arrow_type(schema)
-    message, descriptor_set, cached = fmt.message, fmt.descriptor_set, {}
-
-    def decode(batch: pa.Array) -> pa.Array:
-        from google.protobuf.message import DecodeError
-        from google.protobuf.message_factory import GetMessageClass
-
-        if message not in cached:
-            descriptor = _message_descriptor(message, descriptor_set)
-            cached[message] = GetMessageClass(descriptor).FromString, _row_reader(descriptor)
-        parse, read = cached[message]
-        rows = []
-        for raw in batch.to_pylist():
-            try:
-                rows.append(None if raw is None else read(parse(raw)))
-            except DecodeError:
-                rows.append(None)
-        return pa.array(rows, type=arrow_type)
-
-    return F.arrow_udf(decode, schema)(value)
-
-
-def _spark_avro_there() -> bool:
-    """Whether the session has Spark's own Avro package."""
-    from pyspark.sql import SparkSession
+    """Message bytes as a struct by Spark's protobuf package; NULL for malformed bytes."""
+    _built_in("spark-protobuf", "org/apache/spark/sql/protobuf/ProtobufDataToCatalyst.class")
+    from pyspark.sql.protobuf.functions import from_protobuf
 
-    loader = SparkSession.active()._jvm.java.lang.Thread.currentThread().getContextClassLoader()
-    name = "org/apache/spark/sql/avro/AvroDataToCatalyst.class"
-    return loader.getResource(name) is not None
-
-
-def from_avro(value: Column, fmt: AvroFormat, native: bool | None = None) -> Column:
-    """Message bytes as a struct: with Spark's Avro package where there is one (``native``),
-    else decoded in Arrow batches; NULL for malformed bytes."""
-    if _spark_avro_there() if native is None else native:
-        from pyspark.sql.avro.functions import from_avro as spark_from_avro
-
-        return spark_from_avro(value, fmt.schema_json, {"mode": "PERMISSIVE"})
-    schema_json = fmt.schema_json
-    spark_type, _ = avro_reader(schema_json)
-    arrow_type, readers = to_arrow_type(spark_type), {}
-
-    def decode(batch: pa.Array) -> pa.Array:
-        if schema_json not in readers:
-            readers[schema_json] = avro_reader(schema_json)[1]
-        read, rows = readers[schema_json], []
-        for raw in batch.to_pylist():
-            try:
-                rows.append(None if raw is None else read(raw, 0)[0])
-            except (ValueError, IndexError, struct.error):
-                rows.append(None)
-        return pa.array(rows, type=arrow_type)
-
-    return F.arrow_udf(decode, spark_type)(value)
+    options = {"mode": "PERMISSIVE", "emit.default.values": "true"}
+    return from_protobuf(value, fmt.message, options=options, binaryDescriptorSet=fmt.descriptor_set)
+
+
+def from_avro(value: Column, fmt: AvroFormat) -> Column:
+    """Message bytes as a struct by Spark's Avro package; NULL for malformed bytes."""
+    _built_in("spark-avro", "org/apache/spark/sql/avro/AvroDataToCatalyst.class")
+    from pyspark.sql.avro.functions import from_avro as spark_from_avro
+
+    return spark_from_avro(value, fmt.schema_json, {"mode": "PERMISSIVE"})
 
 
 def decode_value(value: Column, fmt) -> Column:

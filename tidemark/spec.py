@@ -35,7 +35,8 @@ VALUE_TYPES: dict[str, T.DataType] = {
 EVENT_TS = "event_timestamp"
 CREATED_TS = "created_timestamp"
 
-# Label under which a table declares how long its online rows must at least live.
+# The labels by which a table declares how long its online rows must at least live,
+# the seconds between micro-batches, and its row rules.
 GC_THRESHOLD_LABEL = "gcThresholdSec"
 STREAM_TRIGGER_LABEL = "_streaming_trigger_secs"
 EXPECTATIONS_LABEL = "_expectations"
@@ -120,6 +121,7 @@ class FeatureTable:
     stream_source: Source | None = None
     tiebreak: str | None = None
     validator: Callable | None = None
+    suite: tuple[Any, ...] = ()
 
     def __post_init__(self):
         object.__setattr__(self, "entities", tuple(self.entities))
@@ -150,14 +152,17 @@ class FeatureTable:
 
 
 def apply_validation(
-    table: FeatureTable, validator: Callable, validation_window_secs: int
+    table: FeatureTable, validator: Callable | Sequence[Any], validation_window_secs: int
 ) -> FeatureTable:
-    """The table with a function that checks its stream in windows of the given length.
+    """The table with a check of its stream in windows of the given length.
 
-    ``validator`` takes a pandas DataFrame of rows and returns one boolean per row.
+    ``validator`` is the rules of a suite, or a function that takes a pandas DataFrame of rows
+    and returns one boolean per row.
     """
     labels = {**table.labels, STREAM_TRIGGER_LABEL: str(validation_window_secs)}
-    return replace(table, validator=validator, labels=labels)
+    if callable(validator):
+        return replace(table, validator=validator, labels=labels)
+    return replace(table, suite=tuple(validator), labels=labels)
 
 
 def field_from_dict(dct: Mapping[str, str]) -> Field:
@@ -172,6 +177,7 @@ def feature_table_from_dict(dct: Mapping[str, Any]) -> FeatureTable:
         max_age=dct.get("max_age"),
         project=dct.get("project") or "default",
         labels=dct.get("labels") or {},
+        tiebreak=dct.get("tiebreak"),
     )
 
 

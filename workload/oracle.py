@@ -297,18 +297,6 @@ ORACLE["decode_json"] = (
 ORACLE["decode_malformed"] = """
 SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN
   CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM events"""
-ORACLE["decode_protobuf"] = """
-SELECT event_id, CASE WHEN ok THEN user_id END AS user_id,
-  CASE WHEN ok THEN event_type END AS event_type, CASE WHEN ok THEN value END AS value,
-  CASE WHEN ok THEN event_type END AS kind, CASE WHEN ok THEN value END AS amount,
-  CASE WHEN ok THEN epoch_us(ts) // 1000000 END AS ts_seconds
-FROM (SELECT *, event_id % 13 <> 0 AS ok FROM events)"""
-ORACLE["decode_avro"] = """
-SELECT event_id, CASE WHEN ok THEN user_id END AS user_id,
-  CASE WHEN ok THEN event_type END AS event_type, CASE WHEN ok THEN value END AS value,
-  CASE WHEN ok THEN event_type END AS kind, CASE WHEN ok THEN -event_id END AS minus_id,
-  CASE WHEN ok THEN ts END AS ts
-FROM (SELECT *, event_id % 13 <> 0 AS ok FROM events)"""
 ORACLE["nested_mapping"] = (
     "SELECT user_id, value AS amount, event_type AS kind, event_id AS id, ts FROM events"
 )
@@ -321,3 +309,39 @@ ORACLE["stream_kept"] = f"""
 SELECT user_id, event_id, 'stored' AS place FROM ({_STORED.format('')}) UNION ALL
 SELECT user_id, event_id, 'rejected' FROM ({FLAWED})
 WHERE user_id IS NULL OR ts IS NULL OR value IS NULL OR value > 50"""
+
+for _name in ("asof_partitioned", "training_set_output", "dict_retrieval", "table_source", "staged_rows"):
+    ORACLE[_name] = ORACLE["asof_single"]
+ORACLE["asof_hot_measured"] = ORACLE["asof_hot_key"]
+ORACLE["schema_registry"] = ORACLE["packed_rows"]
+ORACLE["schema_report"] = """
+SELECT * FROM (VALUES ('props', 'bigint', 'string', 'type'), ('absent', 'string', NULL, 'missing'))
+AS t(field, declared, found, problem) WHERE EXISTS (SELECT 1 FROM events)"""
+ORACLE["gc_threshold"] = """
+SELECT user_id, event_type, max(ts) + INTERVAL 5 DAY AS expiry FROM events GROUP BY user_id, event_type"""
+ORACLE["table_health"] = """
+WITH t(feature_table, max_age) AS (VALUES ('click', 3600), ('view', 86400), ('signup', 60), ('refund', 60)),
+e AS (SELECT event_type, max(ts) AS last_event FROM events GROUP BY event_type)
+SELECT feature_table, CASE WHEN last_event < TIMESTAMP '2024-01-31' - max_age * INTERVAL 1 SECOND
+  THEN 'failed' ELSE 'passed' END AS state FROM t LEFT JOIN e ON event_type = feature_table"""
+ORACLE["entity_repartition"] = """
+SELECT count(DISTINCT user_id) AS keys, TRUE AS few_files FROM events WHERE event_type = 'click'"""
+ORACLE["stream_progress"] = """
+SELECT count(DISTINCT (user_id, event_type)) AS keys, count(*) AS rows, TRUE AS has_batches FROM events"""
+_SUITE_OK = "AND value >= 1 AND value <= 100 AND event_type IN ('click', 'view', 'purchase')"
+ORACLE["stream_suite"] = f"""
+SELECT user_id, value, event_id, event_type, ts AS event_timestamp, CAST(NULL AS TIMESTAMP) AS expiry
+FROM ({_STORED.format(_SUITE_OK)})"""
+ORACLE["stream_report"] = f"""
+WITH f AS (SELECT *, CASE WHEN t < '2024-01-10' THEN 1 WHEN t < '2024-01-20' THEN 0 ELSE 2 END AS part,
+    user_id IS NOT NULL AND ts IS NOT NULL {_SUITE_OK} AS good
+  FROM ({FLAWED}) JOIN (SELECT event_id, ts AS t FROM events) USING (event_id)),
+g AS (SELECT part, count(*) AS read, count(*) FILTER (coalesce(good, FALSE)) AS ingested,
+    count(*) FILTER (NOT coalesce(good, FALSE)) AS rejected,
+    count(*) FILTER (NOT (value >= 1 AND value <= 100)) AS between_,
+    count(*) FILTER (event_type NOT IN ('click', 'view', 'purchase')) AS in_set,
+    count(*) FILTER (value IS NULL) AS nulls, max(t) + INTERVAL 1 MINUTE AS latest_message FROM f GROUP BY part)
+SELECT part, unnest(['read', 'ingested', 'rejected', 'lagging',
+  'expect_column_values_to_be_between_value_1_100', 'expect_column_values_to_be_in_set_event_type',
+  'expect_column_values_to_not_be_null_value', 'expect_column_values_to_not_be_null_absent']) AS figure,
+  unnest([read, ingested, rejected, ingested, between_, in_set, nulls, 0]) AS n, latest_message FROM g"""

@@ -13,32 +13,32 @@ from pyspark.sql import functions as F
 from tidemark.functions import checks
 from tidemark.functions.scalars import entity_key, key_text
 from tidemark.operators import online
-from tidemark.operators.asof import nearest_feature_rows, prune_to_spine, spine_bounds
-from tidemark.operators.mapping import map_fields
-from tidemark.operators.metrics import LAG_PERCENTILES, freshness, lag_stats, row_counts
+from tidemark.operators.asof import SkewPolicy, nearest_feature_rows, prune_to_spine, spine_bounds
+from tidemark.operators.mapping import map_fields, schema_differences
+from tidemark.operators.metrics import LAG_PERCENTILES, freshness, health, lag_stats, row_counts
 from tidemark.operators.unions import union_rows
 from tidemark.operators.validate import check_counts, check_observed, split_valid
 from tidemark.plans.ingestion import ingest_batch, project_input
-from tidemark.plans.retrieval import get_historical_features
+from tidemark.plans.retrieval import get_historical_features, retrieve_historical_features
 from tidemark.sinks.online import OnlineStore
+from tidemark.sinks.registry import read_schemas, register_schema
 from tidemark.sinks.training import export_epoch
 from tidemark.sources.batch import scan_range
-from tidemark.sources.decode import AvroFormat, JsonFormat, ProtoFormat, decode_messages
-from tidemark.sources.staging import scratch_path, stage_rows_by_day
+from tidemark.sources.decode import JsonFormat, decode_messages
+from tidemark.sources.staging import scratch_path, stage_rows, stage_rows_by_day
+from tidemark.sources.stream import MESSAGE_TIME
 from tidemark.spec import (
+    GC_THRESHOLD_LABEL,
     FeatureTable,
     Field,
     FileSource,
     FileStreamSource,
     FrameSource,
+    TableSource,
+    apply_validation,
 )
 from tidemark.streaming.ingest import ingest_stream
-from workload.messages import (
-    AVRO_SCHEMA,
-    encode_avro_events,
-    encode_events,
-    event_message_format,
-)
+from tidemark.streaming.progress import recent_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -681,43 +681,6 @@ def decode_malformed(spark, sf_dir):
     return decode_messages(raw, JsonFormat("k int"), "body", keep=["event_id"])
 
 
-@query
-def decode_protobuf(spark, sf_dir):
-    """Events as protobuf messages, every 13th one cut short, decoded again."""
-    raw = encode_events(events(spark, sf_dir)).withColumn(
-        "body", F.expr("CASE WHEN event_id % 13 = 0 THEN unhex('0A') ELSE body END")
-    )
-    fmt = ProtoFormat(*event_message_format())
-    decoded = decode_messages(raw, fmt, "body", keep=["event_id"])
-    return decoded.select(
-        "event_id",
-        "user_id",
-        "event_type",
-        "value",
-        F.col("tags")["kind"].alias("kind"),
-        F.col("inner.amounts").getItem(0).alias("amount"),
-        F.unix_seconds("ts").alias("ts_seconds"),
-    )
-
-
-@query
-def decode_avro(spark, sf_dir):
-    """Events as Avro messages, every 13th one cut short, decoded again."""
-    raw = encode_avro_events(events(spark, sf_dir)).withColumn(
-        "body", F.expr("CASE WHEN event_id % 13 = 0 THEN substring(body, 1, 9) ELSE body END")
-    )
-    decoded = decode_messages(raw, AvroFormat(AVRO_SCHEMA), "body", keep=["event_id"])
-    return decoded.select(
-        "event_id",
-        "user_id",
-        "event_type",
-        "value",
-        F.col("tags")["kind"].alias("kind"),
-        F.col("ids").getItem(1).alias("minus_id"),
-        "ts",
-    )
-
-
 @query
 def nested_mapping(spark, sf_dir):
     """Map and nested fields of a message taken by path."""
@@ -799,3 +762,195 @@ def stream_kept(spark, sf_dir):
     stored = store.read(table).select("user_id", "event_id", F.lit("stored").alias("place"))
     rejected = dead.select("user_id", "event_id", F.lit("rejected").alias("place"))
     return union_rows([stored, rejected])
+
+
+@query
+def stream_suite(spark, sf_dir):
+    """A suite on a stream: rows that break a rule are dropped; per-rule counts per batch."""
+    parts = [flawed(events(spark, sf_dir))]
+    table = replace(FLAWED_TABLE, features=(*VALUE, Field("event_id", "int64"), Field("event_type", "string")))
+    return _state(*_stream(spark, parts, apply_validation(table, SUITE, 60), drop_invalid=True))
+
+
+def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per figure of the reports of a stream over the three parts of the month."""
+    table = replace(FLAWED_TABLE, suite=tuple(SUITE), features=(*VALUE, Field("event_type", "string")))
+    month = events(spark, sf_dir).withColumn(MESSAGE_TIME, F.expr("ts + INTERVAL 1 MINUTE"))
+    parts = [flawed(part).join(part.select("event_id", MESSAGE_TIME), "event_id") for part in three_batches(month)]
+    reports: list = []
+    _stream(spark, parts, table, on_batch=reports.append, drop_invalid=True)
+    rows = []
+    for part, r in enumerate(reports):
+        figures = {"read": r.read, "ingested": r.ingested, "rejected": r.rejected, "lagging": r.lag["lag_count"]}
+        rows += [(part, name, n, r.latest_message) for name, n in (figures | dict(r.violations)).items()]
+    return spark.createDataFrame(rows, "part int, figure string, n bigint, latest_message timestamp_ntz")
+
+
+@query
+def stream_report(spark, sf_dir):
+    """Counts, violations by rule and the newest message time of every micro-batch."""
+    return _reports(spark, sf_dir)
+
+
+@query
+def stream_progress(spark, sf_dir):
+    """Batches and rows of a stream by Spark's own progress figures, started by a trigger's clock."""
+    path = scratch_path(spark, "stream")
+    ev = events(spark, sf_dir)
+    ev.write.parquet(path)
+    table = replace(KIND_TABLE, stream_source=FileStreamSource("ts", path=path, schema=ev.schema))
+    store = OnlineStore(spark, scratch_path(spark, "online"))
+    running = ingest_stream(spark, table, store, checkpoint=scratch_path(spark, "checkpoint"), trigger_seconds=0)
+    try:
+        running.processAllAvailable()
+        n_rows = sum(p.numInputRows for p in running.recentProgress)
+        batches = recent_progress(spark, running).filter("batch_duration_ms >= 0")
+        named = batches.agg((F.count("*") > 0).alias("has_batches")).collect()[0][0]
+    finally:
+        running.stop()
+    state = store.read(table)
+    return state.agg(F.count("*").alias("keys")).select("keys", F.lit(n_rows).cast("bigint").alias("rows"), F.lit(named).alias("has_batches"))
+
+
+# Declared in other ways
+
+
+@query
+def asof_partitioned(spark, sf_dir):
+    """Date partitions as text, some of which name no day: the same rows as without."""
+    ev = events(spark, sf_dir)
+    part = F.expr(
+        "CASE event_id % 3 WHEN 0 THEN date_format(ts, 'yyyy-MM-dd') WHEN 1 THEN date_format(ts, 'yyyy-MM') END"
+    )
+    table = features_of(ev.withColumn("part", part), "click", "clicks", DAY)
+    source = replace(table.batch_source, date_partition_column="part")
+    tables = [replace(table, batch_source=source)]
+    return get_historical_features(
+        spark, ["clicks:value"], spine_of(purchases(ev)), tables, policy=SkewPolicy(least_row_bytes=0)
+    )
+
+
+@query
+def asof_hot_measured(spark, sf_dir):
+    """The hot key found by measuring, with a policy under which it counts as one."""
+    spine, table = odd_even(events(spark, sf_dir), None)
+    hot = F.expr("CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END")
+    features = table.batch_source.df.withColumn("user_id", hot)
+    table = replace(table, entities=USER, batch_source=FrameSource("ts", "created_ts", df=features))
+    policy = SkewPolicy(hot_rows=500, least_row_bytes=0, sketch_share=1)
+    spine = spine_of(spine.withColumn("user_id", hot))
+    return get_historical_features(spark, ["even:value"], spine, [table], policy=policy)
+
+
+@query
+def training_set_output(spark, sf_dir):
+    """Written as Parquet over what was there before, and read back."""
+    ev = events(spark, sf_dir)
+    path = scratch_path(spark, "training")
+    ev.write.parquet(path)
+    tables = [features_of(ev, "click", "clicks", DAY)]
+    spine = spine_of(purchases(ev))
+    get_historical_features(spark, ["clicks:value"], spine, tables, output=("parquet", path))
+    return spark.read.parquet(path)
+
+
+@query
+def dict_retrieval(spark, sf_dir):
+    """Sources and table declared as dictionaries, the features as CSV."""
+    ev = events(spark, sf_dir)
+    path = scratch_path(spark, "declared")
+    clicks = feature_source(ev.filter("event_type = 'click'")).df
+    clicks.select("event_id", "user_id", "ts", "created_ts", "value").write.option("header", "true").csv(f"{path}/clicks")
+    purchases(ev).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{path}/spine")
+    common = {"event_timestamp_column": "ts"}
+    spine = {"file": {"path": f"{path}/spine", "format": {"json_class": "ParquetFormat"}, **common}}
+    options = {"header": "true", "inferSchema": "true"}
+    features = {
+        "file": {
+            "path": f"{path}/clicks",
+            "format": {"json_class": "CSVFormat"},
+            "options": options,
+            "created_timestamp_column": "created_ts",
+            "field_mapping": {"user_id": "cast(user_id as bigint)"},
+            **common,
+        }
+    }
+    table = {
+        "name": "clicks",
+        "entities": [{"name": "user_id", "type": "int64"}],
+        "features": [{"name": "value", "type": "double"}],
+        "max_age": DAY,
+        "tiebreak": "event_id",
+    }
+    found = retrieve_historical_features(spark, spine, [features], [table])
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query
+def table_source(spark, sf_dir):
+    """Features out of a catalogue view."""
+    ev = events(spark, sf_dir)
+    feature_source(ev.filter("event_type = 'click'")).df.createOrReplaceTempView("tidemark_clicks")
+    table = features_of(ev, "click", "clicks", DAY)
+    tables = [replace(table, batch_source=TableSource("ts", "created_ts", table="tidemark_clicks"))]
+    return get_historical_features(spark, ["clicks:value"], spine_of(purchases(ev)), tables)
+
+
+@query
+def staged_rows(spark, sf_dir):
+    """The spine staged as Parquet first."""
+    ev = events(spark, sf_dir)
+    spine = stage_rows(spark, purchases(ev), "ts", scratch_path(spark, "staging"))
+    return get_historical_features(spark, ["clicks:value"], spine, [features_of(ev, "click", "clicks", DAY)])
+
+
+@query
+def schema_registry(spark, sf_dir):
+    """Packed rows beside the schema that their reference names, read back through it."""
+    ev = events(spark, sf_dir)
+    path = scratch_path(spark, "schemas")
+    columns = ["event_type", "value", "ts"]
+    schema = ev.select(*columns).schema
+    for _ in range(2):
+        register_schema(spark, path, schema)
+    packed = ev.select("event_id", online.pack_row(ev, columns).alias("packed"))
+    known = read_schemas(spark, path)
+    named = packed.join(F.broadcast(known), F.substring("packed", 1, 4) == F.col("schema_ref"))
+    return named.select("event_id", online.unpack_row(F.col("packed"), schema).alias("r")).select("event_id", "r.*")
+
+
+@query
+def schema_report(spark, sf_dir):
+    """Declared fields that the table lacks or has with another type."""
+    wanted = [Field("value", "double"), Field("props", "int64"), Field("absent", "string")]
+    return schema_differences(events(spark, sf_dir), FeatureTable("t", USER, wanted))
+
+
+@query
+def gc_threshold(spark, sf_dir):
+    """The label lengthens the age limit of stored rows."""
+    table = replace(KIND_TABLE, labels={GC_THRESHOLD_LABEL: str(5 * DAY)})
+    log = online.log_rows(events(spark, sf_dir), table, "ts", 0)
+    return log.select("user_id", "event_type", F.col("_expiry").alias("expiry"))
+
+
+@query
+def table_health(spark, sf_dir):
+    """Tables that pass and that fail their age limit at the end of the month."""
+    tables = [FeatureTable(n, USER, VALUE, a) for n, a in (("click", 3600), ("view", DAY), ("signup", 60), ("refund", 60))]
+    found = health(events(spark, sf_dir), "event_type", "ts", tables, F.expr("timestamp_ntz'2024-01-31 00:00:00'"))
+    rows = [(name, state) for state, names in found.items() for name in names]
+    return spark.createDataFrame(rows, "feature_table string, state string")
+
+
+@query
+def entity_repartition(spark, sf_dir):
+    """A batch shuffled by key into a given number of parts; rows and files of the log."""
+    ev = events(spark, sf_dir)
+    store = OnlineStore(spark, scratch_path(spark, "parts"))
+    table = replace(features_of(ev, "click", "clicks", DAY), tiebreak=None)
+    ingest_batch(spark, table, store, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), partitions=3)
+    files = spark.read.option("recursiveFileLookup", "true").parquet(f"{store.root}/default__user_id/log")
+    return files.select(F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("keys"), (F.count_distinct("file") <= 3).alias("few_files")
+    )
