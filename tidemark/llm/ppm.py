@@ -37,8 +37,8 @@ from tidemark.llm.common import saved
 ORDER = 5
 MARK = b"\n"
 # Bytes of text that a task works on at once; a longer text is worked on by itself.
-BUFFER = 1 << 20
-COUNTED_GRAMS, COUNTED_WORDS = 1 << 21, 1 << 18
+BUFFER = 1 << 19
+COUNTED_GRAMS, COUNTED_WORDS = 1 << 20, 1 << 18
 # Fixed value: an odd multiplier that spreads keys over a table (2^64 over the golden ratio).
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -319,6 +319,9 @@ def lm_scores(docs: DataFrame, max_nodes: int = 1 << 20, max_words: int = 1 << 1
         ),
         "scored",
     )
+    # Scores are written: nothing that follows needs the model.
+    model.unpersist()
+    known.unpersist()
     rest = (
         scored.select("row", F.explode("rare").alias("word"))
         .join(words, "word")
