@@ -95,11 +95,26 @@ def _picked(policy: SkewPolicy) -> Column:
     return F.lit(True) if policy.sketch_share >= 1 else F.rand(0) < policy.sketch_share
 
 
-def _heavy_hitters(usable: str, hashed: str, policy: SkewPolicy) -> Column:
-    sketch = f"approx_top_k({hashed}, {policy.max_hot_keys}, {policy.tracked_keys})"
+# Tasks' sketches meet in so many groups first, so that no single task gets one from each of them.
+_SKETCH_GROUPS = 256
+
+
+def _sketch_group() -> Column:
+    return F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("part")
+
+
+def _sketched(usable: str, hashed: str, policy: SkewPolicy) -> Column:
+    """Heavy hitters of one group of tasks."""
+    sketch = f"approx_top_k_accumulate({hashed}, {policy.tracked_keys})"
     return F.expr(f"{sketch} FILTER (WHERE picked AND {usable})")
 
 
+def _heavy_hitters(sketch: str, policy: SkewPolicy) -> Column:
+    """Those of all groups."""
+    combined = f"approx_top_k_combine({sketch}, {policy.tracked_keys})"
+    return F.expr(f"approx_top_k_estimate({combined}, {policy.max_hot_keys})")
+
+
 def _constants(values: Sequence[int]) -> str:
     """Many constants as SQL text, which costs one call instead of one per value."""
     return ", ".join(f"{v}L" if v > -(1 << 63) else f"(-{(1 << 63) - 1}L - 1L)" for v in values)
@@ -140,8 +155,9 @@ def spine_stats(
 ) -> SpineStats:
     """Row count, time bounds and per key set: rows without a key, key bytes and hot keys."""
     us = epoch_micros(quoted(spine_ts), _type_of(spine, spine_ts))
-    narrow = [us.alias("us"), _picked(policy).alias("picked")]
+    narrow = [us.alias("us"), _picked(policy).alias("picked"), _sketch_group()]
     aggs = [F.count(F.lit(1)).alias("rows"), F.min("us").alias("lo"), F.max("us").alias("hi")]
+    totals = [F.sum("rows").alias("rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi")]
     for i, keys in enumerate(key_sets):
         sizes = [_stored_bytes(quoted(k), _type_of(spine, k), policy) for k in keys]
         size = sum(sizes, F.lit(16.0))
@@ -153,9 +169,19 @@ def spine_stats(
         aggs += [
             F.count_if(~F.col(f"ok{i}")).alias(f"bad{i}"),
             F.sum(f"b{i}").alias(f"bytes{i}"),
-            _heavy_hitters(f"ok{i}", f"h{i}", policy).alias(f"top{i}"),
+            _sketched(f"ok{i}", f"h{i}", policy).alias(f"top{i}"),
+        ]
+        totals += [
+            F.sum(f"bad{i}").alias(f"bad{i}"),
+            F.sum(f"bytes{i}").alias(f"bytes{i}"),
+            _heavy_hitters(f"top{i}", policy).alias(f"top{i}"),
         ]
-    row = spine.select(*narrow).agg(*aggs).first()
+    # Grouped by a constant: sketches of no rows at all cannot be combined.
+    parts = spine.select(*narrow).groupBy("part").agg(*aggs)
+    row = parts.groupBy(F.lit(0).alias("all")).agg(*totals).first()
+    if row is None:
+        none = {k: 0 for k in key_sets}
+        return SpineStats(0, None, None, none, none, {k: {} for k in key_sets})
     return SpineStats(
         rows=row["rows"],
         min_micros=row["lo"],
@@ -172,14 +198,19 @@ def _feature_stats(
     """Per table, in one job: row count and hot keys."""
     parts = [
         df.select(
-            F.lit(i).alias("i"), _key_hash(_key_set(t)).alias("h"), _picked(policy).alias("picked")
+            F.lit(i).alias("i"),
+            _key_hash(_key_set(t)).alias("h"),
+            _picked(policy).alias("picked"),
+            _sketch_group(),
         )
         for i, (df, t) in enumerate(zip(frames, tables))
     ]
     rows = (
         union_rows(parts)
+        .groupBy("i", "part")
+        .agg(F.count(F.lit(1)).alias("rows"), _sketched("true", "h", policy).alias("top"))
         .groupBy("i")
-        .agg(F.count(F.lit(1)).alias("rows"), _heavy_hitters("true", "h", policy).alias("top"))
+        .agg(F.sum("rows").alias("rows"), _heavy_hitters("top", policy).alias("top"))
         .collect()
     )
     found = {r["i"]: (r["rows"], _as_hot(r["top"], policy)) for r in rows}
