@@ -33,7 +33,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mixture, in its order: no source has more than a quarter of the text."""
+    """All documents, in the order of the mixture: any stretch of it has each source's share of the text."""
     return mixture(docs)
 
 

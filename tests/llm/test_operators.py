@@ -345,6 +345,25 @@ def test_mixing(docs, none):
     assert mixing.mixing(none).count() == 0 and mixing.mixture(none).count() == 0
 
 
+def test_mixing_leaves_out_no_document(spark):
+    """Skewed sources: every document has a slot, with and without weights, and weights hold while they can."""
+    many = {"big": 900, "mid": 50, "small": 50}
+    rows = [(i, "x" * 9, s) for i, s in enumerate(s for s, n in many.items() for _ in range(n))]
+    df = saved(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "skewed")
+    for options in ({}, {"max_share": 0.4}, {"weights": {"big": 1.0, "mid": 1.0, "small": 2.0}}):
+        got = mixing.mixing(df, slots=100, **options).collect()
+        assert len(got) == 1000 and all(r["in_mixture"] and r["slot"] is not None for r in got)
+        assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+        assert {r["slot"] for r in got} == set(range(100))
+        assert mixing.mixture(df, slots=100, **options).count() == 1000
+    # 5 blocks of the small source at 2 of 4 end after 10 slots, then 1:1 until mid has no more.
+    of = {r["slot"]: r["source"] for r in got}
+    assert Counter(of[i] for i in range(10)).keys() == {"big", "mid", "small"}
+    assert sum(of[i] == "small" for i in range(10)) == 5
+    assert sum(of[i] == "mid" for i in range(15)) == 5
+    assert {of[i] for i in range(15, 100)} == {"big"}
+
+
 def test_packing(docs, none):
     got = packing.packed(docs, path(), buckets=3, max_length=50, budget=200).collect()
     whole = Counter()

@@ -1,29 +1,35 @@
 """Sources interleaved to target weights by Pfair scheduling.
 
-The mixture is cut into equal slots. A source with n of T slots has its k-th block released at
-floor((k-1) T / n) and due at ceil(k T / n); the earliest deadline among the released blocks goes
-next. Such windows can always be met on one line of slots if the weights add up to one, so that
-after any number of slots no source is a whole block ahead of or behind its weight.
+The mixture is cut into equal slots. In an ideal mixture every source gives text at the rate of its
+weight from the start until it has no more; the others then share what it leaves by their weights.
+A source's k-th block is released in the slot where the ideal mixture comes to its first character
+and due after the slot where it comes to its last; the earliest deadline among the released blocks
+goes next. Such windows can always be met on one line of slots, as the ideal rates add up to one, so
+that after any number of slots no source is a whole block ahead of or behind them. While all
+sources last that is the weight itself; then follows a tail of what is beyond the weights. No
+document is repeated or left out.
 
 The line has about ``slots`` slots at any size of input (their length grows instead), so that
 the schedule is a table of fixed size that the driver can make. The documents are never there: a
 document's block follows from the text before it in its source, by sums over slices of a source.
 
-Without given weights, each source weighs what it has, but none more than ``max_share``. The
-mixture is the largest that has these weights without repeating a document; what a source has
-beyond that is no part of it (``in_mixture`` false).
+Without given weights, each source weighs what it has, so that all last to the end. ``max_share``
+below one holds larger sources down to it for as long as the others last. Only sources that are
+missing in given weights, or weigh nothing there, are no part of the mixture (``in_mixture`` false).
 
 Defined results: a null source is a source of its own. Null and empty texts have size 1, as each
 text's size is its code points and one. The order within a source is that of a hash, doc_id and
-position. Rows that repeat have places of their own. A source that holds more than ``max_share``
-by itself, with too few others to fill the rest, keeps what it has. An empty table gives an
-empty result. Other columns are never read.
+position. Rows that repeat have places of their own. An empty table gives an empty result. Other
+columns are never read.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_left
+from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,12 +37,32 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import AT, FILE, identified, running_totals, saved
 
 
-def schedule(blocks: list[int]) -> list[list[tuple[int, int, int]]]:
-    """Numbers of blocks by source to (slot, release, deadline) of each block."""
+def schedule(blocks: list[int], weights: Sequence[float] | None = None) -> list[list[tuple[int, int, int]]]:
+    """Numbers of blocks by source to (slot, release, deadline) of each block.
+
+    ``weights`` need not add up to one; without them, each source weighs its number of blocks.
+    """
     total = sum(blocks)
-    jobs = sorted(
-        ((k * total) // n, -(-(k + 1) * total // n), s, k) for s, n in enumerate(blocks) for k in range(n)
-    )
+    exact = [Fraction(w) for w in weights or blocks]
+    scale = math.lcm(*(w.denominator for w in exact))
+    rates = [int(w * scale) for w in exact]
+    # Sources end at n / rate. Between two ends, the ideal mixture has got to ended + time * active.
+    times: list[Fraction] = []
+    ended, active = [0], [sum(r for n, r in zip(blocks, rates) if n)]
+    for time, n, rate in sorted((Fraction(n, r), n, r) for n, r in zip(blocks, rates) if n):
+        if not times or time > times[-1]:
+            times.append(time)
+            ended.append(ended[-1])
+            active.append(active[-1])
+        ended[-1] += n
+        active[-1] -= rate
+
+    def reached(s: int, k: int) -> tuple[int, int]:
+        """Where the ideal mixture has given k blocks of the source, rounded down and up."""
+        i = bisect_left(times, Fraction(k, rates[s]))
+        return ended[i] + active[i] * k // rates[s], ended[i] - (-active[i] * k // rates[s])
+
+    jobs = sorted((reached(s, k)[0], reached(s, k + 1)[1], s, k) for s, n in enumerate(blocks) for k in range(n))
     placed = [[(0, 0, 0)] * n for n in blocks]
     ready: list[tuple[int, int, int, int]] = []
     at = 0
@@ -67,7 +93,7 @@ def capped_shares(sizes: list[int], max_share: float) -> list[float]:
 def placed(
     rows: DataFrame,
     weights: dict[str | None, float] | None = None,
-    max_share: float = 0.25,
+    max_share: float = 1.0,
     slots: int = 10_000,
     max_sources: int = 100_000,
 ) -> DataFrame:
@@ -91,22 +117,18 @@ def placed(
     totals = [(s, n) for s, n in totals if weights is None or weights.get(s, 0) > 0]
     plan = []
     if totals:
-        if weights is None:
-            shares = capped_shares([n for _, n in totals], max_share)
-        else:
-            shares = [weights[s] / sum(weights[x] for x, _ in totals) for s, _ in totals]
-        volume = min(n / w for (_, n), w in zip(totals, shares))
-        block = max(1, math.ceil(volume / slots))
-        wanted = [min(n, math.ceil(w * volume - 1e-6)) for (_, n), w in zip(totals, shares)]
-        table = schedule([-(-x // block) for x in wanted])
-        plan = [
-            (i, s, k, *window, x, block)
-            for i, ((s, _), x) in enumerate(zip(totals, wanted))
-            for k, window in enumerate(table[i])
-        ]
+        block = max(1, math.ceil(sum(n for _, n in totals) / slots))
+        blocks = [-(-n // block) for _, n in totals]
+        shares: Sequence[float] = blocks
+        if weights is not None:
+            shares = [weights[s] for s, _ in totals]
+        elif max_share < 1:
+            shares = capped_shares(blocks, max_share)
+        table = schedule(blocks, shares)
+        plan = [(s, k, *window, block) for i, (s, _) in enumerate(totals) for k, window in enumerate(table[i])]
     steps = spark.createDataFrame(
         plan,
-        "id int, plan_source string, plan_block bigint, slot bigint, release bigint, deadline bigint, wanted bigint, size_of_block bigint",
+        "plan_source string, plan_block bigint, slot bigint, release bigint, deadline bigint, size_of_block bigint",
     )
     block_size = plan[0][-1] if plan else 1
     ranked = running_totals(sizes, ["source"], ["doc_id", AT, FILE], F.col("size"), "start").withColumn(
@@ -123,7 +145,7 @@ def placed(
         "slot",
         "release",
         "deadline",
-        F.coalesce(F.col("start") < F.col("wanted"), F.lit(False)).alias("in_mixture"),
+        F.col("slot").isNotNull().alias("in_mixture"),
         "start",
         "size",
     )
@@ -132,7 +154,7 @@ def placed(
 def mixing(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, source, size, start, block, slot, release, deadline, in_mixture.
 
-    The order of the mixture is (slot, start); slot, release and deadline are null beyond it.
+    The order of the mixture is (slot, start); slot, release and deadline are null outside it.
     """
     return placed(identified(docs), **options).drop(FILE, AT)
 
