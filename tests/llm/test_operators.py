@@ -259,6 +259,22 @@ def test_toxicity(spark, docs, none):
     assert toxicity.toxicity(none, labels).count() == 0
 
 
+def test_toxicity_scores_do_not_follow_the_bound(spark):
+    """One label in ten is toxic and the words tell only a little: a cut of the larger class alone
+    must not raise every score."""
+    chance = np.random.default_rng(3)
+    toxic = [int(i % 10 == 0) for i in range(3000)]
+    texts = [" ".join(chance.choice(["house", "river", "garden", "vexorum"], 4, p=[0.3, 0.3, 0.3 - t / 10, 0.1 + t / 10])) for t in toxic]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id bigint, toxic int")
+    full, cut = (
+        np.array([r["score"] for r in toxicity.toxicity(df, labels, **options).orderBy("doc_id").collect()])
+        for options in ({}, {"max_rows": 250})
+    )
+    assert abs(full.mean() - 0.1) < 0.03
+    assert abs(cut.mean() - full.mean()) < 0.03 and np.abs(cut - full).mean() < 0.05
+
+
 def test_token_files(spark, docs, none, tmp_path):
     from tokenizers import Tokenizer
 

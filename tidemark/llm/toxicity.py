@@ -11,6 +11,8 @@ logistic function of both, fitted on rows that the models have not seen, is the
 Learning rows are labelled documents whose crc32(doc_id) mod 5 is not 0: all of them, or, of a
 class with more than ``max_rows``, the share with the smallest hashes. That bound bounds the
 models, which are all that reaches the driver; scoring reads every whole text without a shuffle.
+The logistic function weighs each of its rows by how many labels of its class it stands for, so
+that the bound leaves the share of toxic rows, and with it the scores, as they are.
 
 Defined results: null and wordless texts have both figures 0. Labels without a doc_id or a value
 are ignored; of several for one doc_id, toxic wins. Labels without a document are ignored, and
@@ -121,7 +123,8 @@ def figures_of(fitted: tuple[dict[str, float], dict[str, float]]):
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """text, toxic, fold (1: for the logistic function, else for the models)."""
+    """text, toxic, fold (1: for the logistic function, else for the models) and weight (the
+    labels of the row's class and kind of fold for each one that is chosen)."""
     known = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .filter((remainder(F.col("doc_id"), 5) != 0) & F.col("toxic").isNotNull())
@@ -134,10 +137,16 @@ def learning_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFram
     for toxic in (0, 1):
         share = F.when(F.col("toxic") == toxic, min(1.0, max_rows / sizes.get(toxic, 1))).otherwise(share)
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
-    # About 2 * max_rows rows of two numbers: a proven bound.
-    chosen = F.broadcast(known.filter(place < share))
+    back = remainder(F.col("doc_id"), 5) == 1
+    weight = F.lit(1.0)
+    for r in known.groupBy("toxic", back.alias("back")).agg(F.count("*").alias("n"), F.count_if(place < share).alias("m")).collect():
+        if r["m"]:
+            mine = (F.col("toxic") == r["toxic"]) & (back == r["back"])
+            weight = F.when(mine, r["n"] / r["m"]).otherwise(weight)
+    # About 2 * max_rows rows of three numbers: a proven bound.
+    chosen = F.broadcast(known.filter(place < share).withColumn("weight", weight))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(chosen, "doc_id").select("text", "toxic", remainder(F.col("doc_id"), 5).alias("fold"))
+    return texts.join(chosen, "doc_id").select("text", "toxic", remainder(F.col("doc_id"), 5).alias("fold"), "weight")
 
 
 def class_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,14 +181,16 @@ def word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights (constant first) by Newton's method; the ridge keeps them finite where classes separate."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, times: np.ndarray | None = None) -> np.ndarray:
+    """Weights (constant first) by Newton's method; the ridge keeps them finite where classes separate.
+    A row counts as ``times`` rows, or once."""
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
+    times = np.ones(len(x)) if times is None else times
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (y - p) - ridge * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        slope = x.T @ (times * (y - p)) - ridge * w
+        curve = (x * (times * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(curve, slope)
         w += step
         if np.abs(step).max() < 1e-9:
@@ -217,15 +228,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Data
             )
 
     schema = "key bigint, mean double, most double"
+    # Rows of a class all weigh the same here, so that the class is all the key that they need.
     held_back = rows.filter("fold = 1").select(F.col("toxic").cast("bigint").alias("key"), "text")
     seen = held_back.mapInArrow(figures, schema).toArrow()  # at most 2 * max_rows rows
+    weight_of = {r["toxic"]: r["weight"] for r in rows.filter("fold = 1").groupBy("toxic").agg(F.first("weight").alias("weight")).collect()}
     x = np.column_stack([seen["mean"].to_numpy(), seen["most"].to_numpy()])
     y = seen["key"].to_numpy().astype(float)
     if 0 < y.sum() < len(y):
-        constant, mean, most = (float(v) for v in logistic(x, y))
+        times = np.array([weight_of[k] for k in seen["key"].to_pylist()])
+        constant, mean, most = (float(v) for v in logistic(x, y, times=times))
         score = 1 / (1 + F.exp(-(constant + mean * F.col("mean") + most * F.col("most"))))
     else:
-        share = rows.agg(F.avg("toxic")).first()[0]
+        share = rows.agg(F.sum(F.col("toxic") * F.col("weight")) / F.sum("weight")).first()[0]
         score = F.lit(float(share or 0.0))
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("key"), F.col("text").cast("string").alias("text"))
     return keyed.mapInArrow(figures, schema).select(
