@@ -338,6 +338,29 @@ def test_lm_scores(docs, none):
     assert ppm.lm_scores(none).count() == 0
 
 
+def test_lm_scores_do_not_follow_the_size_of_the_trie(docs):
+    """Scores of the whole model, by counts in a plain loop, whatever part of it is sent to the tasks."""
+    learned = [t for d, t, _ in TEXTS if d is None or zlib.crc32(str(d).encode()) % 7 != 2]
+    counts, totals = Counter(), Counter()
+    for text in learned:
+        data = ppm.modelled(text or "")
+        for at in range(1, len(data)):
+            for k in range(min(ppm.ORDER, at) + 1):
+                gram = int.from_bytes(b"\x01" + data[at - k : at + 1], "big")
+                counts[gram] += 1
+                totals[gram >> 8] += 1
+    keys, contexts = np.array(list(counts), np.uint64), np.array(list(totals), np.uint64)
+    whole = ppm.trie(keys, np.array([*counts.values()], float), contexts, np.array([*totals.values()], float))
+    want = []
+    for doc, text, _ in TEXTS:
+        found = ppm.grams(*ppm.side_by_side([ppm.modelled(text or "")]))[1]
+        want.append((repr(doc), whole.log_shares(found).sum()))
+    for most in (1 << 20, 300, 1):
+        got = [(repr(r["doc_id"]), r["score"]) for r in ppm.lm_scores(docs, max_nodes=most).collect()]
+        for (a, x), (b, y) in zip(sorted(got), sorted(want)):
+            assert a == b and abs(x - y) < 1e-5 * abs(y)
+
+
 def test_mixing(docs, none):
     got = mixing.mixing(docs, slots=40).collect()
     assert bag((r["doc_id"], r["source"], r["size"]) for r in got) == bag((d, s, len(t or "") + 1) for d, t, s in TEXTS)

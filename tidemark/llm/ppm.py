@@ -10,9 +10,10 @@ Texts are modelled as their words (A to Z in lower case) with single spaces, fro
 start to one at the end, so that the shares of all texts add up to one.
 
 * Counts: tasks send each different gram of their part once; lower orders are sums over endings.
-* The trie has at most ``max_nodes`` nodes: if the corpus has more, those counted less than a
-  power of two are left out (their share goes to the escape), the smallest that suffices. This
-  is the model's size, stated and the same at every input size; counting covers everything.
+* The model is a table of all grams with their shares and escapes; nothing is pruned. Its most
+  frequent rows (at most ``max_nodes``) go to every task as a trie. Grams that are not there are
+  joined with the table, one row per document and gram; those that no learning text has look up
+  all their shorter forms. ``max_nodes`` so changes no score.
 * Base score: the frequent words' counts (``max_words``) go to every task; all rarer tokens are
   joined with the table of all counts, in which no key is hot any more. Both are exact.
 
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved
@@ -229,8 +230,17 @@ def threshold(table: DataFrame, most: int) -> int:
     return 1 if left >= 0 else 1 << p
 
 
-def fitted(learning: DataFrame, max_nodes: int) -> Trie:
-    """The trie of ``text`` rows."""
+def shorter(gram: Column, by: int = 1) -> Column:
+    """A gram without its oldest bytes: the leading one moves down over them."""
+    bits = F.length(F.bin(gram)) - 1 - 8 * by
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
+    return gram.bitwiseAND(one - 1) + one
+
+
+def fitted(learning: DataFrame) -> tuple[DataFrame, float]:
+    """The model of ``text`` rows: a saved table of gram, n, share (log10 of the last byte's after
+    the bytes before) and escape (log10 of the weight of an escape from the gram as a context), and
+    the log10 share of a byte that no learning text has."""
     longest = learning.mapInArrow(count_grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     # Endings of each gram, itself included: all orders' counts.
     endings = F.filter(
@@ -244,19 +254,79 @@ def fitted(learning: DataFrame, max_nodes: int) -> Trie:
         ),
         lambda g: g.isNotNull(),
     )
-    table = saved(
-        longest.select(F.explode(endings).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n")), "grams"
+    counts = longest.select(F.explode(endings).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
+    context = F.shiftright("gram", 8)
+    # At most 256 rows of a context.
+    total = F.sum("n").over(Window.partitionBy("context"))
+    table = saved(counts.withColumn("context", context).withColumn("total", total), "grams")
+    # What a context leaves to the one a byte shorter, from whole numbers: of k bytes that follow
+    # n times in all, (2c - 1) / 2n each leave k / 2n, and the same bytes' shares there are
+    # taken out, which all have the total of the shorter context.
+    less = table.select(F.col("gram").alias("less"), F.col("n").alias("less_n"), F.col("total").alias("less_total"))
+    escapes = (
+        table.filter("context > 1")
+        .withColumn("less", shorter(F.col("gram")))
+        .join(less, "less")
+        .groupBy("context")
+        .agg(
+            F.count("*").alias("k"),
+            F.max("total").alias("all"),
+            F.sum("less_n").alias("less_n"),
+            F.max("less_total").alias("less_all"),
+        )
+        .select(
+            F.col("context").alias("gram"),
+            (
+                F.log10(F.col("k") / (2 * F.col("all")))
+                - F.log10((2 * F.col("less_all") - 2 * F.col("less_n") + F.col("k")) / (2 * F.col("less_all")))
+            ).cast("float").alias("escape"),
+        )
     )
-    least = threshold(table, max_nodes)
-    kept = table.filter(F.col("n") >= least).toArrow()  # at most max_nodes rows
-    contexts = (
-        table.groupBy(F.shiftright("gram", 8).alias("gram")).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).toArrow()
+    # Single precision, as in the trie: where a gram is looked up does not change its score.
+    model = saved(
+        table.join(escapes, "gram", "left").select(
+            "gram",
+            "n",
+            F.log10((2 * F.col("n") - 1) / (2 * F.col("total"))).cast("float").alias("share"),
+            F.coalesce("escape", F.lit(0.0).cast("float")).alias("escape"),
+        ),
+        "model",
+    )
+    kinds, size = table.filter("context = 1").agg(F.count("*"), F.max("total")).first()
+    unseen = math.log10(kinds / (2 * size) / max(1, 256 - kinds)) if kinds else -math.log10(256)
+    return model, unseen
+
+
+def unknown_scores(lost: DataFrame, model: DataFrame, unseen: float) -> DataFrame:
+    """Grams that the model does not have (``gram``, distinct) with their log10 ``score``: escapes
+    from one context to the next shorter one, up to the longest ending that the model has."""
+    forms = []
+    for k in range(ORDER + 1):
+        # Null where no byte would be left.
+        here = F.when(F.col("gram") >= F.lit(1 << 8 * (k + 1)), shorter(F.col("gram"), k) if k else F.col("gram"))
+        forms += [
+            F.struct(F.lit(k).alias("k"), F.lit(False).alias("as_context"), here.alias("form")),
+            F.struct(F.lit(k).alias("k"), F.lit(True).alias("as_context"), F.shiftright(here, 8).alias("form")),
+        ]
+    asked = lost.select("gram", F.explode(F.array(*forms)).alias("f")).select("gram", "f.*").filter("form > 1")
+    rows = model.select(F.col("gram").alias("form"), "share", "escape")
+    each = (
+        asked.join(rows, "form")
+        .groupBy("gram")
+        .agg(
+            F.min(F.when(~F.col("as_context"), F.struct("k", "share"))).alias("found"),
+            F.sort_array(F.collect_list(F.when(F.col("as_context"), F.struct("k", "escape")))).alias("escapes"),
+        )
+    )
+    return lost.join(each, "gram", "left").select(
+        "gram",
+        (
+            F.coalesce(F.col("found.share").cast("double"), F.lit(unseen))
+            + F.expr(
+                "coalesce(aggregate(filter(escapes, e -> found IS NULL OR e.k < found.k), 0D, (x, e) -> x + e.escape), 0D)"
+            )
+        ).alias("score"),
     )
-
-    def columns(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        return t["gram"].to_numpy().astype(np.int64).view(np.uint64), t["n"].to_numpy().astype(np.float64)
-
-    return trie(*columns(kept), *columns(contexts))
 
 
 def lm_scores(docs: DataFrame, max_nodes: int = 1 << 20, max_words: int = 1 << 18) -> DataFrame:
@@ -274,7 +344,12 @@ def lm_scores(docs: DataFrame, max_nodes: int = 1 << 20, max_words: int = 1 << 1
     room = math.log10(total + distinct + 1)
     common = words.filter(F.col("n") >= threshold(words, max_words)).toArrow()  # at most max_words rows
     frequent = dict(zip(common["word"].to_pylist(), np.log10(common["n"].to_numpy() + 1.0).tolist()))
-    model = spark.sparkContext.broadcast(fitted(learning, max_nodes))
+    model, unseen = fitted(learning)
+    least = threshold(model, max_nodes)
+    head = model.filter(F.col("n") >= least).toArrow()  # at most max_nodes rows
+    nodes = [head[c].to_numpy() for c in ("gram", "share", "escape")]
+    shipped = spark.sparkContext.broadcast(Trie(nodes[0].astype(np.int64).view(np.uint64), *nodes[1:], unseen))
+    del head, nodes
     known = spark.sparkContext.broadcast(frequent)
     of_end = math.log10(n_texts + 1)
 
@@ -282,58 +357,91 @@ def lm_scores(docs: DataFrame, max_nodes: int = 1 << 20, max_words: int = 1 << 1
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 33
-        of_word, scorer = known.value.get, model.value
+        of_word, nodes = known.value.get, shipped.value
         for batch in batches:
-            every = [t or "" for t in batch["text"].to_pylist()]
-            scores: list[float] = []
+            every, at_text = [t or "" for t in batch["text"].to_pylist()], 0
             for held in buffered(iter(every)):
                 data, starts = side_by_side(held)
                 at, found = grams(data, starts)
-                each = scorer.log_shares(found)
-                scores += np.bincount(np.searchsorted(starts, at, "right") - 1, each, len(starts)).tolist()
-            n_tokens, n_known, sums, rare = [], [], [], []
-            for text in every:
-                tokens = text.encode().lower().split()
-                logs = list(map(of_word, tokens))
-                missing = [w for w, x in zip(tokens, logs) if x is None]
-                n_tokens.append(len(tokens) + 1)
-                n_known.append(len(tokens) - len(missing) + (n_texts > 0))
-                sums.append(math.fsum(x for x in logs if x is not None) + of_end)
-                rare.append(missing)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "row": pa.array(range(row, row + len(every)), pa.int64()),
-                    "doc_id": batch["doc_id"],
-                    "n_tokens": pa.array(n_tokens, pa.int64()),
-                    "n_known": pa.array(n_known, pa.int64()),
-                    "logs": pa.array(sums, pa.float64()),
-                    "score": pa.array(scores, pa.float64()),
-                    "rare": pa.array(rare, pa.list_(pa.binary())),
-                }
-            )
-            row += len(every)
+                text_of = np.searchsorted(starts, at, "right") - 1
+                slot = nodes.find(found)
+                hit = slot >= 0
+                scores = np.bincount(text_of[hit], nodes.shares[slot[hit]].astype(np.float64), len(held))
+                far_text, far = text_of[~hit], found[~hit]
+                order = np.lexsort((far, far_text))
+                far_text, far = far_text[order], far[order]
+                new = np.flatnonzero(np.diff(far, prepend=0).astype(bool) | np.diff(far_text, prepend=-1).astype(bool))
+                offsets = np.searchsorted(far_text[new], np.arange(len(held) + 1))
+                n_tokens, n_known, sums, rare = [], [], [], []
+                for text in every[at_text : at_text + len(held)]:
+                    tokens = text.encode().lower().split()
+                    logs = list(map(of_word, tokens))
+                    missing = [w for w, x in zip(tokens, logs) if x is None]
+                    n_tokens.append(len(tokens) + 1)
+                    n_known.append(len(tokens) - len(missing) + (n_texts > 0))
+                    sums.append(math.fsum(x for x in logs if x is not None) + of_end)
+                    rare.append(missing)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "row": pa.array(range(row, row + len(held)), pa.int64()),
+                        "doc_id": batch["doc_id"].slice(at_text, len(held)),
+                        "n_tokens": pa.array(n_tokens, pa.int64()),
+                        "n_known": pa.array(n_known, pa.int64()),
+                        "logs": pa.array(sums, pa.float64()),
+                        "score": pa.array(scores, pa.float64()),
+                        "rare": pa.array(rare, pa.list_(pa.binary())),
+                        "far": pa.ListArray.from_arrays(
+                            pa.array(offsets, pa.int32()), pa.array(far[new].view(np.int64), pa.int64())
+                        ),
+                        "far_n": pa.ListArray.from_arrays(
+                            pa.array(offsets, pa.int32()),
+                            pa.array(np.diff(new, append=len(far)), pa.int64()),
+                        ),
+                    }
+                )
+                row += len(held)
+                at_text += len(held)
 
     scored = saved(
         texts.mapInArrow(
-            run, "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, logs double, score double, rare array<binary>"
+            run,
+            "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, logs double, score double, "
+            "rare array<binary>, far array<bigint>, far_n array<bigint>",
         ),
         "scored",
     )
-    # Scores are written: nothing that follows needs the model.
-    model.unpersist()
+    # Nothing that follows needs the trie.
+    shipped.unpersist()
     known.unpersist()
+    # Grams that are not in the trie: those of the table collapse to a row per document.
+    tail = model.filter(F.col("n") < least).select("gram", "share")
+    lost = F.when(F.col("share").isNull(), F.col("gram")).alias("lost")
+    far = saved(
+        scored.select("row", F.explode(F.arrays_zip("far", "far_n")).alias("f"))
+        .select("row", F.col("f.far").alias("gram"), F.col("f.far_n").alias("times"))
+        .join(tail, "gram", "left")
+        .groupBy("row", lost)
+        .agg(F.sum("times").alias("times"), F.sum(F.col("times") * F.col("share").cast("double")).alias("far_score")),
+        "far",
+    )
+    unknown = unknown_scores(far.filter("lost IS NOT NULL").select(F.col("lost").alias("gram")).distinct(), model, unseen)
+    far_scores = (
+        far.join(unknown, far["lost"] == unknown["gram"], "left")
+        .groupBy("row")
+        .agg(F.sum(F.coalesce(F.col("far_score"), F.col("times") * unknown["score"])).alias("far_score"))
+    )
     rest = (
         scored.select("row", F.explode("rare").alias("word"))
         .join(words, "word")
         .groupBy("row")
         .agg(F.count("*").alias("rare_known"), F.sum(F.log10(F.col("n") + 1)).alias("rare_logs"))
     )
-    return scored.drop("rare").join(rest, "row", "left").select(
+    return scored.drop("rare", "far", "far_n").join(rest, "row", "left").join(far_scores, "row", "left").select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("bigint").alias("train_tokens"),
         (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * room).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("far_score", F.lit(0.0))).alias("score"),
     )
