@@ -422,6 +422,33 @@ def test_packing(docs, none):
     assert packing.packed(none, path()).count() == 0
 
 
+def test_batches_keep_the_order_of_the_mixture(spark):
+    """A quarter of the text is of one source: so is a quarter of every batch, to one block."""
+    text = "the old house by the river"
+    rows = [(i, text, "b" if i % 4 == 0 else "a") for i in range(800)]
+    df = saved(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "quarters")
+    ordered = saved(mixing.mixture(df, slots=800), "ordered")
+    n = n_ids(text) + 1
+    got = packing.packed(ordered, path(), max_length=n, budget=40 * n).collect()
+    batches = Counter(r["batch"] for r in got)
+    assert batches == {i: 40 for i in range(20)}
+    shares = Counter(r["batch"] for r in got if r["doc_id"] % 4 == 0)
+    assert all(abs(shares[i] - 10) <= 1 for i in batches)
+
+
+def test_running_totals_by_place(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(g, f, i, i % 4) for g in ("x", None) for f in (1, 2) for i in range(50)]
+    df = saved(spark.createDataFrame(rows, "g string, f int, i bigint, n bigint"), "totals")
+    got = running_totals(df, ["g"], ["f", "i"], F.col("n"), "before", rows_per_slice=7, hashed=False).collect()
+    for group in ("x", None):
+        at = 0
+        for r in sorted((r for r in got if r["g"] == group), key=lambda r: (r["f"], r["i"])):
+            assert r["before"] == at
+            at += r["n"]
+
+
 def test_pipeline_against_loops(spark, docs, tmp_path):
     """Each stage's decision by plain loops over its own input."""
     current = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])

@@ -15,7 +15,7 @@ from tidemark.sources.staging import scratch_path
 # Fixed value: the characters that separate words, as a Java character class.
 BLANK = r"\x20\x09-\x0D"
 
-FILE, AT = "row_file", "row_at"
+FILE, AT, PATH = "row_file", "row_at", "row_path"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,9 +35,9 @@ def text_of(df: DataFrame) -> Column:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """Columns ``doc`` (all columns of ``docs``), ``row_file`` and ``row_at``.
+    """Columns ``doc`` (all columns of ``docs``), ``row_file``, ``row_at`` and ``row_path``.
 
-    The last two name a row even where doc_ids repeat or are null, and are the same whenever the
+    The file (its path is the last column) and the place in it name a row even where doc_ids repeat or are null, and are the same whenever the
     rows are read. Scanned files have such names already (file and position); anything else is
     written to the shared scratch folder first.
     """
@@ -47,6 +47,7 @@ def identified(docs: DataFrame) -> DataFrame:
             F.struct(*[quoted(c) for c in df.columns]).alias("doc"),
             F.xxhash64(df.metadataColumn("_metadata")["file_path"]).alias(FILE),
             df.metadataColumn("_metadata")["row_index"].alias(AT),
+            df.metadataColumn("_metadata")["file_path"].alias(PATH),
         )
 
     try:
@@ -66,6 +67,7 @@ def running_totals(
     amount: Column,
     alias: str,
     rows_per_slice: int = 1_000_000,
+    hashed: bool = True,
 ) -> DataFrame:
     """``rows`` with the sum of ``amount`` over the rows before it within its group, exactly.
 
@@ -73,19 +75,24 @@ def running_totals(
     ``order``: the same in every run, and as good as shuffled. Each group is cut into slices of the hash's range; sums of
     slices give where each starts, so that no task gets a whole group, however large. ``rows``
     must be cheap to read twice (a saved table).
+
+    Without ``hashed`` the order is ``order`` itself, which begins with the number of a file and a
+    place in it; slices are then stretches of ``rows_per_slice`` places of a file.
     """
 
     def before(column: str, window) -> Column:
         rows_before = window.rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(column).over(rows_before), F.lit(0))
 
-    spark = rows.sparkSession
-    bits = max(1, math.ceil(math.log2(max(partitions_of(spark), rows.count() / rows_per_slice, 2))))
-    sliced = (
-        rows.withColumn("_amount", amount)
-        .withColumn("_hash", F.xxhash64(*order[:2]))
-        .withColumn("_slice", F.shiftrightunsigned("_hash", 64 - bits))
-    )
+    sliced = rows.withColumn("_amount", amount)
+    if hashed:
+        bits = max(1, math.ceil(math.log2(max(partitions_of(rows.sparkSession), rows.count() / rows_per_slice, 2))))
+        sliced = sliced.withColumn("_hash", F.xxhash64(*order[:2])).withColumn(
+            "_slice", F.shiftrightunsigned("_hash", 64 - bits)
+        )
+        order = ["_hash", *order]
+    else:
+        sliced = sliced.withColumn("_slice", F.expr(f"shiftleft(bigint({order[0]}), 32) + {order[1]} div {rows_per_slice}"))
     keys = [*groups, "_slice"]
     starts = (
         sliced.groupBy(*keys)
@@ -93,7 +100,7 @@ def running_totals(
         .withColumn("_start", before("_sum", Window.partitionBy(*groups).orderBy("_slice")))
         .select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_start")
     )
-    within = Window.partitionBy(*keys).orderBy("_hash", *order)
+    within = Window.partitionBy(*keys).orderBy(*order)
     placed = sliced.withColumn("_within", before("_amount", within))
     on = [placed[k].eqNullSafe(starts[f"_key{i}"]) for i, k in enumerate(keys)]
     return placed.join(starts, on).select(

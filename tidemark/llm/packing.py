@@ -2,7 +2,9 @@
 
 Every batch is a rectangle: its rows are padded to their bucket's boundary. The boundaries come
 from dynamic programming over the histogram of all lengths, which is exact: no other choice of
-as many boundaries pads less. Batches then form inside each bucket.
+as many boundaries pads less. Batches then form inside each bucket, in the order of the input
+(files by name, the shorter one first, and rows by their place in the file), so that a mixture that
+was written in its order keeps it from batch to batch.
 
 Texts longer than ``max_length`` tokens are cut into pieces of that length and a rest, so that
 no token is lost and the histogram has at most ``max_length`` entries, at any size of input; only
@@ -15,10 +17,10 @@ packed each. An empty table gives an empty result. Other columns are never read.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import AT, FILE, identified, running_totals, saved
+from tidemark.llm.common import AT, FILE, PATH, identified, running_totals, saved
 from tidemark.llm.tokens import encoded
 
 
@@ -63,7 +65,12 @@ def packed(
     if not 0 < max_length <= budget:
         raise ValueError("max_length must be at least 1 and at most the budget")
     spark = docs.sparkSession
-    lengths = saved(encoded(identified(docs), path, ids=False, end_id=end_id), "token_numbers")
+    rows = identified(docs)
+    lengths = saved(encoded(rows, path, ids=False, end_id=end_id), "token_numbers")
+    # A row per file. Part numbers of more than five digits make longer names.
+    files = saved(rows.select(FILE, PATH).distinct(), "files").select(
+        FILE, F.row_number().over(Window.orderBy(F.length(PATH), PATH)).alias("file_no")
+    )
     pieces = lengths.withColumn(
         "piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n_tokens - 1) div {max_length}")))
     ).withColumn("n_tokens", F.least(F.lit(max_length), F.col("n_tokens") - F.col("piece") * max_length))
@@ -74,8 +81,8 @@ def packed(
     bucket_of = spark.createDataFrame(
         [(r[0], next(b for b in found if b >= r[0])) for r in histogram], "n_tokens bigint, boundary bigint"
     )
-    table = saved(pieces.join(F.broadcast(bucket_of), "n_tokens"), "pieces")
-    ranked = running_totals(table, ["boundary"], ["doc_id", AT, "piece", FILE], F.lit(1), "rank")
+    table = saved(pieces.join(F.broadcast(bucket_of), "n_tokens").join(files, FILE), "pieces")
+    ranked = running_totals(table, ["boundary"], ["file_no", AT, "piece"], F.lit(1), "rank", hashed=False)
     per_batch = F.expr(f"{budget} div boundary")
     return ranked.select(
         "doc_id",
