@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.mapping import quoted
 from tidemark.sources.staging import scratch_path
@@ -34,6 +36,17 @@ def text_of(df: DataFrame) -> Column:
     return F.coalesce(df["text"].cast("string"), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def words_of(text: Column) -> Column:
+    """What blanks separate, in order."""
+    trimmed = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{BLANK}]+"))
+
+
 def identified(docs: DataFrame) -> DataFrame:
     """Columns ``doc`` (all columns of ``docs``), ``row_file``, ``row_at`` and ``row_path``.
 
@@ -152,3 +165,24 @@ def components(links: DataFrame, name: str, max_rounds: int = 50) -> DataFrame:
     else:
         raise RuntimeError("the links did not settle")
     return step.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+# Up to 2^20 - 1 cuts.
+MOST_CUT_BITS = 20
+
+
+def cut_array(cuts: Sequence[tuple], kind: T.StructType) -> Column:
+    """Ascending keys as one constant array, for ``cuts_before``; a bounded number of them."""
+    names = kind.fieldNames()
+    text = json.dumps([dict(zip(names, cut)) for cut in cuts])
+    return F.from_json(F.lit(text), T.ArrayType(kind))
+
+
+def cuts_before(key: Column, cuts: Column) -> Column:
+    """How many of ``cuts`` are at most ``key``, by binary search."""
+
+    def step(found: Column, size: Column) -> Column:
+        return F.when(F.get(cuts, found + size - 1) <= key, found + size).otherwise(found)
+
+    sizes = F.array(*[F.lit(1 << bit) for bit in reversed(range(MOST_CUT_BITS))])
+    return F.aggregate(sizes, F.lit(0), step)

@@ -10,9 +10,12 @@ from tidemark.llm.common import documents
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mixing
+from tidemark.llm.order_minhash import edit_likeness
 from tidemark.llm.packing import packed
+from tidemark.llm.periodic import digests, periodic_runs, with_planted_runs
 from tidemark.llm.ppm import lm_scores
 from tidemark.llm.quality import FUNCTION_WORDS, ROUNDS, RULES, quality
+from tidemark.llm.resampling import importance_resampling
 from tidemark.llm.simhash import near_dedup
 from tidemark.llm.token_files import read_tokens, write_tokens
 from tidemark.llm.tokens import token_counts
@@ -170,7 +173,8 @@ WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents
 ), s AS (
-  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(regexp_split_to_array(line, '[ 	-]+'),
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(regexp_split_to_array(line, '[ 	-
+]+'),
     lambda x: x <> ''))) AS words FROM l
 ), w AS (SELECT * FROM s WHERE len(words) > 0),
 d AS (
@@ -204,3 +208,56 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir), tokenizer_path())
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(periodic_runs(with_planted_runs(documents(spark, sf_dir))))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+# CRC32 by its polynomial, a byte at a time, for each different word.
+ORACLE["op12_importance_resampling"] = r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+), cleaned AS (
+  SELECT doc_id, true AS ours, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+  UNION ALL
+  SELECT NULL, false, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), w AS (SELECT doc_id, ours, unnest(words) AS word FROM cleaned),
+d AS (SELECT DISTINCT word, hex(encode(word)) AS h FROM w),
+b AS (
+  SELECT word, xor(4294967295, list_reduce([4294967295] || list_transform(range(length(h) // 2),
+    lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) % 10000 AS bucket FROM d, tab
+), n AS (
+  SELECT bucket, count(*) FILTER (ours) AS s, count(*) FILTER (NOT ours) AS t FROM w JOIN b USING (word) GROUP BY bucket
+), g AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM n)::DOUBLE + 10000)
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM n)::DOUBLE + 10000)))) AS BIGINT) AS gain FROM n
+), x AS (
+  SELECT w.doc_id, sum(gain) AS weight FROM w JOIN b USING (word) JOIN g USING (bucket) WHERE ours GROUP BY w.doc_id
+), f AS (
+  SELECT c.doc_id, len(words) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST('0x' || substr(sha256('2024:' || c.doc_id), 1, 8) AS BIGINT)::DOUBLE AS h
+  FROM cleaned c LEFT JOIN x ON x.doc_id = c.doc_id WHERE ours
+), y AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM f
+), r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM y WHERE n_features >= 20
+)
+SELECT y.doc_id, n_features, weight, score, rank FROM y LEFT JOIN
+  (SELECT * FROM r WHERE rank <= 10 * (SELECT count(*) FROM r) // 100) AS k ON k.doc_id = y.doc_id
+"""
+
+
+@query
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_likeness(documents(spark, sf_dir))
