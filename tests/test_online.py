@@ -2,6 +2,9 @@
 
 import dataclasses
 import hashlib
+import json
+import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import rows_of
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import entity_key, identifier, key_bytes, key_text, short_name
 from tidemark.operators import online
+from tidemark.operators.metrics import stored_freshness
+from tidemark.operators.runs import BUCKET
 from tidemark.operators.unions import union_rows
 from tidemark.sinks.online import OnlineStore
 from tidemark.sinks.registry import read_schemas, register_schema
@@ -87,7 +92,7 @@ def test_expiry_jitter_is_bounded_and_repeatable(spark):
 
 
 def test_row_layout_replaces_whole_rows(spark, tmp_path):
-    store = OnlineStore(spark, str(tmp_path), layout="row")
+    store = OnlineStore(spark, str(tmp_path), layout="row", buckets=2)
     store.write(batch(spark, [("k", 50, 1, 1), ("", 50, 1, 1)]), A, "ts")
     store.write(batch(spark, [("k", 60, None, 2)]), A, "ts")
     store.write(batch(spark, [("k", 60, 5, None)]), A, "ts")
@@ -150,7 +155,7 @@ def test_lookup(spark, tmp_path):
 
 
 def test_compaction_keeps_the_state(spark, tmp_path):
-    store, plain = OnlineStore(spark, str(tmp_path / "c")), OnlineStore(spark, str(tmp_path / "p"))
+    store, plain = OnlineStore(spark, str(tmp_path / "c"), buckets=2), OnlineStore(spark, str(tmp_path / "p"))
     steps = [
         (A, [("k", 50, 1, None), ("j", 10, 3, 4)]),
         (B, [("k", 70, 1, 1)]),
@@ -169,7 +174,9 @@ def test_compaction_keeps_the_state(spark, tmp_path):
         assert state(store, table) == state(plain, table)
     with pytest.raises(ValueError):
         store.compact([A, B])
-    assert len(list((tmp_path / "c" / "default__k" / "base").iterdir())) == 2
+    # Two states, the runs of one table at most twice.
+    assert len(list((tmp_path / "c" / "default__k" / "state").glob("*.json"))) == 2
+    assert len(list((tmp_path / "c" / "default__k" / "runs" / "a").glob("_run*"))) <= 2
 
 
 def test_packed_rows_and_schema_registry(spark, tmp_path):
@@ -274,7 +281,7 @@ def test_a_compacted_store_opens_anew(spark, tmp_path):
 
 
 def test_writes_compact_by_themselves(spark, tmp_path):
-    store = OnlineStore(spark, str(tmp_path / "c"), compact_every=2)
+    store = OnlineStore(spark, str(tmp_path / "c"), compact_every=2, buckets=2)
     plain = OnlineStore(spark, str(tmp_path / "p"), compact_every=None)
     for i, table in enumerate([A, B, A, A, B, C, A]):
         rows = [("k", 50 + 7 * i, i, None if i % 2 else i), (f"k{i % 2}", 40 - i, i, i)]
@@ -283,14 +290,14 @@ def test_writes_compact_by_themselves(spark, tmp_path):
     for table in (A, B, C):
         assert state(store, table) == state(plain, table)
     assert not store.write(batch(spark, [("k", 999, 9, 9)]), A, "ts", tag="t6")
-    assert len(list((tmp_path / "c" / "default__k" / "base").iterdir())) == 2
+    assert len(list((tmp_path / "c" / "default__k" / "state").glob("*.json"))) == 2
     left = sum(len(list(d.iterdir())) for d in (tmp_path / "c" / "default__k" / "log").iterdir())
     assert left < 6
 
 
 def test_a_late_batch_of_another_writer_is_not_lost(spark, tmp_path):
     """It took its number before a compaction that does not know of it."""
-    slow, quick = OnlineStore(spark, str(tmp_path)), OnlineStore(spark, str(tmp_path))
+    slow, quick = OnlineStore(spark, str(tmp_path), buckets=2), OnlineStore(spark, str(tmp_path))
     slow.write(batch(spark, [("a", 1, 1, 1)]), A, "ts")
     seen = slow._snapshot(slow._space(A))
     quick.write(batch(spark, [("k", 50, 1, 2)]), A, "ts", tag="quick")
@@ -301,3 +308,180 @@ def test_a_late_batch_of_another_writer_is_not_lost(spark, tmp_path):
     assert state(OnlineStore(spark, str(tmp_path)), A) == want
     quick.compact([A])
     assert state(OnlineStore(spark, str(tmp_path)), A) == want
+
+
+def test_runs_of_any_stretches_give_the_state_of_all_batches(spark, tmp_path):
+    """Tiers, partial merges within a small allowance, a full compaction: the state is the model's."""
+    rng = random.Random(3)
+    steps = []
+    for _ in range(10):
+        rows = [
+            (rng.choice("kjih"), rng.randrange(30), rng.choice([None, 1, 2, 3]), rng.choice([None, 4, 5]))
+            for _ in range(5)
+        ]
+        steps.append((rng.choice("abc"), rows))
+    store = OnlineStore(spark, str(tmp_path), compact_every=2, buckets=2, rewrite_factor=3)
+    tables = {"a": A, "b": B, "c": C}
+    for i, (name, rows) in enumerate(steps):
+        store.write(batch(spark, rows), tables[name], "ts")
+        if i in (5, 9):
+            want = sequential_model(steps[: i + 1])
+            for n, table in tables.items():
+                assert state(store, table) == want[n]
+    snap = store._snapshot(store._space(A))
+    assert max(r["tier"] for n in "abc" for r in snap.runs(n)) > 1
+    store.compact([A, B, C])
+    for n, table in tables.items():
+        assert state(OnlineStore(spark, str(tmp_path)), table) == want[n]
+
+
+def test_a_write_rewrites_no_more_than_its_allowance(spark, tmp_path):
+    store = OnlineStore(spark, str(tmp_path), compact_every=2, buckets=2, rewrite_factor=4)
+    space = store._space(A)
+    written, rewritten, rng = 0, 0, random.Random(1)
+    for i in range(8):
+        rows = [(f"{i}-{rng.random()}", i, rng.randrange(10**9), n) for n in range(3_000)]
+        store.write(batch(spark, rows), A, "ts")
+        snap = store._snapshot(space)
+        written += store._files.size(max(snap.complete["a"])[-1])
+        if not snap.newer("a"):
+            version = f"{snap.state['version']:08d}"
+            rewritten += sum(sum(r["sizes"].values()) for r in snap.runs("a") if r["id"].startswith(version) and r["tier"] > 1)
+    assert written / 2 < rewritten <= 4 * written
+    assert store.read(A).count() == 24_000
+    # The number of runs follows the logarithm of the number of batches.
+    assert all(sum(b in r["sizes"] for r in snap.runs("a")) <= 3 for b in "01")
+    # Without an allowance nothing but new batches is written.
+    frugal = OnlineStore(spark, str(tmp_path / "f"), compact_every=2, buckets=2, rewrite_factor=0)
+    for i in range(6):
+        frugal.write(batch(spark, [("k", i, i, i)]), A, "ts")
+    assert [r["tier"] for r in frugal._snapshot(frugal._space(A)).runs("a")] == [1, 1, 1]
+    assert state(frugal, A) == [("k", 5, 5, 5, 105)]
+
+
+def scanned_buckets(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan" in line and BUCKET in line]
+
+
+def test_lookups_read_the_buckets_of_their_keys(spark, tmp_path):
+    store = OnlineStore(spark, str(tmp_path), buckets=16)
+    store.write(batch(spark, [(f"k{i}", 50, i, i) for i in range(200)]), A, "ts")
+    store.compact([A])
+    requests = spark.createDataFrame([("k7",), ("k7",), (None,), ("none",)], "k string")
+    found = store.get(requests, [A], F.timestamp_seconds(F.lit(60)))
+    assert rows_of(found, "k", "a__x") == [("k7", 7), ("k7", 7), ("none", None), (None, None)]
+    scans = scanned_buckets(found)
+    assert scans and all("PartitionFilters: [" in s and f"{BUCKET}" in s.split("PartitionFilters")[1] for s in scans)
+    assert all("In(k, [k7,none])" in s for s in scans)
+    space, snap = store._space(A), store._snapshot(store._space(A))
+    buckets = {r[0] for r in requests.dropna().select(F.pmod(F.xxhash64("k"), F.lit(16)).cast("int")).distinct().collect()}
+    some = store._stored(space, snap, A, snap.runs("a"), buckets)
+    assert {r[0] for r in some.select(BUCKET).distinct().collect()} <= buckets
+    # More keys than are pushed down one by one are still confined to their buckets.
+    many = OnlineStore(spark, str(tmp_path), point_keys=1).get(requests, [A], F.timestamp_seconds(F.lit(60)))
+    assert rows_of(many, "k", "a__x") == rows_of(found, "k", "a__x")
+    assert all("In(k" not in s and BUCKET in s.split("PartitionFilters")[1] for s in scanned_buckets(many))
+
+
+def test_removed_keys_stay_removed(spark, tmp_path):
+    """Keys past their shared expiry go from all tables; what was under way does not revive them."""
+    store = OnlineStore(spark, str(tmp_path), buckets=4)
+    store.write(batch(spark, [("k", 50, 1, 1), ("j", 10, 1, 1), ("live", 500, 1, 1)]), A, "ts")
+    store.write(batch(spark, [("k", 60, 2, 2), ("kept", 1, 3, 3)]), B, "ts")
+    store.write(batch(spark, [("kept", 2, 4, 4)]), C, "ts")
+    now = F.timestamp_seconds(F.lit(300))
+    store.remove_expired([A, B, C], now)
+    assert state(store, A) == [("live", 1, 1, 500, 600)]
+    assert state(store, B) == [("kept", 3, 3, 1, None)] and state(store, C) == [("kept", 4, 4, 2, None)]
+    # A refused older row stays refused, a row as old as the mark or newer starts anew.
+    store.write(batch(spark, [("k", 49, 9, 9), ("j", 10, None, 8)]), A, "ts")
+    assert state(store, A) == [("j", None, 8, 10, 110), ("live", 1, 1, 500, 600)]
+    store.write(batch(spark, [("k", 400, 7, None)]), A, "ts")
+    store.compact([A, B, C])
+    assert state(store, A) == [("j", None, 8, 10, 110), ("k", 7, None, 400, 500), ("live", 1, 1, 500, 600)]
+    requests = spark.createDataFrame([("k",), ("j",)], "k string")
+    found = store.get(requests, [A], F.timestamp_seconds(F.lit(450)), with_status=True)
+    assert rows_of(found, "k", "a__x", "a__status") == [("j", None, "OUTSIDE_MAX_AGE"), ("k", 7, "PRESENT")]
+    store.remove_expired([A, B, C], F.timestamp_seconds(F.lit(10_000)), keep_marks=100)
+    space = store._space(A)
+    assert store._stored(space, store._snapshot(space), A, store._snapshot(space).runs("a")).count() == 0
+    store.write(batch(spark, [("k", 1, 5, 5)]), A, "ts")
+    assert state(store, A)[0][:4] == ("k", 5, 5, 1)
+
+
+def test_removed_rows_of_the_row_layout(spark, tmp_path):
+    store = OnlineStore(spark, str(tmp_path), layout="row", buckets=4)
+    store.write(batch(spark, [("k", 50, 1, 1), ("live", 500, 1, 1)]), A, "ts")
+    store.write(batch(spark, [("k", 280, 2, 2)]), B, "ts")
+    store.remove_expired([A, B], F.timestamp_seconds(F.lit(285)))
+    assert state(store, A) == [("live", 1, 1, 500, 600)] and state(store, B) == [("k", 2, 2, 280, 290)]
+    store.write(batch(spark, [("k", 40, 9, 9)]), A, "ts")
+    store.compact([A, B])
+    assert state(store, A) == [("live", 1, 1, 500, 600)]
+    store.write(batch(spark, [("k", 51, 9, None)]), A, "ts")
+    assert state(store, A) == [("k", 9, None, 51, 151), ("live", 1, 1, 500, 600)]
+
+
+@pytest.mark.parametrize("layout", ["feature", "row"])
+def test_writers_side_by_side(spark, tmp_path, layout):
+    """Several stores at one place write and merge at the same time: no batch is lost or counted twice."""
+
+    def work(writer):
+        store = OnlineStore(spark, str(tmp_path), layout=layout, compact_every=2, buckets=3)
+        for i in range(3):
+            rows = [(f"{writer}-{i}", i, writer, i), ("all", 10 * i + writer, writer, i)]
+            store.write(batch(spark, rows), A if writer % 2 else B, "ts", tag=f"{writer}-{i}")
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(work, range(3)))
+    store = OnlineStore(spark, str(tmp_path), layout=layout)
+    for again in range(2):
+        rows = {r["k"]: (r["x"], r["y"]) for t in (A, B) for r in store.read(t).filter("k <> 'all'").collect()}
+        assert rows == {f"{w}-{i}": (w, i) for w in range(3) for i in range(3)}
+        assert state(store, A)[-1][:4] == ("all", 1, 2, 21) and state(store, B)[-1][:4] == ("all", 2, 2, 22)
+        store.compact([A, B])
+
+
+def test_features_added_later_survive_merges(spark, tmp_path):
+    store = OnlineStore(spark, str(tmp_path), buckets=2)
+    store.write(batch(spark, [("k", 50, 1, 1)]), A, "ts")
+    store.compact([A])
+    wider = dataclasses.replace(A, features=(*A.features, Field("z", "int32")))
+    store.write(batch(spark, [("k", 60, None, 2)]).withColumn("z", F.lit(3)), wider, "ts")
+    store.compact([wider])
+    df = OnlineStore(spark, str(tmp_path)).read(wider)
+    assert rows_of(df, "k", "x", "y", "z") == [("k", 1, 2, 3)]
+
+
+def test_interrupted_merges_are_swept_away(spark, tmp_path):
+    store = OnlineStore(spark, str(tmp_path), buckets=2)
+    runs = tmp_path / "default__k" / "runs" / "a"
+    for i in range(4):
+        store.write(batch(spark, [("k", i, i, i)]), A, "ts")
+        store.compact([A])
+        if i == 0:
+            (runs / "_run=00000002-dead").mkdir()
+    assert not (runs / "_run=00000002-dead").exists()
+    assert state(store, A) == [("k", 3, 3, 3, 103)]
+
+
+def test_freshness_without_reading_rows(spark, tmp_path):
+    store = OnlineStore(spark, str(tmp_path), buckets=2)
+    store.write(batch(spark, [("k", 50, 1, 1), ("j", 70, 1, 1)]), A, "ts")
+    store.write(batch(spark, [("k", 60, 1, 1)]), A, "ts")
+    store.write(batch(spark, []), C, "ts")
+    D = dataclasses.replace(A, name="d")
+    for _ in range(2):
+        rows = rows_of(stored_freshness(store, [A, C, D], F.timestamp_seconds(F.lit(171))), "feature_table", "passed")
+        assert rows == [("a", False), ("c", True), ("d", True)]
+        fresh = stored_freshness(store, [A], F.timestamp_seconds(F.lit(170))).select(F.unix_seconds("last_event"), "passed")
+        assert fresh.collect() == [(70, True)]
+        store.compact([A, C])
+    # A writer that ended before it noted its zone costs a reading of its batch.
+    store.write(batch(spark, [("k", 90, 1, 1)]), A, "ts")
+    zone = max((tmp_path / "default__k" / "log" / "a").glob("*/_zone.json"))
+    assert json.loads(zone.read_text()) == {"rows": 1, "first": 90_000_000, "last": 90_000_000}
+    for path in (tmp_path / "default__k" / "log" / "a").glob("*/*_zone.json*"):
+        path.unlink()
+    assert store.last_events([A]) == {"a": 90_000_000}

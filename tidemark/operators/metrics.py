@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalars import add_seconds, epoch_micros
 from tidemark.operators.mapping import quoted
@@ -75,6 +76,20 @@ def freshness(
     )
 
 
+def stored_freshness(store, tables: Sequence[FeatureTable], now: Column) -> DataFrame:
+    """:func:`freshness` of an online store's tables, by the times noted with its batches and runs:
+    no row of the store is read."""
+    kind = store.spark.range(0).select(now.alias("now")).schema["now"].dataType
+    rows = [(t.name, t.max_age, at) for t, at in zip(tables, store.last_events(tables).values())]
+    noted = store.spark.createDataFrame(rows, "feature_table string, max_age int, micros bigint")
+    last = F.timestamp_micros("micros")
+    if kind == T.TimestampNTZType():
+        last = F.convert_timezone(F.current_timezone(), F.lit("UTC"), last.cast(kind))
+    noted = noted.withColumn("last_event", last)
+    stale = F.col("last_event") < add_seconds(now, -F.col("max_age"))
+    return noted.select("feature_table", "last_event", F.coalesce(~stale, F.lit(True)).alias("passed"))
+
+
 def health(
     df: DataFrame, by: str, event_ts: str, tables: Sequence[FeatureTable], now: Column
 ) -> dict[str, list[str]]:

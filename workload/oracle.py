@@ -237,10 +237,6 @@ WITH {_log(_GAPPY)} SELECT user_id, event_type, value, event_id, ts AS event_tim
 ORACLE["compacted_store"] = f"""
 WITH {_log(_GAPPY)} SELECT user_id, event_type, {_MERGED}, max(ts) + INTERVAL 2 DAY AS expiry
 FROM a GROUP BY user_id, event_type"""
-ORACLE["concurrent_writers"] = f"""
-WITH c AS (SELECT user_id, event_type, event_id, ts, {_GAPPY} AS value FROM events
-  QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)
-SELECT user_id, event_type, value, event_id, ts AS event_timestamp, ts + INTERVAL 2 DAY AS expiry FROM c"""
 ORACLE["stream_ingestion"] = f"""
 WITH {_log('value')} SELECT user_id, event_type, {_MERGED}, max(ts) + INTERVAL 2 DAY AS expiry
 FROM a GROUP BY user_id, event_type"""
@@ -345,3 +341,46 @@ SELECT part, unnest(['read', 'ingested', 'rejected', 'lagging',
   'expect_column_values_to_be_between_value_1_100', 'expect_column_values_to_be_in_set_event_type',
   'expect_column_values_to_not_be_null_value', 'expect_column_values_to_not_be_null_absent']) AS figure,
   unnest([read, ingested, rejected, ingested, between_, in_set, nulls, 0]) AS n, latest_message FROM g"""
+# Two writers: clicks and the others, each the first half of the month before the second.
+ORACLE["concurrent_writers"] = f"""
+WITH l AS (SELECT user_id, event_type, event_id, ts, {_GAPPY} AS value,
+    CASE WHEN ts < '2024-01-16' THEN 0 ELSE 1 END AS seq FROM events),
+a AS (SELECT * FROM l QUALIFY row_number() OVER (
+  PARTITION BY user_id, event_type, seq ORDER BY ts DESC, event_id DESC) = 1)
+SELECT user_id, event_type, {_MERGED}, max(ts) + INTERVAL 2 DAY AS expiry FROM a GROUP BY user_id, event_type"""
+ORACLE["tiered_store"] = f"""
+WITH l AS (SELECT user_id, event_type, event_id, ts, {_GAPPY} AS value,
+    (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // (3 * 86400000000) AS seq FROM events),
+a AS (SELECT * FROM l QUALIFY row_number() OVER (
+  PARTITION BY user_id, event_type, seq ORDER BY ts DESC, event_id DESC) = 1),
+m AS (SELECT user_id, event_type, {_MERGED} FROM a GROUP BY user_id, event_type),
+r AS (SELECT user_id, event_type FROM m UNION ALL SELECT -user_id - 1, event_type FROM m),
+x AS (SELECT r.*, value, event_id, event_timestamp IS NOT NULL AS found,
+  event_timestamp >= TIMESTAMP '2024-01-31' - INTERVAL 2 DAY
+    AND event_timestamp + INTERVAL 2 DAY > TIMESTAMP '2024-01-31' AS live
+  FROM r LEFT JOIN m ON m.user_id = r.user_id AND m.event_type = r.event_type)
+SELECT user_id, event_type, CASE WHEN live THEN value END AS latest__value,
+  CASE WHEN live THEN event_id END AS latest__event_id,
+  CASE WHEN NOT found THEN 'NOT_FOUND' WHEN live THEN 'PRESENT' ELSE 'OUTSIDE_MAX_AGE' END AS latest__status FROM x"""
+ORACLE["point_lookup"] = ORACLE["online_lookup"].replace(
+    "SELECT DISTINCT user_id FROM events UNION ALL SELECT DISTINCT -user_id - 1 FROM events",
+    "SELECT min(user_id) AS user_id FROM events UNION ALL SELECT max(user_id) FROM events",
+)
+# Batch 0 up to the 25th, batch 1 the old events again, batch 2 the last days. What has expired
+# by the 27th has no value left, but its time, which the old events do not reach.
+ORACLE["expired_removed"] = f"""
+WITH e AS (SELECT user_id, event_type || 's' AS feature_table, event_id, ts, {_GAPPY} AS value FROM events
+  WHERE event_type IN ('click', 'view')),
+b AS (SELECT *, 0 AS seq FROM e WHERE ts < '2024-01-25'
+  UNION ALL SELECT *, 2 FROM e WHERE ts >= '2024-01-28'),
+c AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY user_id, feature_table, seq
+  ORDER BY ts DESC, value DESC NULLS LAST) = 1),
+x AS (SELECT user_id, max(ts + CASE feature_table WHEN 'clicks' THEN INTERVAL 1 DAY ELSE INTERVAL 3 DAY END)
+  <= TIMESTAMP '2024-01-27' AS expired FROM c WHERE seq = 0 GROUP BY user_id),
+s AS (SELECT c.* FROM c LEFT JOIN x ON x.user_id = c.user_id WHERE seq = 2 OR NOT expired),
+k AS (SELECT user_id, max(ts + CASE feature_table WHEN 'clicks' THEN INTERVAL 1 DAY ELSE INTERVAL 3 DAY END)
+  AS expiry FROM c GROUP BY user_id)
+SELECT feature_table, s.user_id, arg_max(value, seq) FILTER (value IS NOT NULL) AS value,
+  max(ts) AS event_timestamp, any_value(expiry) AS expiry
+FROM s JOIN k ON k.user_id = s.user_id GROUP BY feature_table, s.user_id"""
+ORACLE["store_freshness"] = ORACLE["table_freshness"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pandas as pd
@@ -15,7 +16,7 @@ from tidemark.functions.scalars import entity_key, key_text
 from tidemark.operators import online
 from tidemark.operators.asof import SkewPolicy, nearest_feature_rows, prune_to_spine, spine_bounds
 from tidemark.operators.mapping import map_fields, schema_differences
-from tidemark.operators.metrics import LAG_PERCENTILES, freshness, health, lag_stats, row_counts
+from tidemark.operators.metrics import LAG_PERCENTILES, freshness, health, lag_stats, row_counts, stored_freshness
 from tidemark.operators.unions import union_rows
 from tidemark.operators.validate import check_counts, check_observed, split_valid
 from tidemark.plans.ingestion import ingest_batch, project_input
@@ -583,7 +584,7 @@ def online_lookup(spark, sf_dir):
 @query
 def compacted_store(spark, sf_dir):
     """Three batches with a compaction in between; values, times and shared expiry."""
-    store = OnlineStore(spark, scratch_path(spark, "compacted"))
+    store = OnlineStore(spark, scratch_path(spark, "compacted"), buckets=8)
     first, second, third = three_batches(gappy(events(spark, sf_dir)))
     store.write(first, KIND_TABLE, "ts")
     store.write(second, KIND_TABLE, "ts")
@@ -595,16 +596,87 @@ def compacted_store(spark, sf_dir):
 
 @query
 def concurrent_writers(spark, sf_dir):
-    """Two stores at one place that saw the same state each write a batch, so that both take the
-    same number. Their batches' keys and times decide, not which of them came first."""
-    store = OnlineStore(spark, scratch_path(spark, "writers"))
-    other = OnlineStore(spark, store.root)
-    clicks, rest = (gappy(events(spark, sf_dir)).filter(f"event_type {x} 'click'") for x in ("=", "<>"))
-    seen = store._snapshot(store._space(KIND_TABLE))
-    for writer, rows in ((other, rest), (store, clicks)):
-        writer._snapshot = lambda space: seen
-        writer.write(rows, KIND_TABLE, "ts", tag=f"batch-{writer is store}")
-    return OnlineStore(spark, store.root).read(KIND_TABLE).withColumnRenamed("_expiry", "expiry")
+    """Two stores at one place write at the same moment, and merge what is there. Their batches'
+    keys and times decide, not which of them came first."""
+    root = scratch_path(spark, "writers")
+    rows = gappy(events(spark, sf_dir))
+    parts = [[rows.filter(f"event_type {x} 'click' AND {half}") for half in HALVES] for x in ("=", "<>")]
+
+    def work(number: int) -> None:
+        store = OnlineStore(spark, root, compact_every=2, buckets=4)
+        for i, part in enumerate(parts[number]):
+            store.write(part, KIND_TABLE, "ts", tag=f"writer-{number}-{i}")
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(work, range(2)))
+    return OnlineStore(spark, root).read(KIND_TABLE).withColumnRenamed("_expiry", "expiry")
+
+
+HALVES = ("ts < '2024-01-16'", "ts >= '2024-01-16'")
+
+
+@query
+def tiered_store(spark, sf_dir):
+    """A batch for every three days, merged in tiers as they come; every key and one unknown of each
+    type looked up at the end of the month."""
+    ev = gappy(events(spark, sf_dir))
+    store = OnlineStore(spark, scratch_path(spark, "tiers"), compact_every=3, buckets=8)
+    for day in range(0, 31, 3):
+        begin = dt.datetime(2024, 1, 1) + dt.timedelta(days=day)
+        part = ev.filter(F.col("ts").between(begin, begin + dt.timedelta(days=3, microseconds=-1)))
+        store.write(part, KIND_TABLE, "ts")
+    known = ev.select("user_id", "event_type").distinct()
+    unknown = known.select((-F.col("user_id") - 1).alias("user_id"), "event_type")
+    now = F.expr("timestamp_ntz'2024-01-31 00:00:00'")
+    return store.get(union_rows([known, unknown]), [KIND_TABLE], now, with_status=True)
+
+
+@query
+def point_lookup(spark, sf_dir):
+    """Two users of a compacted store: only the buckets, and rows, that can hold them are read."""
+    ev = events(spark, sf_dir)
+    store = OnlineStore(spark, scratch_path(spark, "points"), buckets=8)
+    tables = user_tables(ev)
+    for table in tables:
+        store.write(ev.filter(F.col("event_type") == table.name.removesuffix("s")), table, "ts")
+    store.compact(tables)
+    requests = ev.agg(F.explode(F.array(F.min("user_id"), F.max("user_id"))).alias("user_id"))
+    return store.get(requests, tables, F.expr("timestamp_ntz'2024-01-31 00:00:00'"), with_status=True)
+
+
+@query
+def expired_removed(spark, sf_dir):
+    """Clicks (one day) and views (three days) up to the 25th; keys expired by the 27th are removed. The
+    oldest events come again, late, and the rest of the month after that."""
+    ev = gappy(events(spark, sf_dir))
+    store = OnlineStore(spark, scratch_path(spark, "expired"), buckets=8)
+    tables = user_tables(ev)
+    mine = {t.name: ev.filter(F.col("event_type") == t.name.removesuffix("s")) for t in tables}
+    for table in tables:
+        store.write(mine[table.name].filter("ts < '2024-01-25'"), table, "ts")
+    store.remove_expired(tables, F.expr("timestamp_ntz'2024-01-27 00:00:00'"))
+    states = []
+    for table in tables:
+        store.write(mine[table.name].filter("ts < '2024-01-10'"), table, "ts")
+        store.write(mine[table.name].filter("ts >= '2024-01-28'"), table, "ts")
+    store.compact(tables)
+    for table in tables:
+        states.append(store.read(table).select(F.lit(table.name).alias("feature_table"), "*"))
+    return union_rows(states).withColumnRenamed("_expiry", "expiry")
+
+
+@query
+def store_freshness(spark, sf_dir):
+    """The figures of ``table_freshness`` from the times noted beside a store's batches and runs."""
+    ev = events(spark, sf_dir)
+    store = OnlineStore(spark, scratch_path(spark, "fresh"), buckets=4)
+    ages = {"click": 3600, "view": DAY, "signup": None, "purchase": 1800, "refund": 60}
+    tables = [FeatureTable(name, USER, VALUE, age) for name, age in ages.items()]
+    for table in tables:
+        store.write(ev.filter(F.col("event_type") == table.name), table, "ts")
+    store.compact(tables)
+    store.write(ev.filter("event_type = 'click'").filter("false"), tables[0], "ts")
+    return stored_freshness(store, tables, F.expr("timestamp_ntz'2024-01-31 00:00:00'"))
 
 
 @query
