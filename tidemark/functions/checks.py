@@ -124,7 +124,12 @@ class Rule:
 
     @property
     def name(self) -> str:
-        words = [str(v) for v in self.kwargs.values() if isinstance(v, (str, int, float))]
+        words = []
+        for v in self.kwargs.values():
+            if isinstance(v, (str, int, float)):
+                words.append(str(v))
+            elif self.expectation_type in UNIQUE_RULES:
+                words += map(str, v)
         return "_".join([self.expectation_type, *words])
 
 
@@ -133,12 +138,12 @@ def prepare_suite(rules: Sequence[Rule], table_name: str) -> list[Rule]:
     prefix = f"{table_name}__"
     out = []
     for rule in rules:
-        kwargs = {
-            k: v[len(prefix) :]
-            if k in ("column", "column_A", "column_B") and v.startswith(prefix)
-            else v
-            for k, v in rule.kwargs.items()
-        }
+        kwargs = dict(rule.kwargs)
+        for k in ("column", "column_A", "column_B"):
+            if k in kwargs:
+                kwargs[k] = kwargs[k].removeprefix(prefix)
+        if "column_list" in kwargs:
+            kwargs["column_list"] = [c.removeprefix(prefix) for c in kwargs["column_list"]]
         out.append(Rule(rule.expectation_type, kwargs, rule.function))
     return out
 
@@ -169,9 +174,9 @@ def _guarded(rule: Rule) -> Callable[[pd.DataFrame], pd.Series]:
 def row_rule(rule: Rule, columns: Sequence[str]) -> Column | None:
     """A rule as a column: TRUE, FALSE, or NULL where it could not be evaluated.
 
-    None for a rule about a whole table (see ``AGGREGATE_RULES``).
+    None for a rule about a whole table (see ``AGGREGATE_RULES``, ``UNIQUE_RULES``).
     """
-    if rule.expectation_type in AGGREGATE_RULES:
+    if rule.expectation_type in AGGREGATE_RULES or rule.expectation_type in UNIQUE_RULES:
         return None
     named = [v for k, v in rule.kwargs.items() if k in ("column", "column_A", "column_B")]
     if rule.function is not None:
@@ -191,6 +196,19 @@ def suite_holds(rules: Sequence[Rule], columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, held, F.lit(True))
 
 
+# Rules that no two rows may break together, by the argument that names the columns.
+UNIQUE_RULES = {
+    "expect_column_values_to_be_unique": "column",
+    "expect_compound_columns_to_be_unique": "column_list",
+}
+
+
+def unique_columns(rule: Rule) -> list[str]:
+    """The columns whose values a uniqueness rule forbids to occur twice together."""
+    named = rule.kwargs[UNIQUE_RULES[rule.expectation_type]]
+    return [named] if isinstance(named, str) else list(named)
+
+
 # Rules about a whole column, by the aggregate they bound.
 AGGREGATE_RULES: dict[str, Callable[[str], Column]] = {
     _MEAN: lambda c: F.avg(_column(c)),

@@ -7,7 +7,7 @@ time, tie-break, values)``, so the running maximum is the latest row with ties r
 
 A key with more rows than one task should sort is *hot*. Hot keys are found with a mergeable
 heavy-hitter sketch over a part of the rows; it only steers the plan, never the result. Their
-rows are cut into time slices of about equal size; each slice is scanned on its own and inherits
+rows are cut into time slices of about equal size, by a sample of their times; each slice is scanned on its own and inherits
 the best row of the slices before it. Times too frequent to cut are reduced to one row first.
 """
 
@@ -17,6 +17,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,8 +53,11 @@ class SkewPolicy:
     slices: int = 2048
     least_row_bytes: int = 8
     sketch_share: float = 1 / 16
+    sampled_times: int = 1 << 16
+    key_filter_bytes: int = 64 << 20
     broadcast_bytes: int = 16 << 20
     broadcast_ratio: int = 16
+    filter_ratio: int = 2
     broadcast_partitions: int | None = None
 
 
@@ -234,13 +238,15 @@ def _measured(
 ) -> tuple[str, list[DataFrame], SpineStats | None, list | None]:
     """The strategy to follow, the features within reach, and what was measured for it.
 
-    Nothing is measured where no key can be large. A spine whose keys are too large to broadcast,
-    or of a type whose size is not known, is joined without.
+    Features are always cut to the reach of the spine's times. Keys are measured only where one
+    could be large. A spine whose keys are too large to broadcast, or of a type whose size is
+    not known, is joined without.
     """
-    if strategy not in ("auto", "broadcast") or (
-        strategy == "auto" and not _may_be_hot([spine, *frames], policy)
-    ):
+    if strategy not in ("auto", "broadcast"):
         return strategy, list(frames), None, None
+    if strategy == "auto" and not _may_be_hot([spine, *frames], policy):
+        bounds = spine_bounds(spine, spine_ts)
+        return strategy, [prune_to_spine(df, t, *bounds) for df, t in zip(frames, tables)], None, None
     stats = spine_stats(spine, spine_ts, key_sets, policy)
     if strategy == "broadcast" and max(stats.key_bytes.values()) > policy.broadcast_bytes:
         strategy = "auto"
@@ -304,6 +310,36 @@ def _semi_join_spine(
     return joined.filter(in_reach).select(*[quoted(c) for c in features.columns])
 
 
+# Bits of a key filter per spine row, and per row of it that is sent out.
+_FILTER_BITS, _FILTER_ROW_BITS = 16, 8 * 4096
+
+
+def _key_filter_bits(rows: int, policy: SkewPolicy) -> int:
+    """Size of a filter for the keys of so many spine rows; 0 if it would be too large to send out
+    or let most keys through."""
+    bits = 1 << max(15, (min(rows, policy.key_filter_bytes * 8) * _FILTER_BITS - 1).bit_length())
+    bits = min(bits, 1 << (policy.key_filter_bytes * 8).bit_length() - 1)
+    return bits if bits >= 4 * rows and bits >= _FILTER_ROW_BITS else 0
+
+
+def filter_by_keys(features: DataFrame, keys: Sequence[str], spine: DataFrame, bits: int) -> DataFrame:
+    """Feature rows whose key may be in the spine, by a bitmap of ``bits`` key hashes.
+
+    The bitmap is made in pieces of 4 KB, each by its own group, and sent out: its size is
+    bounded whatever the keys are, and wide text keys cost no more than numbers. Hashes that meet let a
+    row through in vain; none is lost.
+    """
+    place = F.pmod(_key_hash(keys), F.lit(bits))
+    piece, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    pieces = spine.select(piece.alias("_tm_piece"), bit.alias("_tm_bit")).groupBy("_tm_piece").agg(
+        F.bitmap_construct_agg("_tm_bit").alias("_tm_bits")
+    )
+    byte = F.conv(F.hex(F.substring("_tm_bits", F.expr("_tm_bit div 8 + 1").cast("int"), F.lit(1))), 16, 10)
+    is_set = F.call_function("getbit", byte.cast("bigint"), F.expr("_tm_bit % 8").cast("int")) == 1
+    placed = features.withColumn("_tm_piece", piece).withColumn("_tm_bit", bit)
+    return placed.join(F.broadcast(pieces), "_tm_piece").filter(is_set).select(*[quoted(c) for c in features.columns])
+
+
 def _candidate(df: DataFrame, table: FeatureTable) -> Column:
     """A feature row as one struct that orders by event time, created time, then tie-break."""
     parts = [quoted(EVENT_TS).alias("at"), quoted(CREATED_TS).alias("created")]
@@ -372,16 +408,21 @@ def _slice_of(ts: Column, kind: T.DataType, splits: Sequence[int]) -> Column:
 
 
 def _time_splits(
-    times: Sequence[DataFrame], kind: T.DataType, slices: int
+    times: Sequence[DataFrame], kind: T.DataType, slices: int, policy: SkewPolicy
 ) -> tuple[list[int], bool]:
-    """Times that cut all rows into about equal slices, from a sketch of bounded size.
+    """Times that cut all rows into about equal slices, from a sample of bounded size.
 
     Also tells whether a single time fills a slice by itself, so that no cut can divide it.
     """
     us = union_rows([df.select(epoch_micros(F.col(_TS), kind).alias("us")) for df in times])
-    cuts = ", ".join(f"{i / slices}D" for i in range(1, slices))
-    sketch = f"percentile_approx(us, array({cuts}), {max(10_000, 20 * slices)})"
-    found = us.agg(F.expr(sketch).alias("s")).first()["s"] or [0]
+    wanted = max(policy.sampled_times, 64 * slices)
+    share = wanted / max(us.count(), 1)
+    if share < 1:
+        us = us.filter(F.rand(1) < share)
+    sample = np.sort(us.toArrow()["us"].to_numpy())
+    if not len(sample):
+        return [0], False
+    found = sample[np.arange(1, slices) * len(sample) // slices].tolist() or [int(sample[0])]
     splits = sorted(set(found))
     return splits, len(splits) < len(found)
 
@@ -443,6 +484,7 @@ def _scan_by_slice(
     frames: Sequence[DataFrame],
     tables: Sequence[FeatureTable],
     slices: int,
+    policy: SkewPolicy,
 ) -> DataFrame:
     """The same result for keys of any size: no task holds more than a time slice of a key.
 
@@ -456,7 +498,7 @@ def _scan_by_slice(
     feature_rows = _feature_rows(frames, tables, keys)
     spine_rows = _spine_rows(spine, spine_ts, keys)
     splits, heavy_times = _time_splits(
-        [df.select(_TS) for df in [spine_rows, *feature_rows]], kind, slices
+        [df.select(_TS) for df in [spine_rows, *feature_rows]], kind, slices, policy
     )
     if not heavy_times:
         matches = _scan_slices(spine_rows, feature_rows, keys, kind, splits)
@@ -523,16 +565,20 @@ def _match(
         ]
     elif stats is not None and counts is not None:
         fits = stats.key_bytes.get(names, policy.broadcast_bytes + 1) <= policy.broadcast_bytes
-        frames = [
-            _semi_join_spine(df, t, spine, spine_ts)
-            if fits and n >= policy.broadcast_ratio * max(stats.rows, 1)
-            else df
-            for df, t, (n, _) in zip(frames, tables, counts)
-        ]
+        bits = 0 if fits else _key_filter_bits(stats.rows, policy)
+
+        def reduced(df: DataFrame, table: FeatureTable, n: int) -> DataFrame:
+            if fits and n >= policy.broadcast_ratio * max(stats.rows, 1):
+                return _semi_join_spine(df, table, spine, spine_ts)
+            if bits and n >= policy.filter_ratio * max(stats.rows, 1):
+                return filter_by_keys(df, keys, spine.filter(usable), bits)
+            return df
+
+        frames = [reduced(df, t, n) for df, t, (n, _) in zip(frames, tables, counts)]
     if strategy == "sliced":
         parts.append(
             _scan_by_slice(
-                spine.filter(usable), spine_ts, keys, frames, tables, policy.slices
+                spine.filter(usable), spine_ts, keys, frames, tables, policy.slices, policy
             )
         )
     elif hot:
@@ -556,6 +602,7 @@ def _match(
                 [df.filter(is_hot) for df in frames],
                 tables,
                 slices,
+                policy,
             )
         )
     else:

@@ -30,6 +30,70 @@ def lag_millis(df: DataFrame, event_ts: str, now: Column) -> Column:
     return F.floor((epoch_micros(now, kind) - epoch_micros(quoted(event_ts), kind)) / 1000)
 
 
+# Sketches of tasks, or of batches, meet in so many groups first.
+SKETCH_GROUPS = 64
+
+
+def sketch_size(accuracy: int) -> int:
+    """The parameter of a KLL sketch whose ranks are within about one part in ``accuracy``."""
+    return max(8, min(65_535, 7 * accuracy))
+
+
+def _lag_parts(sketch: Column) -> list[Column]:
+    return [
+        F.sum("lag_count").alias("lag_count"),
+        F.min("lag_min").alias("lag_min"),
+        F.max("lag_max").alias("lag_max"),
+        F.sum("lag_sum").alias("lag_sum"),
+        sketch.alias("lag_sketch"),
+    ]
+
+
+def lag_sketches(df: DataFrame, event_ts: str, now: Column, by: Sequence[Column], accuracy: int = 10_000) -> DataFrame:
+    """Per group ``by`` (a batch, a day): figures of the lag that can be merged, and a quantile sketch.
+
+    Kept beside the batches, they answer for any span of them without a second scan. Within a group the
+    tasks' sketches are merged in two steps, so that none gets one from each task.
+    """
+    size = sketch_size(accuracy)
+    names = [f"_tm_by{i}" for i in range(len(by))]
+    lags = df.select(*[c.alias(n) for c, n in zip(by, names)], lag_millis(df, event_ts, now).alias("lag"))
+    parts = lags.groupBy(*names, F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_tm_part")).agg(
+        F.count("lag").alias("lag_count"),
+        F.min("lag").alias("lag_min"),
+        F.max("lag").alias("lag_max"),
+        F.sum("lag").alias("lag_sum"),
+        F.kll_sketch_agg_bigint("lag", size).alias("lag_sketch"),
+    )
+    merged = parts.groupBy(*names).agg(*_lag_parts(F.kll_merge_agg_bigint("lag_sketch", size)))
+    shown = [c for c in merged.columns if c not in names]
+    titles = df.select(*by).columns
+    return merged.select(*[F.col(n).alias(t) for n, t in zip(names, titles)], *shown)
+
+
+def merge_lag_sketches(sketches: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """One row of :func:`lag_sketches` out of many, merged in two steps."""
+    size = sketch_size(accuracy)
+    merge = F.kll_merge_agg_bigint("lag_sketch", size)
+    parts = sketches.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_tm_part")).agg(*_lag_parts(merge))
+    return parts.agg(*_lag_parts(merge))
+
+
+def sketched_lag(merged: DataFrame) -> DataFrame:
+    """Count, least, greatest, mean and the percentiles of rows with a sketch; without any lag all but
+    the count are NULL."""
+    cut = {n: F.kll_sketch_get_quantile_bigint("lag_sketch", F.lit(share)) for n, share in LAG_PERCENTILES.items()}
+    rest = [c for c in merged.columns if not c.startswith("lag_")]
+    return merged.select(
+        *[quoted(c) for c in rest],
+        F.coalesce("lag_count", F.lit(0)).cast("bigint").alias("lag_count"),
+        "lag_min",
+        "lag_max",
+        (F.col("lag_sum") / F.nullif("lag_count", F.lit(0))).alias("lag_mean"),
+        *[F.when(F.col("lag_count") > 0, c).alias(f"lag_{n}") for n, c in cut.items()],
+    )
+
+
 def lag_figures(lag: Column, accuracy: int = 10_000) -> list[Column]:
     """Aggregates of a lag: exact figures and ``lag_cuts``, the approximate percentiles."""
     return [
@@ -50,10 +114,12 @@ def lag_by_name(row: Mapping[str, object]) -> dict[str, object]:
 
 
 def lag_stats(df: DataFrame, event_ts: str, now: Column, accuracy: int = 10_000) -> DataFrame:
-    """Distribution of ``now - event time`` in milliseconds; the percentiles are approximate."""
-    stats = df.select(lag_millis(df, event_ts, now).alias("lag")).agg(*lag_figures(F.col("lag"), accuracy))
-    named = [F.col("lag_cuts")[i].alias(f"lag_{n}") for i, n in enumerate(LAG_PERCENTILES)]
-    return stats.select(*[c for c in stats.columns if c != "lag_cuts"], *named)
+    """Distribution of ``now - event time`` in milliseconds; the percentiles are approximate, from
+    sketches that are merged in groups."""
+    lag = df.select(lag_millis(df, event_ts, now).alias("lag"))
+    plain = lag.agg(*lag_figures(F.col("lag"))[:-1])
+    cuts = sketched_lag(merge_lag_sketches(lag_sketches(df, event_ts, now, [], accuracy), accuracy))
+    return plain.join(F.broadcast(cuts.select(*[f"lag_{n}" for n in LAG_PERCENTILES])))
 
 
 def freshness(

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import floor_millis
 from tidemark.operators.mapping import quoted
+from tidemark.sinks.files import Folder
 from tidemark.spec import FileSource
 
 PARTITION_DATE = "_partition_date"
+STAGED = "entities-until-"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -48,6 +50,18 @@ def stage_rows(
     return FileSource(event_timestamp_column, path=path, schema=df.schema)
 
 
+def sweep_staged(spark: SparkSession, location: str, now: dt.datetime | None = None) -> list[str]:
+    """Remove the staged copies under ``location`` whose day is past; their names."""
+    files, passed = Folder(spark, location), []
+    limit = (now or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d%H%M%S")
+    for name in files.names(location):
+        until = name.removeprefix(STAGED).partition("-")[0]
+        if name.startswith(STAGED) and until.isdigit() and until <= limit:
+            files.remove(f"{location.rstrip('/')}/{name}")
+            passed.append(name)
+    return passed
+
+
 def stage_rows_by_day(
     spark: SparkSession,
     rows,
@@ -57,7 +71,7 @@ def stage_rows_by_day(
 ) -> FileSource:
     """Stage rows in one partition per day, with times cut to milliseconds.
 
-    The path carries the day the staged copy may be removed (one day from now).
+    The path carries the moment from which ``sweep_staged`` removes the copy (one day from now).
     """
     ts = event_timestamp_column
     df = _frame(spark, rows)
@@ -66,7 +80,7 @@ def stage_rows_by_day(
         for c in df.columns
     ]
     expires = (now or dt.datetime.now(dt.timezone.utc)) + dt.timedelta(days=1)
-    name = f"entities-until-{expires:%Y%m%d%H%M%S}"
+    name = f"{STAGED}{expires:%Y%m%d%H%M%S}"
     path = (
         f"{location.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         if location

@@ -15,13 +15,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.functions.checks import all_checks, prepare_suite, row_rule, validation_udf
-from tidemark.operators.mapping import input_projection
+from tidemark.functions.scalars import epoch_micros
+from tidemark.operators.mapping import input_projection, quoted
 from tidemark.operators.metrics import lag_by_name, lag_figures, lag_millis
 from tidemark.sinks.dead_letter import dead_letter_root, write_dead_letters
 from tidemark.sinks.online import OnlineStore
 from tidemark.sources.stream import MESSAGE_TIME, read_stream
 from tidemark.spec import STREAM_TRIGGER_LABEL, FeatureTable, SchemaError
 
+ARRIVAL = "_arrival"
 ROW_OK, IS_VALID, RULE = "_row_ok", "_is_valid", "_rule"
 
 
@@ -31,7 +33,8 @@ class BatchReport:
 
     ``violations``: rows that break a rule of the table's suite, by the rule's name. ``lag``: from
     event time to now of the ingested rows in milliseconds, as in
-    :func:`tidemark.operators.metrics.lag_stats`.
+    :func:`tidemark.operators.metrics.lag_stats`. ``late``: ingested rows older than the newest one that the
+    store had of the table.
     """
 
     batch_id: int
@@ -40,6 +43,7 @@ class BatchReport:
     rejected: int
     latest_message: Any = None
     violations: Mapping[str, int] = field(default_factory=dict)
+    late: int = 0
     lag: Mapping[str, float] = field(default_factory=dict)
 
 
@@ -96,12 +100,15 @@ def apply_batch(
     marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         taken = F.col(IS_VALID) if drop_invalid else F.col(ROW_OK)
+        seen = store.last_events([table])[table.name]
+        late = F.lit(False) if seen is None else epoch_micros(quoted(event_ts), kind) < seen
         newest = F.max(MESSAGE_TIME) if MESSAGE_TIME in batch.columns else F.lit(None)
         counts = marked.agg(
             F.count(F.lit(1)).alias("read"),
             F.count_if(taken).alias("ingested"),
             F.count_if(~F.col(IS_VALID)).alias("rejected"),
             newest.alias("latest_message"),
+            F.count_if(taken & late).alias("late"),
             *[F.count_if(~F.col(f"{RULE}{i}")).alias(f"{RULE}{i}") for i in range(len(names))],
             *lag_figures(F.when(taken, lag_millis(marked, event_ts, now))),
         ).first()
@@ -110,6 +117,7 @@ def apply_batch(
             batch_id,
             *[found[c] for c in ("read", "ingested", "rejected", "latest_message")],
             {name: found[f"{RULE}{i}"] for i, name in enumerate(names)},
+            found["late"],
             lag_by_name(found),
         )
         if dead_letter and report.rejected:
@@ -135,6 +143,8 @@ def ingest_stream(
     drop_invalid: bool = False,
     partitions: int | None = None,
     on_batch: Callable[[BatchReport], None] | None = None,
+    message_id: str | None = None,
+    redelivery_seconds: int = 3_600,
 ) -> StreamingQuery:
     """Start ingesting a table's stream; ``available_now`` stops after what is there.
 
@@ -143,6 +153,11 @@ def ingest_stream(
     applies each of them once; their dead letters replace those of a broken-off try. Late rows need no
     watermark: the store never lets an older event time replace a newer one. Without
     ``expectations``, ``validator`` and ``trigger_seconds`` those of the table apply.
+
+    ``message_id`` names the column of the message by which one that is delivered again within
+    ``redelivery_seconds`` of its first arrival is left out. The state holds the ids of that time, across
+    restarts; arrival is the time of the micro-batch, so that no row is too late however old its
+    event time. ``recent_progress`` counts the repeated ones.
     """
     expectations = expectations if expectations is not None else table.expectations
     validator = validator or table.validator
@@ -173,6 +188,15 @@ def ingest_stream(
         if on_batch is not None:
             on_batch(report)
 
+    if message_id is not None:
+        if message_id not in parsed.columns:
+            raise SchemaError(f"the messages of {table.name} have no column {message_id!r}")
+        parsed = (
+            parsed.withColumn(ARRIVAL, F.current_timestamp())
+            .withWatermark(ARRIVAL, f"{redelivery_seconds} seconds")
+            .dropDuplicatesWithinWatermark([message_id])
+        )
+
     writer = parsed.select(*columns).writeStream.foreachBatch(run)
     if checkpoint:
         place = f"{checkpoint.rstrip('/')}/{table.project}/{table.name}"

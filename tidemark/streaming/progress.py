@@ -8,7 +8,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 _SCHEMA = (
     "query_id string, batch_id long, batch_time string, batch_duration_ms long, "
-    "input_rows_per_second double, processed_rows_per_second double"
+    "input_rows_per_second double, processed_rows_per_second double, "
+    "repeated_rows long"
 )
 
 
@@ -20,6 +21,7 @@ def _row(progress) -> tuple:
         progress.batchDuration,
         progress.inputRowsPerSecond,
         progress.processedRowsPerSecond,
+        sum(int(op.customMetrics.get("numDroppedDuplicateRows", 0)) for op in progress.stateOperators),
     )
 
 

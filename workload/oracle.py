@@ -384,3 +384,38 @@ SELECT feature_table, s.user_id, arg_max(value, seq) FILTER (value IS NOT NULL)
   max(ts) AS event_timestamp, any_value(expiry) AS expiry
 FROM s JOIN k ON k.user_id = s.user_id GROUP BY feature_table, s.user_id"""
 ORACLE["store_freshness"] = ORACLE["table_freshness"]
+for _name in ("asof_key_filter", "asof_broadcast_spread"):
+    ORACLE[_name] = ORACLE["asof_single"]
+ORACLE["lag_over_days"] = """
+WITH l AS (SELECT CAST(ts AS DATE) AS day, epoch_us(TIMESTAMP '2024-01-31' - ts) // 1000 AS lag FROM events),
+d AS (SELECT * FROM l UNION ALL
+  SELECT NULL, lag FROM l WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-01-14')
+SELECT day, count(*) AS lag_count, min(lag) AS lag_min, max(lag) AS lag_max, TRUE AS ranks_within
+FROM d GROUP BY day"""
+# Three parts as stored: of the second, all rows are late, of the last none.
+ORACLE["stream_redelivered"] = f"""
+WITH {_log('value')}, n AS (SELECT count(*) AS messages, count(*) FILTER (ts < '2024-01-10') AS late FROM events)
+SELECT user_id, event_type, {_MERGED}, max(ts) + INTERVAL 2 DAY AS expiry,
+  any_value(messages) AS messages, any_value(late) AS late
+FROM a, n GROUP BY user_id, event_type"""
+
+
+def _shared(columns: str) -> str:
+    return f"(count(*) OVER (PARTITION BY {columns}))"
+
+
+_KEY, _LONG_KEY = "l_orderkey, l_linenumber", "l_orderkey, l_partkey, l_suppkey, l_shipdate"
+ORACLE["unique_rows"] = f"""
+SELECT l_orderkey, l_linenumber, l_extendedprice, {_shared(_KEY)} = 1 AS _unique0, {_shared('l_suppkey')} = 1 AS _unique1,
+  {_shared(_LONG_KEY)} = 1 AS _unique2, CAST(NULL AS BOOLEAN) AS _unique3 FROM lineitem"""
+ORACLE["unique_violations"] = f"""
+WITH u AS ({ORACLE['unique_rows']})
+SELECT 'expect_compound_columns_to_be_unique_l_orderkey_l_linenumber' AS check_name,
+  count(*) FILTER (NOT _unique0) AS violations, CAST(0 AS BIGINT) AS errored FROM u UNION ALL
+SELECT 'expect_column_values_to_be_unique_l_suppkey', count(*) FILTER (NOT _unique1), 0 FROM u UNION ALL
+SELECT 'expect_compound_columns_to_be_unique_l_orderkey_l_partkey_l_suppkey_l_shipdate',
+  count(*) FILTER (NOT _unique2), 0 FROM u UNION ALL
+SELECT 'expect_column_values_to_be_unique_absent', 0, count(*) FROM u UNION ALL
+SELECT 'expect_column_values_to_be_between_l_quantity_5_40',
+  count(*) FILTER (l_quantity < 5 OR l_quantity > 40), 0 FROM lineitem"""
+ORACLE["staged_swept"] = f"SELECT event_id, user_id, 1 AS swept, TRUE AS kept FROM ({PURCHASES})"

@@ -16,9 +16,9 @@ from tidemark.functions.scalars import entity_key, key_text
 from tidemark.operators import online
 from tidemark.operators.asof import SkewPolicy, nearest_feature_rows, prune_to_spine, spine_bounds
 from tidemark.operators.mapping import map_fields, schema_differences
-from tidemark.operators.metrics import LAG_PERCENTILES, freshness, health, lag_stats, row_counts, stored_freshness
+from tidemark.operators.metrics import LAG_PERCENTILES, freshness, health, lag_sketches, lag_stats, merge_lag_sketches, row_counts, sketched_lag, stored_freshness
 from tidemark.operators.unions import union_rows
-from tidemark.operators.validate import check_counts, check_observed, split_valid
+from tidemark.operators.validate import check_counts, check_observed, mark_unique, split_valid
 from tidemark.plans.ingestion import ingest_batch, project_input
 from tidemark.plans.retrieval import get_historical_features, retrieve_historical_features
 from tidemark.sinks.online import OnlineStore
@@ -26,7 +26,7 @@ from tidemark.sinks.registry import read_schemas, register_schema
 from tidemark.sinks.training import export_epoch
 from tidemark.sources.batch import scan_range
 from tidemark.sources.decode import JsonFormat, decode_messages
-from tidemark.sources.staging import scratch_path, stage_rows, stage_rows_by_day
+from tidemark.sources.staging import scratch_path, stage_rows, stage_rows_by_day, sweep_staged
 from tidemark.sources.stream import MESSAGE_TIME
 from tidemark.spec import (
     GC_THRESHOLD_LABEL,
@@ -451,6 +451,28 @@ def suite_violations(spark, sf_dir):
     return check_counts(flawed(events(spark, sf_dir)), SUITE)
 
 
+UNIQUE = [
+    checks.Rule("expect_compound_columns_to_be_unique", {"column_list": ["l_orderkey", "l_linenumber"]}),
+    checks.Rule("expect_column_values_to_be_unique", {"column": "l_suppkey"}),
+    checks.Rule("expect_compound_columns_to_be_unique", {"column_list": ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"]}),
+    checks.Rule("expect_column_values_to_be_unique", {"column": "absent"}),
+]
+
+
+@query
+def unique_violations(spark, sf_dir):
+    """Rules over several rows, and one over each, of a table whose key is not unique."""
+    between = checks.Rule("expect_column_values_to_be_between", {"column": "l_quantity", "min_value": 5, "max_value": 40})
+    return check_counts(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), [*UNIQUE, between])
+
+
+@query
+def unique_rows(spark, sf_dir):
+    """The rows themselves, marked."""
+    marked = mark_unique(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), UNIQUE)
+    return marked.select("l_orderkey", "l_linenumber", "l_extendedprice", "_unique0", "_unique1", "_unique2", "_unique3")
+
+
 @query
 def suite_observed(spark, sf_dir):
     return check_observed(flawed(events(spark, sf_dir)), SUITE)
@@ -729,6 +751,31 @@ def lag_figures(spark, sf_dir):
     return stats.select(*plain).join(F.broadcast(checked))
 
 
+@query
+def lag_over_days(spark, sf_dir):
+    """Lag sketches kept per day and written; those of ten days answer for them, as do those of each
+    day, within the promised ranks of all their rows."""
+    now = F.expr("timestamp_ntz'2024-01-31 00:00:00'")
+    ev = events(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    path = scratch_path(spark, "lags")
+    lag_sketches(ev, "ts", now, [F.col("day")]).write.parquet(path)
+    kept = spark.read.parquet(path)
+    span = F.col("day").between(dt.date(2024, 1, 5), dt.date(2024, 1, 14))
+    whole = sketched_lag(merge_lag_sketches(kept.filter(span))).withColumn("day", F.lit(None).cast("date"))
+    figures = union_rows([sketched_lag(kept), whole])
+    lag = F.floor((F.expr("unix_micros(timestamp'2024-01-31 00:00:00') - unix_micros(cast(ts as timestamp))")) / 1000)
+    rows = ev.select("day", span.alias("in_span"), lag.alias("lag"))
+    rows = union_rows([rows.select("day", "lag"), rows.filter("in_span").select(F.lit(None).cast("date").alias("day"), "lag")])
+    held = rows.join(F.broadcast(figures.withColumnRenamed("day", "of")), F.col("day").eqNullSafe(F.col("of")))
+    slack = F.max(F.greatest(F.lit(1.0), F.col("lag_count") / 5_000))
+    within = F.lit(True)
+    for n, share in LAG_PERCENTILES.items():
+        wanted, cut = F.max(F.col("lag_count") * share), F.col(f"lag_{n}")
+        within = within & (F.count_if(F.col("lag") < cut) <= wanted + slack) & (F.count_if(F.col("lag") <= cut) >= wanted - slack)
+    plain = ["lag_count", "lag_min", "lag_max"]
+    return held.groupBy("day", *plain).agg(within.alias("ranks_within"))
+
+
 @query
 def table_freshness(spark, sf_dir):
     ages = {"click": 3600, "view": DAY, "signup": None, "purchase": 1800, "refund": 60}
@@ -807,6 +854,22 @@ def stream_ingestion(spark, sf_dir):
     return _state(*_stream(spark, three_batches(events(spark, sf_dir)), KIND_TABLE))
 
 
+@query
+def stream_redelivered(spark, sf_dir):
+    """Every third message comes again in its part and every fifth in the next one, after a restart:
+    what is read, and the state, are as if each had come once."""
+    ev = events(spark, sf_dir)
+    parts = three_batches(ev)
+    again = [union_rows([part, part.filter("event_id % 3 = 0")]) for part in parts]
+    for i in (1, 2):
+        again[i] = union_rows([again[i], parts[i - 1].filter("event_id % 5 = 0")])
+    reports = []
+    store, table = _stream(spark, again, KIND_TABLE, message_id="event_id", on_batch=reports.append)
+    read, late = sum(r.read for r in reports), sum(r.late for r in reports)
+    state = _state(store, table)
+    return state.withColumns({"messages": F.lit(read).cast("bigint"), "late": F.lit(late).cast("bigint")})
+
+
 @query
 def stream_refused(spark, sf_dir):
     """A user function refuses rows; they are dropped."""
@@ -983,8 +1046,9 @@ def schema_registry(spark, sf_dir):
     path = scratch_path(spark, "schemas")
     columns = ["event_type", "value", "ts"]
     schema = ev.select(*columns).schema
-    for _ in range(2):
-        register_schema(spark, path, schema)
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda _: register_schema(spark, path, schema), range(8)))
+    assert sum(made) >= 1
     packed = ev.select("event_id", online.pack_row(ev, columns).alias("packed"))
     known = read_schemas(spark, path)
     named = packed.join(F.broadcast(known), F.substring("packed", 1, 4) == F.col("schema_ref"))
@@ -1026,3 +1090,35 @@ def entity_repartition(spark, sf_dir):
     return files.select(F.col("_metadata.file_path").alias("file")).agg(
         F.count("*").alias("keys"), (F.count_distinct("file") <= 3).alias("few_files")
     )
+
+
+@query
+def staged_swept(spark, sf_dir):
+    """Two staged spines, of which one is past its day; rows of what a sweep leaves."""
+    location = scratch_path(spark, "staging")
+    now = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
+    spine = purchases(events(spark, sf_dir))
+    kept = stage_rows_by_day(spark, spine, "ts", location, now)
+    stage_rows_by_day(spark, spine, "ts", location, now - dt.timedelta(days=2))
+    swept = sweep_staged(spark, location, now + dt.timedelta(hours=23))
+    left = spark.read.option("recursiveFileLookup", "true").parquet(location)
+    return left.select("event_id", "user_id", F.lit(len(swept)).alias("swept"), F.lit(kept.path.startswith(location)).alias("kept"))
+
+
+@query
+def asof_key_filter(spark, sf_dir):
+    """Keys too large to send out: a bitmap of their hashes drops features before they are shuffled."""
+    ev = events(spark, sf_dir)
+    policy = SkewPolicy(least_row_bytes=0, broadcast_bytes=0, filter_ratio=0)
+    tables = [features_of(ev, "click", "clicks", DAY)]
+    return get_historical_features(spark, ["clicks:value"], spine_of(purchases(ev)), tables, policy=policy)
+
+
+@query
+def asof_broadcast_spread(spark, sf_dir):
+    """The broadcast strategy with the features spread over a given number of parts first."""
+    ev = events(spark, sf_dir)
+    tables = [features_of(ev, "click", "clicks", DAY)]
+    policy = SkewPolicy(broadcast_partitions=5)
+    spine = spine_of(purchases(ev))
+    return get_historical_features(spark, ["clicks:value"], spine, tables, strategy="broadcast", policy=policy)
