@@ -69,6 +69,34 @@ def identified(docs: DataFrame) -> DataFrame:
         return named(saved(docs, "rows"))
 
 
+# Places of a file that one bitmap covers, and the bytes of bitmaps that may be sent to every task.
+PLACES, BITMAP_BYTES = 1 << 15, 64 << 20
+
+
+def at_places(rows: DataFrame, places: DataFrame, there: bool, most_bytes: int = BITMAP_BYTES) -> DataFrame:
+    """Rows of ``identified`` that are (or, not ``there``, are not) at one of ``places`` (row_file, row_at).
+
+    A bitmap for every 32,768 places of a file tells exactly, inside the scan: no row is shuffled. The
+    bitmaps are a table whose size is measured; beyond ``most_bytes`` (documents by the hundred
+    million) it is a semi or anti join by place instead.
+    """
+    bit, piece = F.pmod(F.col(AT), F.lit(PLACES)), F.expr(f"{AT} div {PLACES}")
+    bits = saved(
+        places.select(F.col(FILE).alias("bits_file"), piece.alias("bits_piece"), bit.alias("at"))
+        .groupBy("bits_file", "bits_piece")
+        .agg(F.bitmap_construct_agg("at").alias("bits")),
+        "places",
+    )
+    if bits.count() * (PLACES // 8 + 64) > most_bytes:
+        joined = rows.join(places.select(FILE, AT), [FILE, AT], "left_semi" if there else "left_anti")
+        return joined.select(*rows.columns)
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("bigint")
+    found = F.coalesce(F.call_function("getbit", byte, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
+    on = (F.col(FILE) == F.col("bits_file")) & (piece == F.col("bits_piece"))
+    joined = rows.join(F.broadcast(bits), on, "inner" if there else "left")
+    return joined.filter(found if there else ~found).select(*rows.columns)
+
+
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -9,10 +9,12 @@ texts the row with the most code points stays, then the one with the smallest do
 2. *Owners* decode the messages for their range and answer each sender with a bitmap of the
    fingerprints that others sent as well. A block sends a fingerprint once, however many rows
    have it: a group of copies that holds a third of all rows is one entry per block.
-3. *Suspects* are the rows whose bit is set or whose fingerprint occurs twice in the block. Only
-   their texts are shuffled; grouping by the bytes of the text decides.
+3. *Suspects* are the rows whose bit is set or whose fingerprint occurs twice in the block. A bitmap
+   of their places picks them in the scan, so that only their texts are shuffled (of a table so large
+   that the bitmaps pass a measured bound, a join by place picks them instead); grouping
+   by the bytes of the text decides.
 
-Defined results: null text counts as empty, and all empty texts are equal to each other. Rows
+Defined results: texts are taken whole, however long. Null text counts as empty, and all empty texts are equal to each other. Rows
 with the same doc_id are rows of their own; of fully equal rows exactly one stays (the first by
 file and position). A null doc_id is greater than any other. Other columns are never read.
 """
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import golomb
-from tidemark.llm.common import AT, BLANK, FILE, identified, partitions_of, saved
+from tidemark.llm.common import AT, BLANK, FILE, at_places, identified, partitions_of, saved
 
 MESSAGE = (
     "block bigint, owner int, n int, k int, payload binary, row_files array<bigint>, row_ats array<bigint>, "
@@ -173,9 +175,8 @@ def exact_groups(rows: DataFrame, false_bits: int = 10, rows_per_block: int = 65
         ),
         "flagged",
     )
-    # Only texts of suspects go further than their own task.
     suspects = saved(
-        rows.join(all_rows.filter("suspect").select(FILE, AT), [FILE, AT], "left_semi").select(
+        at_places(rows, all_rows.filter("suspect"), True).select(
             FILE,
             AT,
             F.col("doc.doc_id").cast("bigint").alias("doc_id"),
@@ -224,4 +225,4 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept."""
     rows = identified(docs)
     dropped = exact_groups(rows).filter(~F.col("kept")).select(FILE, AT)
-    return rows.join(saved(dropped, "copies"), [FILE, AT], "left_anti").select("doc.*")
+    return at_places(rows, saved(dropped, "copies"), False).select("doc.*")
