@@ -1,8 +1,8 @@
 """Token ids of all documents as compressed blocks in ascending doc_id order, and back.
 
-1. Texts are encoded once, to a scratch table.
-2. One shared frequency table comes from the counts of all ids (a row per id: bounded by the
-   vocabulary), and is stored beside the blocks.
+1. Texts are encoded once, to a scratch table; each task adds how often it saw each id.
+2. One shared frequency table comes from these counts (bounded by the vocabulary), and is stored
+   beside the blocks.
 3. Rows are range-partitioned and sorted by doc_id; each partition is a shard of independent
    blocks of whole documents (see ``rans``). Spark writes the blocks as Parquet rows, so that
    files appear only when complete, on any file system, and a repeated task leaves no rest.
@@ -31,23 +31,6 @@ from tidemark.llm.tokens import Encoder, encoded
 BLOCK_TOKENS = 1 << 17
 
 
-def counted(width: int):
-    """Ids to (id, n) per task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for ids in batch["ids"].to_pylist():
-                found = np.bincount(np.frombuffer(ids, f"<u{width}"))
-                if len(found) > len(total):
-                    total = np.pad(total, (0, len(found) - len(total)))
-                total[: len(found)] += found
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"id": pa.array(seen, pa.int64()), "n": pa.array(total[seen], pa.int64())})
-
-    return run
-
-
 def blocks_of(frequencies: np.ndarray, width: int, block_tokens: int):
     """Sorted documents to blocks; the partition's number is the shard's."""
 
@@ -56,30 +39,40 @@ def blocks_of(frequencies: np.ndarray, width: int, block_tokens: int):
 
         shard, table, number = TaskContext.get().partitionId(), rans.Table(frequencies), 0
 
-        def block(docs: list, texts: list) -> pa.RecordBatch:
-            sizes = [len(t) for t in texts]
+        def block(docs: list, sizes: list, held: list) -> pa.RecordBatch:
+            lengths, tokens = np.concatenate(sizes), np.concatenate(held)
             return pa.RecordBatch.from_pydict(
                 {
                     "shard": pa.array([shard], pa.int32()),
                     "block": pa.array([number], pa.int64()),
-                    "n_tokens": pa.array([sum(sizes)], pa.int64()),
-                    "doc_ids": pa.array([docs], pa.list_(pa.int64())),
-                    "lengths": pa.array([sizes], pa.list_(pa.int64())),
-                    "payload": pa.array([rans.encode(np.concatenate(texts), table)], pa.binary()),
+                    "n_tokens": pa.array([len(tokens)], pa.int64()),
+                    "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), pa.concat_arrays(docs)),
+                    "lengths": pa.array([lengths], pa.list_(pa.int64())),
+                    "payload": pa.array([rans.encode(tokens, table)], pa.binary()),
                 }
             )
 
-        docs, texts, held = [], [], 0
+        docs, sizes, held = [], [], []
         for batch in batches:
-            for doc, ids in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist()):
-                docs.append(doc)
-                texts.append(np.frombuffer(ids, f"<u{width}"))
-                held += len(texts[-1])
-                if held >= block_tokens:
-                    yield block(docs, texts)
-                    docs, texts, held, number = [], [], 0, number + 1
+            ids, n = batch["ids"], batch.num_rows
+            if not n:
+                continue
+            # All texts of the batch are one stretch of memory.
+            offsets = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + n + 1].astype(np.int64) // width
+            tokens = np.frombuffer(ids.buffers()[2], f"<u{width}", int(offsets[-1]))
+            first = 0
+            while first < n:
+                room = block_tokens - sum(map(len, held))
+                end = min(n, int(np.searchsorted(offsets, offsets[first] + room, "left")))
+                docs.append(batch["doc_id"].slice(first, end - first))
+                sizes.append(np.diff(offsets[first : end + 1]))
+                held.append(tokens[offsets[first] : offsets[end]].copy())
+                if sum(map(len, held)) >= block_tokens:
+                    yield block(docs, sizes, held)
+                    docs, sizes, held, number = [], [], [], number + 1
+                first = end
         if docs:
-            yield block(docs, texts)
+            yield block(docs, sizes, held)
 
     return run
 
@@ -90,8 +83,10 @@ def write_tokens(
     """Token files of ``docs`` at ``path``: ``blocks`` and ``frequencies``."""
     spark = docs.sparkSession
     width = Encoder(tokenizer).width
-    ids = saved(encoded(identified(docs), tokenizer, end_id=end_id), "token_ids")
-    counts = ids.select("ids").mapInArrow(counted(width), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    made = saved(encoded(identified(docs), tokenizer, end_id=end_id, counts=True), "token_ids")
+    ids = made.filter("ids IS NOT NULL")
+    per_task = made.filter("seen IS NOT NULL").select(F.explode(F.arrays_zip("seen", "times")).alias("c"))
+    counts = per_task.groupBy(F.col("c.seen").alias("id")).agg(F.sum("c.times").alias("n"))
     found = counts.collect()  # at most a row per id of the vocabulary
     by_id = np.zeros(1 + max((r["id"] for r in found), default=0), np.int64)
     for r in found:

@@ -5,15 +5,18 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
 from collections.abc import Callable, Iterator, Sequence
+from types import ModuleType
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import AT, FILE, identified, saved
 
-CACHED_WORDS = 1 << 19
+CACHED_WORDS, CACHED_PIECES = 1 << 18, 1 << 19
 LENGTHS_PER_SLICE = 1024
 
 
@@ -108,22 +111,31 @@ class Encoder:
         """Little-endian ids of ``width`` bytes each."""
         if not self.by_word or self.marked(text):
             return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        for cache in (self.words, self.known):
-            if len(cache) > CACHED_WORDS:
+        for cache, most in ((self.words, CACHED_WORDS), (self.known, CACHED_PIECES)):
+            if len(cache) > most:
                 cache.clear()
         # Only A to Z change here, as in the tokenizer; fewer words then differ.
         lower = text.encode().lower().decode().replace("\n", " ").replace("\t", " ").replace("\r", " ")
         return b"".join(map(self.words.__getitem__, lower.split(" ")))
 
 
-def encoded(rows: DataFrame, path: str, ids: bool = True, end_id: int | None = None) -> DataFrame:
+def worker_encoder(path: str) -> Encoder:
+    """The worker process's encoder, whose cache outlives a task."""
+    kept = sys.modules.setdefault("_encoders", ModuleType("_encoders")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
+def encoded(rows: DataFrame, path: str, ids: bool = True, end_id: int | None = None, counts: bool = False) -> DataFrame:
     """Rows of ``identified`` to row_file, row_at, doc_id, n_tokens and, on demand, ids (binary).
 
-    Null texts are empty. ``end_id`` is appended to every text and counted.
+    Null texts are empty. ``end_id`` is appended to every text and counted. With ``counts`` each
+    task adds a row of its own that has only ``seen`` (ids) and ``times``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder, total = worker_encoder(path), np.zeros(0, np.int64)
         end = b"" if end_id is None else encoder._pack([end_id])
         for batch in batches:
             made = [encoder.encode(t or "") + end for t in batch["text"].to_pylist()]
@@ -135,9 +147,22 @@ def encoded(rows: DataFrame, path: str, ids: bool = True, end_id: int | None = N
             }
             if ids:
                 columns["ids"] = pa.array(made, pa.binary())
+            if counts:
+                found = np.bincount(np.frombuffer(b"".join(made), encoder.dtype), minlength=len(total))
+                found[: len(total)] += total
+                total = found
+                columns |= {c: pa.nulls(batch.num_rows, pa.list_(pa.int64())) for c in ("seen", "times")}
             yield pa.RecordBatch.from_pydict(columns)
+        if total.any():
+            seen = np.flatnonzero(total)
+            none = {c: pa.nulls(1, pa.int64()) for c in (FILE, AT, "doc_id", "n_tokens")}
+            if ids:
+                none["ids"] = pa.nulls(1, pa.binary())
+            lists = {"seen": pa.array([seen]), "times": pa.array([total[seen]])}
+            yield pa.RecordBatch.from_pydict(none | lists)
 
     schema = f"{FILE} bigint, {AT} bigint, doc_id bigint, n_tokens bigint" + (", ids binary" if ids else "")
+    schema += ", seen array<bigint>, times array<bigint>" if counts else ""
     return rows.select(
         FILE,
         AT,
