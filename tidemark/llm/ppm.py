@@ -425,10 +425,15 @@ def lm_scores(docs: DataFrame, max_nodes: int = 1 << 20, max_words: int = 1 << 1
         "far",
     )
     unknown = unknown_scores(far.filter("lost IS NOT NULL").select(F.col("lost").alias("gram")).distinct(), model, unseen)
+    # The sum that each document keeps of its known grams has no gram to join by.
+    lost = far.filter("lost IS NOT NULL")
+    looked_up = lost.join(unknown, lost["lost"] == unknown["gram"]).select(
+        "row", (F.col("times") * unknown["score"]).alias("far_score")
+    )
     far_scores = (
-        far.join(unknown, far["lost"] == unknown["gram"], "left")
+        far.filter("lost IS NULL").select("row", "far_score").unionByName(looked_up)
         .groupBy("row")
-        .agg(F.sum(F.coalesce(F.col("far_score"), F.col("times") * unknown["score"])).alias("far_score"))
+        .agg(F.sum("far_score").alias("far_score"))
     )
     rest = (
         scored.select("row", F.explode("rare").alias("word"))
