@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import AT, BLANK, FILE, identified, saved
+from tidemark.llm.common import AT, BLANK, FILE, at_places, identified, saved
 
 WINDOW = 5
 ROUNDS = 25
@@ -206,4 +206,4 @@ def drop_low_quality(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that ``quality`` rejects, all columns kept."""
     rows = identified(docs)
     rejected = judged(rows).filter(~F.col("kept")).select(FILE, AT)
-    return rows.join(saved(rejected, "rejected"), [FILE, AT], "left_anti").select("doc.*")
+    return at_places(rows, saved(rejected, "rejected"), False).select("doc.*")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import AT, FILE, components, identified, partitions_of, saved
+from tidemark.llm.common import AT, FILE, at_places, components, identified, partitions_of, saved
 from tidemark.llm.golay import LENGTH, Golay
 
 SEED, SHINGLE, DISTANCE = 42, 4, 4
@@ -286,4 +286,4 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group, all columns kept."""
     rows = identified(docs)
     dropped = near_groups(rows).filter(~F.col("kept")).select(FILE, AT)
-    return rows.join(saved(dropped, "near_copies"), [FILE, AT], "left_anti").select("doc.*")
+    return at_places(rows, saved(dropped, "near_copies"), False).select("doc.*")
