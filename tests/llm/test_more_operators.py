@@ -9,11 +9,11 @@ import zlib
 from collections import Counter
 
 import pytest
-from test_operators import PROSE, ROWS, SCHEMA, TEXTS, bag, docs, none, words  # noqa: F401
+from test_operators import PROSE, ROWS, SCHEMA, bag, docs, none, path, words  # noqa: F401
 from xxhash import xxh64_intdigest
 
-from tidemark.llm import order_minhash, periodic, resampling
-from tidemark.llm.common import cut_array, cuts_before, identified, saved
+from tidemark.llm import mixing, order_minhash, periodic, resampling, tokens
+from tidemark.llm.common import at_places, cut_array, cuts_before, identified, saved
 
 
 def sha(text):
@@ -217,10 +217,6 @@ def test_cuts(spark):
 # Order MinHash
 
 
-def signed(x):
-    return x - (1 << 64) if x >> 63 else x
-
-
 def chained(numbers):
     """Spark's xxhash64 of several 64-bit numbers: each is hashed with what the one before gave."""
     seed = 42
@@ -336,3 +332,118 @@ def test_order_minhash_stays_in_the_jvm(more):
     assert "Python" not in plan and "MapInArrow" not in plan
     # One exchange for the next rows, none for the fingerprints.
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+# Helpers
+
+
+@pytest.mark.parametrize("most_bytes", [64 << 20, 0])
+def test_rows_at_places(more, most_bytes):
+    rows = identified(more)
+    every = [(r["row_file"], r["row_at"]) for r in rows.select("row_file", "row_at").collect()]
+    chosen = rows.filter("row_at % 3 = 0 OR doc.doc_id = 14").select("row_file", "row_at")
+    want = {(r[0], r[1]) for r in chosen.collect()}
+    for there in (True, False):
+        got = at_places(rows, chosen, there, most_bytes)
+        assert got.columns == rows.columns
+        assert sorted((r["row_file"], r["row_at"]) for r in got.collect()) == sorted(p for p in every if (p in want) == there)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("bits_file" in plan) == (most_bytes > 0)
+    assert at_places(rows, chosen.filter("false"), False, most_bytes).count() == len(every)
+    assert at_places(rows, chosen.filter("false"), True, most_bytes).count() == 0
+
+
+def test_texts_of_rows_that_are_no_suspects_are_not_shuffled(more):
+    rows = identified(more)
+    picked = at_places(rows, rows.filter("row_at = 0"), True).select("doc.text")
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_positions_beyond_the_first_piece(spark):
+    rows = identified(saved(spark.range(100_000).coalesce(1).withColumnRenamed("id", "doc_id"), "long_file"))
+    gone = rows.filter("row_at % 32768 IN (0, 1, 7, 8, 32767)").select("row_file", "row_at")
+    n = gone.count()
+    assert n == 19 and at_places(rows, gone, False).count() == 100_000 - n
+    assert at_places(rows, gone, True).select("row_file", "row_at").exceptAll(gone).count() == 0
+
+
+def test_counts_of_the_encoding_pass(more):
+    made = tokens.encoded(identified(more), path(), end_id=2, counts=True).collect()
+    total, seen = Counter(), Counter()
+    for r in made:
+        if r["ids"] is None:
+            seen.update(dict(zip(r["seen"], r["times"])))
+        else:
+            total.update(struct.unpack(f"<{len(r['ids']) // 2}H", r["ids"]))
+    assert seen == total and total[2] >= len(ROWS)
+
+
+# Mixing
+
+
+def plain_mixture(rows, slots, max_sources, weigh):
+    """(doc_id, slot, block, start) by plain loops; rows are (file, at, doc_id, source, size).
+
+    ``weigh``: source and size of all its text to its weight, None for no part of the mixture.
+    """
+    totals = Counter()
+    for _, _, _, source, size in rows:
+        totals[source] += size
+    weights = {s: weigh(s, n) for s, n in totals.items() if weigh(s, n) is not None}
+    ranked = sorted(weights, key=lambda s: (-totals[s], s is None, s or ""))
+    own, pool = ranked[:max_sources], ranked[max_sources:]
+    lanes = {s: i for i, s in enumerate(own)} | {s: len(own) for s in pool}
+    sizes, shares = [totals[s] for s in own], [weights[s] for s in own]
+    if pool:
+        sizes.append(sum(totals[s] for s in pool))
+        shares.append(sum(weights[s] for s in pool))
+    block = max(1, math.ceil(sum(sizes) / slots))
+    table = mixing.schedule([-(-n // block) for n in sizes], shares)
+
+    def order(row):
+        file, at, doc_id, _, _ = row
+        return chained([x for x in (doc_id, at) if x is not None]), doc_id is not None, doc_id or 0, at, file
+
+    out, before = [], Counter()
+    for row in sorted(rows, key=order):
+        lane = lanes.get(row[3])
+        if lane is None:
+            out.append((row[2], None, row[3]))
+        else:
+            out.append((row[2], table[lane][before[lane] // block][0], row[3]))
+            before[lane] += row[4]
+    return bag(out)
+
+
+@pytest.mark.parametrize("max_sources", [10_000, 5])
+@pytest.mark.parametrize("temperature", [2.0, None])
+def test_mixing_against_loops(spark, temperature, max_sources):
+    rng = random.Random(5)
+    names = [None, "", "big", *[f"s{i}" for i in range(12)]]
+    shape = [20, 3, 300, *[rng.randint(1, 60) for _ in range(12)]]
+    rows = [(i, "y" * rng.randrange(200), s) for i, s in enumerate(s for s, n in zip(names, shape) for _ in range(n))]
+    df = saved(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4), "mixed")
+    given = {None: 2.0, "big": 0.25, "s1": 1.5, "s2": 1.0, "s3": 0.125, "s4": 1.0, "s5": 0.5, "s6": 3.0}
+    found = identified(df).collect()
+    plain = [(r["row_file"], r["row_at"], r["doc"]["doc_id"], r["doc"]["source"], len(r["doc"]["text"]) + 1) for r in found]
+    if temperature is None:
+        options, weigh = {"weights": given}, lambda s, n: given.get(s)
+    else:
+        options, weigh = {"temperature": temperature}, lambda s, n: n ** (1 / temperature)
+    got = mixing.mixing(df, slots=200, max_sources=max_sources, **options).collect()
+    assert bag((r["doc_id"], r["slot"], r["source"]) for r in got) == plain_mixture(plain, 200, max_sources, weigh)
+    assert all(r["in_mixture"] == (r["slot"] is not None) for r in got)
+    taken = sorted((r["slot"], r["size"]) for r in got if r["in_mixture"])
+    assert len(taken) == len([r for r in got if weigh(r["source"], 1) is not None])
+
+
+def test_small_sources_share_a_place_in_the_schedule(spark):
+    rows = [(i, "z" * 20, f"site{i % 90}" if i % 3 else "large") for i in range(900)]
+    df = saved(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "sites")
+    got = mixing.mixing(df, slots=90, max_sources=1).collect()
+    assert len(got) == 900 and all(r["in_mixture"] for r in got)
+    # A third is the large one's; so it is of every stretch, less than a block aside.
+    for end in (10, 30, 60, 90):
+        large = sum(r["size"] for r in got if r["slot"] < end and r["source"] == "large")
+        assert abs(large - sum(r["size"] for r in got if r["slot"] < end) / 3) <= 2 * 900 * 21 / 90

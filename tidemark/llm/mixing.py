@@ -13,9 +13,14 @@ The line has about ``slots`` slots at any size of input (their length grows inst
 the schedule is a table of fixed size that the driver can make. The documents are never there: a
 document's block follows from the text before it in its source, by sums over slices of a source.
 
-Without given weights, each source weighs what it has, so that all last to the end. ``max_share``
-below one holds larger sources down to it for as long as the others last. Only sources that are
-missing in given weights, or weigh nothing there, are no part of the mixture (``in_mixture`` false).
+Without given weights, each source weighs what it has, so that all last to the end; with a ``temperature`` T it
+weighs its size to the power 1/T, so that smaller sources come more often while they last.
+``max_share`` below one holds larger sources down to it for as long as the others last. Only
+sources that are missing in given weights, or weigh nothing there, are no part of the mixture
+(``in_mixture`` false).
+
+At most ``max_sources`` are scheduled by themselves, the largest. All others together are one more
+source of the schedule, which weighs what they weigh, and have places side by side within it.
 
 Defined results: a null source is a source of its own. Null and empty texts have size 1, as each
 text's size is its code points and one. The order within a source is that of a hash, doc_id and
@@ -95,10 +100,11 @@ def placed(
     weights: dict[str | None, float] | None = None,
     max_share: float = 1.0,
     slots: int = 10_000,
-    max_sources: int = 100_000,
+    max_sources: int = 10_000,
+    temperature: float = 1.0,
 ) -> DataFrame:
     """Rows of ``identified`` to row_file, row_at, doc_id, source, block, slot, release, deadline,
-    in_mixture and start (the size of what comes before in the source)."""
+    in_mixture and start (the size of what comes before in the source, or among the pooled ones)."""
     spark = rows.sparkSession
     sizes = saved(
         rows.select(
@@ -110,32 +116,53 @@ def placed(
         ),
         "sizes",
     )
-    totals = sizes.groupBy("source").agg(F.sum("size")).orderBy("source").limit(max_sources + 1).collect()
-    if len(totals) > max_sources:
-        raise ValueError(f"more than {max_sources} sources")
-    # Sources without a given weight are left out, as are sources with a weight but no rows.
-    totals = [(s, n) for s, n in totals if weights is None or weights.get(s, 0) > 0]
-    plan = []
+    by_source = saved(sizes.groupBy("source").agg(F.sum("size").alias("total")), "sources")
+    if weights is not None:
+        given = spark.createDataFrame(
+            [(s, float(w)) for s, w in weights.items() if w > 0], "given_source string, weight double"
+        )
+        by_source = by_source.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("given_source"))).drop("given_source")
+    else:
+        by_source = by_source.withColumn("weight", F.pow(F.col("total").cast("double"), F.lit(1 / temperature)))
+    # The largest sources are numbered, at most max_sources rows.
+    own = by_source.orderBy(F.desc("total"), F.asc_nulls_last("source")).limit(max_sources).collect()
+    lanes = [(r["source"], i) for i, r in enumerate(own)]
+    sums = by_source.agg(F.count("*"), F.sum("total"), F.sum("weight")).first()
+    totals = [(r["total"], r["weight"]) for r in own]
+    pooled = sums[0] > len(own)
+    if pooled:
+        total, weight = (sum(x) for x in zip(*totals))
+        totals.append((sums[1] - total, max(sums[2] - weight, 0.0) or 1e-9))
+    plan, block = [], 1
     if totals:
-        block = max(1, math.ceil(sum(n for _, n in totals) / slots))
-        blocks = [-(-n // block) for _, n in totals]
+        block = max(1, math.ceil(sum(n for n, _ in totals) / slots))
+        blocks = [-(-n // block) for n, _ in totals]
         shares: Sequence[float] = blocks
-        if weights is not None:
-            shares = [weights[s] for s, _ in totals]
+        if weights is not None or temperature != 1:
+            shares = [w for _, w in totals]
         elif max_share < 1:
             shares = capped_shares(blocks, max_share)
         table = schedule(blocks, shares)
-        plan = [(s, k, *window, block) for i, (s, _) in enumerate(totals) for k, window in enumerate(table[i])]
+        plan = [(lane, k, *window) for lane, windows in enumerate(table) for k, window in enumerate(windows)]
     steps = spark.createDataFrame(
-        plan,
-        "plan_source string, plan_block bigint, slot bigint, release bigint, deadline bigint, size_of_block bigint",
+        plan, "plan_lane int, plan_block bigint, slot bigint, release bigint, deadline bigint"
     )
-    block_size = plan[0][-1] if plan else 1
-    ranked = running_totals(sizes, ["source"], ["doc_id", AT, FILE], F.col("size"), "start").withColumn(
-        "block", F.expr(f"start div {block_size}")
+    numbers = spark.createDataFrame(lanes, "lane_source string, lane int")
+    lane = F.col("lane")
+    if pooled:
+        lane = F.coalesce(lane, F.lit(len(own)))
+    laned = sizes.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("lane_source")), "left")
+    if pooled and weights is not None:
+        # Sources without a weight are in no lane, not in the common one.
+        known = by_source.select(F.col("source").alias("known_source"), F.lit(True).alias("weighs"))
+        laned = laned.join(known, F.col("source").eqNullSafe(F.col("known_source")), "left")
+        lane = F.when(F.col("weighs"), lane)
+    laned = laned.withColumn("lane", lane).select(*sizes.columns, "lane")
+    ranked = running_totals(laned, ["lane"], ["doc_id", AT, FILE], F.col("size"), "start").withColumn(
+        "block", F.expr(f"start div {block}")
     )
     # About ``slots`` rows and one per source: a bounded table.
-    on = ranked["source"].eqNullSafe(steps["plan_source"]) & (ranked["block"] == steps["plan_block"])
+    on = (ranked["lane"] == steps["plan_lane"]) & (ranked["block"] == steps["plan_block"])
     return ranked.join(F.broadcast(steps), on, "left").select(
         FILE,
         AT,

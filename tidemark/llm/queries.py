@@ -173,8 +173,7 @@ WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents
 ), s AS (
-  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(regexp_split_to_array(line, '[ 	-
-]+'),
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'),
     lambda x: x <> ''))) AS words FROM l
 ), w AS (SELECT * FROM s WHERE len(words) > 0),
 d AS (
@@ -202,7 +201,8 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing(documents(spark, sf_dir))
+    """Target weights by a temperature of two: a source's share follows the root of its size."""
+    return mixing(documents(spark, sf_dir), temperature=2.0)
 
 
 @query
