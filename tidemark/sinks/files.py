@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -47,12 +48,28 @@ class Folder:
         out.write(bytearray(text.encode()))
         out.close()
 
-    def read_text(self, path: str) -> str:
-        stream = self._fs.open(self._path(path))
+    def read_text(self, path: str, patience: float = 0.0) -> str:
+        """The file's text; one that is still empty, as its writer is at work, is read again for
+        ``patience`` seconds."""
+        until = time.monotonic() + patience
+        while True:
+            stream = self._fs.open(self._path(path))
+            try:
+                text = bytes(stream.readAllBytes()).decode()
+            finally:
+                stream.close()
+            if text or time.monotonic() >= until:
+                return text
+            time.sleep(0.05)
+
+    def read_if_there(self, path: str) -> str | None:
+        """The file's text; None if it is gone, as another writer's sweep may have removed it."""
         try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
+            return self.read_text(path)
+        except Py4JJavaError as error:
+            if "FileNotFoundException" not in error.java_exception.getClass().getName():
+                raise
+            return None
 
     def remove(self, path: str) -> None:
         self._fs.delete(self._path(path), True)

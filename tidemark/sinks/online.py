@@ -149,9 +149,14 @@ class OnlineStore:
 
     def _snapshot(self, space: str) -> _Snapshot:
         snap = _Snapshot()
-        snap.states = [n for n in self._files.names(f"{space}/state") if n.endswith(".json")]
-        if snap.states:
-            snap.state = json.loads(self._files.read_text(f"{space}/state/{snap.states[-1]}"))
+        # The latest state is only swept away once there are newer ones.
+        while True:
+            snap.states = [n for n in self._files.names(f"{space}/state") if n.endswith(".json")]
+            if not snap.states:
+                break
+            if noted := self._files.read_if_there(f"{space}/state/{snap.states[-1]}"):
+                snap.state = json.loads(noted)
+                break
         for name in self._files.names(f"{space}/log"):
             snap.complete[name], snap.incomplete[name] = [], []
             folded = snap.folded(name)
@@ -186,9 +191,14 @@ class OnlineStore:
     def _buckets(self, space: str) -> int:
         """The key space's number of buckets, fixed by whoever asks first."""
         path = f"{space}/buckets.json"
-        if not self._files.exists(path):
-            self._files.create_text(path, json.dumps(self.buckets))
-        return json.loads(self._files.read_text(path))
+        for _ in range(2):
+            if not self._files.exists(path):
+                self._files.create_text(path, json.dumps(self.buckets))
+            if noted := self._files.read_text(path, patience=10.0):
+                return json.loads(noted)
+            # Its writer broke off.
+            self._files.remove(path)
+        raise OSError(f"{path} cannot be written")
 
     # Writing
 
@@ -618,7 +628,10 @@ class OnlineStore:
         if len(versions) < 2:
             return
         kept = [n for n in snap.states if n.partition("-")[0] in versions[-2:]]
-        states = [json.loads(self._files.read_text(f"{space}/state/{n}")) for n in kept]
+        noted = [self._files.read_if_there(f"{space}/state/{n}") for n in kept]
+        if not all(noted):
+            return  # another writer is sweeping
+        states = [json.loads(text) for text in noted]
         for name, batches in snap.complete.items():
             covered = set.intersection(*[set(s["folded"].get(name, [])) for s in states])
             for *_, entry, path in batches:

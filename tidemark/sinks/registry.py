@@ -7,7 +7,6 @@ wrote. A reference is four bytes of a hash: a second schema with the same one is
 from __future__ import annotations
 
 import json
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,12 +40,10 @@ def register_schema(spark: SparkSession, path: str, schema: T.StructType, patien
     place = f"{path.rstrip('/')}/{SCHEMA_FILE.format(schema_reference(schema).hex())}"
     if files.create_text(place, text):
         return True
-    until = time.monotonic() + patience
-    while not (known := files.read_text(place)):
-        if time.monotonic() > until:
-            files.remove(place)
-            return register_schema(spark, path, schema, patience)
-        time.sleep(0.05)
+    known = files.read_text(place, patience)
+    if not known:
+        files.remove(place)
+        return register_schema(spark, path, schema, patience)
     if known != text and T.StructType.fromJson(json.loads(known)) != schema:
         raise ValueError(f"another schema has the reference {schema_reference(schema).hex()}")
     return False
