@@ -12,7 +12,7 @@ import pytest
 from test_operators import PROSE, ROWS, SCHEMA, bag, docs, none, path, words  # noqa: F401
 from xxhash import xxh64_intdigest
 
-from tidemark.llm import mixing, order_minhash, periodic, resampling, tokens
+from tidemark.llm import mixing, order_minhash, periodic, resampling, tokens, toxicity
 from tidemark.llm.common import at_places, cut_array, cuts_before, identified, saved
 
 
@@ -447,3 +447,19 @@ def test_small_sources_share_a_place_in_the_schedule(spark):
     for end in (10, 30, 60, 90):
         large = sum(r["size"] for r in got if r["slot"] < end and r["source"] == "large")
         assert abs(large - sum(r["size"] for r in got if r["slot"] < end) / 3) <= 2 * 900 * 21 / 90
+
+
+# Toxicity
+
+
+def test_toxicity_on_labels_held_out(spark):
+    """Documents whose labels were not learned from: toxic ones rank above the others, and few are mistaken."""
+    sf_dir = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    got = toxicity.toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rows = [(labels[r["doc_id"]], r["score"], r["predicted"]) for r in got.collect() if r["held_out"] and r["doc_id"] in labels]
+    toxic, clean = ([s for label, s, _ in rows if label == x] for x in (1, 0))
+    assert len(toxic) >= 5 and len(clean) >= 50
+    above = sum((a > b) + (a == b) / 2 for a in toxic for b in clean) / len(toxic) / len(clean)
+    assert above > 0.9
+    assert sum(label != predicted for label, _, predicted in rows) < 0.1 * len(rows)
