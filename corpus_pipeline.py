@@ -2,6 +2,12 @@
 
 ``run`` writes each stage's result to the shared scratch folder and reads it again, so that a
 lost executor costs no more than tasks of the stage at hand.
+
+Defined results: texts are taken whole, however long, and rows are told apart by file and position,
+so that null and repeated doc_ids do no harm. Null, empty and blank texts go in the first stage, as
+does what has fewer than ten words. Of equal rows one stays, the first by file and position. Null
+sources are a source of their own. Each stage of an empty table is empty. Columns of other names,
+also those that a stage uses itself, pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -18,17 +24,17 @@ from tidemark.llm.simhash import drop_near_copies
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the weighed rules reject."""
+    """Without the documents that the weighed rules reject; equal texts fare alike."""
     return drop_low_quality(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts."""
+    """One row of each group of equal texts: the longest, then that with the smallest doc_id (null last)."""
     return drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: that with the smallest doc_id (null last)."""
     return drop_near_copies(docs)
 
 
