@@ -340,7 +340,7 @@ def filter_by_keys(features: DataFrame, keys: Sequence[str], spine: DataFrame, b
     return placed.join(F.broadcast(pieces), "_tm_piece").filter(is_set).select(*[quoted(c) for c in features.columns])
 
 
-def _candidate(df: DataFrame, table: FeatureTable) -> Column:
+def candidate(table: FeatureTable) -> Column:
     """A feature row as one struct that orders by event time, created time, then tie-break."""
     parts = [quoted(EVENT_TS).alias("at"), quoted(CREATED_TS).alias("created")]
     if table.tiebreak:
@@ -366,7 +366,7 @@ def _feature_rows(
             *[quoted(k) for k in keys],
             quoted(EVENT_TS).alias(_TS),
             F.lit(0).alias(_SIDE),
-            _candidate(df, table).alias(f"_tm_f{i}"),
+            candidate(table).alias(f"_tm_f{i}"),
         )
         for i, (df, table) in enumerate(zip(frames, tables))
     ]
@@ -518,7 +518,7 @@ def _scan_by_slice(
 def _without_match(spine: DataFrame, frames, tables) -> DataFrame:
     empty = []
     for i, (df, table) in enumerate(zip(frames, tables)):
-        kind = df.select(_candidate(df, table).alias("c")).schema["c"].dataType
+        kind = df.select(candidate(table).alias("c")).schema["c"].dataType
         empty.append(F.lit(None).cast(kind).alias(f"_tm_f{i}"))
     return spine.select(*[quoted(c) for c in spine.columns], *empty)
 

@@ -48,6 +48,12 @@ ORACLE["asof_single"] = _asof(PURCHASES, SPINE, [CLICKS])
 ORACLE["asof_broadcast"] = ORACLE["asof_single"]
 ORACLE["asof_composite"] = _asof(ODD, KIND_SPINE, [("even", EVEN, USER_TYPE, DAY, VALUE)])
 ORACLE["asof_no_max_age"] = _asof(ODD, KIND_SPINE, [("even", EVEN, USER_TYPE, None, VALUE)])
+ORACLE["asof_history"] = ORACLE["asof_no_max_age"]
+ORACLE["asof_history_days"] = _asof(
+    f"SELECT * FROM ({ODD}) WHERE isodow(ts) = 7",
+    KIND_SPINE,
+    [("even", EVEN, USER_TYPE, None, VALUE)],
+)
 _HOT = "SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) FROM"
 # DuckDB's own as-of join: ranking all pairs of a hot key would take hours at larger scale.
 ORACLE["asof_hot_key"] = (

@@ -21,6 +21,7 @@ from tidemark.operators.unions import union_rows
 from tidemark.operators.validate import check_counts, check_observed, mark_unique, split_valid
 from tidemark.plans.ingestion import ingest_batch, project_input
 from tidemark.plans.retrieval import get_historical_features, retrieve_historical_features
+from tidemark.sinks.history import FeatureHistory
 from tidemark.sinks.online import OnlineStore
 from tidemark.sinks.registry import read_schemas, register_schema
 from tidemark.sinks.training import export_epoch
@@ -125,6 +126,33 @@ def asof_no_max_age(spark, sf_dir):
     return get_historical_features(spark, ["even:value"], spine_of(spine), [table])
 
 
+def history_of(spark, table: FeatureTable) -> FeatureHistory:
+    """The table's features in two batches with mixed times, the second after a roll-up."""
+    history = FeatureHistory(spark, scratch_path(spark, "history"), table, fanout=4, levels=3)
+    source = table.batch_source
+    late = F.pmod("event_id", F.lit(4)) == 0
+    history.append(replace(source, df=source.df.filter(~late)), "first")
+    history.roll_up()
+    history.append(replace(source, df=source.df.filter(late)), "late")
+    return history
+
+
+@query
+def asof_history(spark, sf_dir):
+    spine, table = odd_even(events(spark, sf_dir), None)
+    table = replace(table, batch_source=history_of(spark, table).source(spine, "ts"))
+    return get_historical_features(spark, ["even:value"], spine_of(spine), [table])
+
+
+@query
+def asof_history_days(spark, sf_dir):
+    """A spine of the Sundays: of the days between, only each user's latest rows are read."""
+    spine, table = odd_even(events(spark, sf_dir), None)
+    spine = spine.filter(F.dayofweek("ts") == 1)
+    table = replace(table, batch_source=history_of(spark, table).source(spine, "ts"))
+    return get_historical_features(spark, ["even:value"], spine_of(spine), [table])
+
+
 @query
 def asof_hot_key(spark, sf_dir):
     """A third of all rows on one key, every key cut into time slices."""
