@@ -18,6 +18,7 @@ from tidemark.plans.retrieval import (  # noqa: E402
     get_historical_features,
     retrieve_historical_features,
 )
+from tidemark.sinks.history import FeatureHistory  # noqa: E402
 from tidemark.sinks.online import OnlineStore  # noqa: E402
 from tidemark.spec import (  # noqa: E402
     FeatureTable,
@@ -32,6 +33,7 @@ from tidemark.spec import (  # noqa: E402
 from tidemark.streaming.ingest import ingest_stream  # noqa: E402
 
 __all__ = [
+    "FeatureHistory",
     "FeatureTable",
     "Field",
     "FileSource",
