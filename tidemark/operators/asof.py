@@ -377,12 +377,22 @@ def _best_columns(tables: Sequence[FeatureTable]) -> list[str]:
 
 
 def _scan_by_key(
-    spine: DataFrame, spine_ts: str, keys: Sequence[str], frames, tables
+    spine: DataFrame, spine_ts: str, keys: Sequence[str], frames, tables, buckets: int | None = None
 ) -> DataFrame:
-    """One window per key: spine rows travel as structs, so copies and extra columns survive."""
-    rows = union_rows(
-        [_spine_rows(spine, spine_ts, keys), *_feature_rows(frames, tables, keys)], keys
-    )
+    """One window per key: spine rows travel as structs, so copies and extra columns survive.
+
+    ``buckets``: the features are stored in so many buckets of ``keys``, and only the spine moves.
+    A fixed number of partitions is one that adaptive execution leaves alone.
+    """
+    spine_rows, feature_rows = _spine_rows(spine, spine_ts, keys), _feature_rows(frames, tables, keys)
+    if buckets:
+        # Under new names, as Spark tells by the columns that both sides are placed alike.
+        names = {k: f"_tm_k{i}" for i, k in enumerate(keys)}
+        placed = spine_rows.repartition(buckets, *[quoted(k) for k in keys])
+        rows = union_rows([df.withColumnsRenamed(names) for df in [*feature_rows, placed]])
+        keys = list(names.values())
+    else:
+        rows = union_rows([spine_rows, *feature_rows], keys)
     upto = (
         Window.partitionBy(*[quoted(k) for k in keys])
         .orderBy(_TS, _SIDE)
@@ -542,10 +552,13 @@ def _match(
     strategy: str,
     policy: SkewPolicy,
     complete_keys: bool = False,
+    buckets: int | None = None,
+    beside: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Spine plus one struct ``_tm_f<i>`` per table (all with the same keys): its match or NULL.
 
-    ``complete_keys`` tells that no spine row lacks its key or time.
+    ``complete_keys`` tells that no spine row lacks its key or time. ``buckets`` is the number of
+    buckets that ``frames`` are stored in, and ``beside`` holds their rows of hot keys.
     """
     keys = list(_key_set(tables[0]))
     names = tuple(keys)
@@ -592,8 +605,11 @@ def _match(
                 keys,
                 [df.filter(~is_hot) for df in frames],
                 tables,
+                buckets,
             )
         )
+        if beside:
+            frames = [union_rows([df, more]) for df, more in zip(frames, beside)]
         parts.append(
             _scan_by_slice(
                 spine.filter(usable & is_hot),
@@ -606,7 +622,7 @@ def _match(
             )
         )
     else:
-        parts.append(_scan_by_key(spine.filter(usable), spine_ts, keys, frames, tables))
+        parts.append(_scan_by_key(spine.filter(usable), spine_ts, keys, frames, tables, buckets))
     if not complete_keys and (stats is None or stats.unmatchable.get(names, 1)):
         parts.append(_without_match(spine.filter(~usable), frames, tables))
     joined = union_rows(parts)
@@ -697,6 +713,48 @@ def as_of_join(
     return join_feature_tables(spine, spine_ts, [features], [table], strategy, policy)
 
 
+def join_stored_features(
+    spine: DataFrame,
+    spine_ts: str,
+    features: DataFrame,
+    buckets: int,
+    beside: DataFrame,
+    hot: dict[int, int],
+    table: FeatureTable,
+    policy: SkewPolicy = SkewPolicy(),
+) -> DataFrame:
+    """:func:`as_of_join` with features that are stored in ``buckets`` of the keys and are read in
+    place. ``hot`` are the hashes of keys whose rows are ``beside``; these, and keys with too many
+    spine rows, are cut into time slices."""
+    _check_kinds(spine, spine_ts, [features], [table])
+    keys = _key_set(table)
+    if hot or _may_be_hot([spine], policy):
+        stats = spine_stats(spine, spine_ts, [keys], policy)
+        bounds = stats.min_micros, stats.max_micros
+    else:
+        stats, bounds = None, spine_bounds(spine, spine_ts)
+    frames = [prune_to_spine(df, table, *bounds) for df in (features, beside)]
+    # No features are counted, so that none are looked up by the spine's keys before the join.
+    matched = _match(
+        spine, spine_ts, frames[:1], [table], stats, [(-1, hot)], "auto", policy, False, buckets, frames[1:]
+    )
+    values = [F.col("_tm_f0")["v"][n].alias(prefixed(table, n)) for n in table.feature_names]
+    return matched.select(*[quoted(c) for c in spine.columns], *values)
+
+
+def hot_feature_keys(
+    features: DataFrame, table: FeatureTable, policy: SkewPolicy = SkewPolicy()
+) -> dict[int, int]:
+    """Hashes and sizes of the keys with ``hot_rows`` feature rows or more."""
+    if not _may_be_hot([features], policy):
+        return {}
+    return _feature_stats([features], [table], policy)[0][1]
+
+
+def is_hot_key(table: FeatureTable, hot: Sequence[int]) -> Column:
+    return _is_hot(_key_set(table), sorted(hot)) if hot else F.lit(False)
+
+
 def nearest_feature_rows(
     features: DataFrame,
     table: FeatureTable,

@@ -48,6 +48,7 @@ ORACLE["asof_single"] = _asof(PURCHASES, SPINE, [CLICKS])
 ORACLE["asof_broadcast"] = ORACLE["asof_single"]
 ORACLE["asof_composite"] = _asof(ODD, KIND_SPINE, [("even", EVEN, USER_TYPE, DAY, VALUE)])
 ORACLE["asof_no_max_age"] = _asof(ODD, KIND_SPINE, [("even", EVEN, USER_TYPE, None, VALUE)])
+ORACLE["asof_bucketed"] = ORACLE["asof_composite"]
 ORACLE["asof_history"] = ORACLE["asof_no_max_age"]
 ORACLE["asof_history_days"] = _asof(
     f"SELECT * FROM ({ODD}) WHERE isodow(ts) = 7",

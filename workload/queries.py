@@ -20,7 +20,8 @@ from tidemark.operators.metrics import LAG_PERCENTILES, freshness, health, lag_s
 from tidemark.operators.unions import union_rows
 from tidemark.operators.validate import check_counts, check_observed, mark_unique, split_valid
 from tidemark.plans.ingestion import ingest_batch, project_input
-from tidemark.plans.retrieval import get_historical_features, retrieve_historical_features
+from tidemark.plans.retrieval import get_historical_features, read_features, retrieve_historical_features
+from tidemark.sinks.bucketed import join_bucketed, write_bucketed
 from tidemark.sinks.history import FeatureHistory
 from tidemark.sinks.online import OnlineStore
 from tidemark.sinks.registry import read_schemas, register_schema
@@ -126,6 +127,16 @@ def asof_no_max_age(spark, sf_dir):
     return get_historical_features(spark, ["even:value"], spine_of(spine), [table])
 
 
+@query
+def asof_bucketed(spark, sf_dir):
+    """Features stored by key: only the spine is shuffled."""
+    spine, table = odd_even(events(spark, sf_dir), DAY)
+    path = scratch_path(spark, "bucketed")
+    name = "even_" + path.rpartition("-")[2]
+    write_bucketed(read_features(spark, table, table.batch_source), table, name, path, 16)
+    return join_bucketed(spine, "ts", table, path)
+
+
 def history_of(spark, table: FeatureTable) -> FeatureHistory:
     """The table's features in two batches with mixed times, the second after a roll-up."""
     history = FeatureHistory(spark, scratch_path(spark, "history"), table, fanout=4, levels=3)
