@@ -18,6 +18,7 @@ from tidemark.plans.retrieval import (  # noqa: E402
     get_historical_features,
     retrieve_historical_features,
 )
+from tidemark.sinks.bucketed import join_bucketed, write_bucketed  # noqa: E402
 from tidemark.sinks.history import FeatureHistory  # noqa: E402
 from tidemark.sinks.online import OnlineStore  # noqa: E402
 from tidemark.spec import (  # noqa: E402
@@ -48,6 +49,8 @@ __all__ = [
     "get_historical_features",
     "ingest_batch",
     "ingest_stream",
+    "join_bucketed",
     "join_feature_tables",
     "retrieve_historical_features",
+    "write_bucketed",
 ]
