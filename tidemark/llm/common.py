@@ -31,6 +31,15 @@ def saved(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove a table of ``saved`` that nothing reads any more: whatever came from it must be saved itself."""
+    folders = {path.rpartition("/")[0] for path in table.inputFiles()}
+    context = table.sparkSession.sparkContext
+    for folder in folders:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_of(df: DataFrame) -> Column:
     """The text, null counting as empty."""
     return F.coalesce(df["text"].cast("string"), F.lit(""))
