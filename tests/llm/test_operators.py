@@ -6,6 +6,7 @@ a long text, and columns named like the operators' own.
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -315,6 +316,49 @@ def test_line_dedup(docs, none):
     assert line_dedup.drop_similar_lines(docs).columns == docs.columns
 
 
+def test_line_dedup_of_a_large_group(spark, tmp_path, monkeypatch):
+    """Copies that differ in a word each meet the earliest one: the pairs verified follow the group, not its square."""
+    base = [f"word{i}" for i in range(60)]
+    rows = [(n, " ".join([*base[: n % 60], f"other{n}", *base[n % 60 + 1 :]])) for n in range(240)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "docs"))
+    verify, pairs = line_dedup.verified, []
+
+    def counted(found, *rest):
+        pairs.append(found.distinct().count())
+        return verify(found, *rest)
+
+    monkeypatch.setattr(line_dedup, "verified", counted)
+    got = line_dedup.line_dedup(spark.read.parquet(str(tmp_path / "docs"))).collect()
+    assert {r["doc_id"]: r["removed"] for r in got} == {n: "0" if n else "" for n, _ in rows}
+    assert sum(pairs) <= 8 * len(rows)
+
+
+@pytest.mark.parametrize("hubs", [0, 1, 3])
+def test_line_dedup_of_all_sizes(spark, tmp_path, monkeypatch, hubs):
+    """Around the limits of the size classes and of the longer signatures, whatever meets the earliest first."""
+    monkeypatch.setattr(line_dedup, "HUBS", hubs)
+    rng = random.Random(7)
+    lines = []
+    for size in (1, 2, 4, 5, 6, 8, 13, 16, 20, 32, 52, 64, 66, 80, 128):
+        for _ in range(3):
+            line = [f"w{rng.randrange(400)}" for _ in range(size)]
+            for _ in range(6):
+                lines.append(" ".join(line))
+                line = [w for w in line if rng.random() > 0.06] + [f"w{rng.randrange(400)}" for _ in range(rng.randrange(2 + size // 8))]
+    rng.shuffle(lines)
+    rows = [(n // 3 if n % 10 else None, line) for n, line in enumerate(lines)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    seen, want = [], []
+    for doc_id, line in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        s = set(words(line))
+        gone = any(9 * len(s & o) >= 4 * (len(s) + len(o)) for o in seen)
+        seen.append(s)
+        want.append((doc_id, int(bool(s)), int(gone)))
+    got = line_dedup.line_dedup(spark.read.parquet(str(tmp_path / "docs")))
+    assert 50 < sum(r[2] for r in want) < len(want) - 50
+    assert bag(tuple(r)[:3] for r in got.collect()) == bag(want)
+
+
 def test_lm_scores(docs, none):
     counts = Counter()
     for doc, text, _ in TEXTS:
