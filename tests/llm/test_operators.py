@@ -359,6 +359,30 @@ def test_line_dedup_of_all_sizes(spark, tmp_path, monkeypatch, hubs):
     assert bag(tuple(r)[:3] for r in got.collect()) == bag(want)
 
 
+def test_line_dedup_lists(spark):
+    """Similar sets of any sizes meet where they first share a word; sets too different in size do not."""
+    from pyspark.sql import functions as F
+
+    sizes = [(n, m) for n in range(1, 80) for m in range(n, 5 * n // 4 + 1)]
+    far = [(n, 2 * n) for n in range(1, 80)]
+    rows, own = [], iter(range(1 << 20, 1 << 30))
+    for at, (n, m) in enumerate(sizes + far):
+        shared = -(-4 * (n + m) // 9)
+        for side, size in enumerate((n, m)):
+            places = size - -(-4 * size // 5) + 1
+            first = max(0, min(size - shared, places - 1))
+            rows.append((2 * at + side, at, size, [at if i == first else next(own) for i in range(places)], False, 0, 0))
+    sets = spark.createDataFrame(rows, "gid bigint, doc_id bigint, n int, prefix array<int>, goes boolean, parity bigint, odd bigint")
+    met = set()
+    for turn in range(line_dedup.ROUNDS):
+        a, b = (line_dedup.by_size(sets, turn).alias(x) for x in "ab")
+        on = f"a.key = b.key AND a.gid + 1 = b.gid AND a.doc_id = b.doc_id AND {line_dedup.ORDERED} AND {line_dedup.POSSIBLE}"
+        met |= {r["doc_id"] for r in a.join(b, F.expr(on)).select("a.doc_id").collect()}
+    assert met == set(range(len(sizes)))
+    keys = line_dedup.by_size(sets, 0).unionByName(line_dedup.by_size(sets, 1)).filter(f"doc_id >= {len(sizes)}")
+    assert keys.groupBy("key").count().filter("count > 1").count() == 0
+
+
 def test_lm_scores(docs, none):
     counts = Counter()
     for doc, text, _ in TEXTS:
