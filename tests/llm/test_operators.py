@@ -359,6 +359,27 @@ def test_line_dedup_of_all_sizes(spark, tmp_path, monkeypatch, hubs):
     assert bag(tuple(r)[:3] for r in got.collect()) == bag(want)
 
 
+def test_line_dedup_counts_all_words(spark, tmp_path):
+    """The order of rarity comes from every word of every document."""
+    from pyspark.sql import functions as F
+
+    texts = [f"all  w{n % 50}\town{n}\n\n all last{n}" for n in range(20_000)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    often = Counter(w for t in texts for w in words(t or ""))
+    place, half = line_dedup.by_rarity(identified(spark.read.parquet(str(tmp_path / "docs"))))
+    spark.createDataFrame([(w,) for w in often], "word string").write.parquet(str(tmp_path / "words"))
+    hashed = spark.read.parquet(str(tmp_path / "words")).select("word", F.xxhash64("word").alias("h"))
+    got = [(w, h % (1 << 64) >> 48, p % (1 << 64) >> 48, p) for w, h, p in hashed.select("*", place(F.col("h")).alias("place")).collect()]
+    classes = Counter()
+    for word, at, _, _ in got:
+        classes[at] += often[word]
+    ranks = {at: rank for rank, at in enumerate(sorted(range(1 << 16), key=lambda c: (classes[c], c)))}
+    assert sum(ranks[at] != rank ^ (1 << 15) for _, at, rank, _ in got) == 0
+    rarer = sum(often[word] for word, _, _, p in got if p < half)
+    assert 2 * rarer <= often.total() < 2 * (rarer + max(classes.values()))
+
+
 def test_line_dedup_lists(spark):
     """Similar sets of any sizes meet where they first share a word; sets too different in size do not."""
     from pyspark.sql import functions as F
